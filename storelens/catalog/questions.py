@@ -180,8 +180,8 @@ SALES: dict[str, Entry] = {
         sales.states_with_avg_order_value_above,
         f"""SELECT c.state, CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(*) AS avg_order_value
             FROM {ITEMS_TO_CUSTOMERS} GROUP BY c.state
-            HAVING CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(*) > 54000""",
-        threshold=54000.0,
+            HAVING CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(*) > 55000""",
+        threshold=55000.0,
     ),
     "running_monthly_revenue": star_entry(
         sales.running_monthly_revenue,
@@ -280,9 +280,11 @@ SALES: dict[str, Entry] = {
         """SELECT product_id, COUNT(*) AS periods FROM (
                SELECT product_id, n, LEAD(n) OVER (PARTITION BY product_id ORDER BY q) AS following
                FROM (SELECT i.product_id, DATE_TRUNC('quarter', o.purchase_ts) AS q, COUNT(*) AS n
-                     FROM w_items i JOIN w_orders o ON i.order_id = o.order_id GROUP BY 1, 2))
+                     FROM w_items i JOIN w_orders o ON i.order_id = o.order_id
+                     WHERE EXTRACT(YEAR FROM o.purchase_ts) = 1998 GROUP BY 1, 2))
            GROUP BY product_id
            HAVING MIN(CASE WHEN following IS NULL OR following > n THEN 1 ELSE 0 END) = 1 AND COUNT(*) > 1""",
+        year=1998,
     ),
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storelens.catalog import questions
+from storelens.catalog import logs, questions, texts
 from storelens.catalog.entry import Entry
 
-ENTRIES: dict[str, Entry] = {**questions.ENTRIES}
+ENTRIES: dict[str, Entry] = {**questions.ENTRIES, **texts.ENTRIES, **logs.ENTRIES}

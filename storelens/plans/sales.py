@@ -262,11 +262,12 @@ def avg_description_length_by_category(star: Star) -> DataFrame:
     )
 
 
-def products_growing_every_quarter(star: Star) -> DataFrame:
-    """Products whose number of items sold rose in each following quarter."""
+def products_growing_every_quarter(star: Star, year: int) -> DataFrame:
+    """Products whose number of items sold rose from quarter to quarter of a year."""
+    placed = star.orders.filter(year_range(F.col("purchase_ts"), year)).select("order_id", "purchase_ts")
     per_key = star.items.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
     quarterly = (
-        per_key.join(star.orders.select("order_id", "purchase_ts"), "order_id")
+        per_key.join(placed, "order_id")
         .groupBy("product_id", quarter_of(F.col("purchase_ts")).alias("quarter"))
         .agg(F.sum("n").alias("sold"))
     )
