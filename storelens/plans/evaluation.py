@@ -141,17 +141,20 @@ def side_by_side(results: DataFrame, models: Sequence[str]) -> DataFrame:
 
 
 def model_grid(questions: DataFrame, results: DataFrame, models: Sequence[str]) -> DataFrame:
-    """A row for every question and model; defaults where nothing was run."""
+    """A row for every question and model; defaults where nothing was run.
+
+    What was run comes from an inner join, which Spark can split when one
+    question has very many results; what was not, from the keys alone.
+    """
     grid = questions.select("question", "difficulty", F.explode(F.array(*map(F.lit, models))).alias("model"))
-    ran = results.select("question", "model", "success", "sql", "latency", "error", F.lit(True).alias("_ran"))
-    joined = grid.join(ran, ["question", "model"], "left")
-    missing = F.col("_ran").isNull()
-    return joined.select(
-        "question",
-        "model",
-        "difficulty",
-        F.coalesce("success", F.lit(False)).alias("success"),
-        F.coalesce("sql", F.lit("")).alias("sql"),
-        F.coalesce("latency", F.lit(0.0)).alias("latency"),
-        F.when(missing, F.lit(FOUND_NOTHING)).otherwise(F.col("error")).alias("error"),
+    keys = ["question", "model"]
+    columns = [*keys, "difficulty", "success", "sql", "latency", "error"]
+    ran = results.select(*keys, "success", "sql", "latency", "error").join(grid, keys)
+    missing = (
+        grid.join(results.select(*keys).distinct(), keys, "left_anti")
+        .withColumn("success", F.lit(False))
+        .withColumn("sql", F.lit(""))
+        .withColumn("latency", F.lit(0.0))
+        .withColumn("error", F.lit(FOUND_NOTHING))
     )
+    return ran.select(*columns).unionByName(missing.select(*columns))
