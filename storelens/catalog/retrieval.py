@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storelens.catalog.entry import Entry, with_ctes
 from storelens.functions import prompts
-from storelens.functions.keywords import STOPWORDS, keywords
+from storelens.functions.keywords import STOPWORDS, with_keywords
 from storelens.plans.responses import PREFIX
 from storelens.retrieval import keyword, linking, semantic
 from storelens.sources.tables import table
@@ -189,9 +189,8 @@ _PROMPT_SQL = """concat('Write one SQL query that answers the question.', chr(10
 
 ENTRIES: dict[str, Entry] = {
     "keyword_extract": Entry(
-        lambda s, d: _questions(s, d)
-        .filter(F.regexp_like("text", F.lit(r"\S")))
-        .select("question_id", F.array_join(keywords(F.col("text")), "|").alias("keywords")),
+        lambda s, d: with_keywords(_questions(s, d).filter(F.regexp_like("text", F.lit(r"\S"))), "text", "found")
+        .select("question_id", F.array_join("found", "|").alias("keywords")),
         _sql("SELECT question_id, array_to_string(keywords, '|') AS keywords FROM w_keywords"),
     ),
     "keyword_match": Entry(

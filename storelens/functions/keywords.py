@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words that do not help to find a table, characters taken off
@@ -29,12 +29,24 @@ def words(text: Column) -> Column:
     )
 
 
-def keywords(text: Column) -> Column:
-    """Up to ten keywords: long words that are not stopwords; if there are none,
-    long words; if there are none either, all words."""
-    every = words(text)
+def with_keywords(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add up to ten keywords of a text column: long words that are not
+    stopwords; if there are none, long words; if there are none either, all
+    words.  Built column by column, so that each list is made once."""
     stop = F.array(*map(F.lit, STOPWORDS))
-    long_words = F.filter(every, lambda w: F.length(w) >= MIN_LENGTH)
-    telling = F.filter(long_words, lambda w: ~F.array_contains(stop, w))
-    chosen = F.when(F.size(telling) > 0, telling).when(F.size(long_words) > 0, long_words).otherwise(every)
-    return F.slice(chosen, 1, MAX_KEYWORDS)
+    return (
+        df.withColumn("_words", words(F.col(text)))
+        .withColumn("_long", F.filter("_words", lambda w: F.length(w) >= MIN_LENGTH))
+        .withColumn("_telling", F.filter("_long", lambda w: ~F.array_contains(stop, w)))
+        .withColumn(
+            name,
+            F.slice(
+                F.when(F.size("_telling") > 0, F.col("_telling"))
+                .when(F.size("_long") > 0, F.col("_long"))
+                .otherwise(F.col("_words")),
+                1,
+                MAX_KEYWORDS,
+            ),
+        )
+        .drop("_words", "_long", "_telling")
+    )

@@ -1,12 +1,10 @@
 """Keyword match of many questions with many column descriptions.
 
-A keyword holds no white space, so wherever it occurs in a text it occurs
-inside one token of that text.  Keywords are therefore looked up in the set of
-distinct tokens, which grows far slower than the texts, by an equi-join on four
-letters and an exact check.  Texts then meet the keywords by an equi-join on
-whole tokens; no text is compared with every question.
-
-Questions with the same keywords share a signature and are matched once.
+Questions with the same keywords share a signature and are matched once.  While
+all signatures fit a fixed size they are sent to the tasks as one automaton,
+which finds every keyword in one pass over a text; no text is shuffled.  Beyond
+that size texts and keywords meet by equi-joins on tokens.  Neither way compares
+a text with every question.
 
 Descriptions have: table_name, column_name (together a key), data_type,
 description, synonyms.
@@ -14,14 +12,22 @@ description, synonyms.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storelens.functions.keywords import keywords
+from storelens.functions.keywords import with_keywords
+from storelens.session import durable
+
+try:
+    import ahocorasick
+except ImportError:  # the joins on tokens need nothing but Spark
+    ahocorasick = None
 
+AUTOMATON_BYTES = 16_000_000
 GRAM = 4
 ROWS_PER_TABLE = 15
 SCORE = 0.5
@@ -30,57 +36,121 @@ SCORE = 0.5
 def with_signatures(questions: DataFrame, text: str = "text") -> DataFrame:
     """Add the signature: the distinct keywords in order.  The empty keyword
     matches every description, so next to it no other keyword matters."""
-    chosen = F.sort_array(F.array_distinct(keywords(F.col(text))))
-    signature = F.when(F.array_contains(chosen, ""), F.lit("")).otherwise(F.array_join(chosen, " "))
-    asked = questions.filter(F.length(F.trim(F.regexp_replace(F.col(text), r"\s+", " "))) > 0)
-    return asked.withColumn("signature", signature)
+    asked = questions.filter(F.regexp_like(text, F.lit(r"\S")))
+    chosen = with_keywords(asked, text, "_keywords").withColumn(
+        "_keywords", F.sort_array(F.array_distinct("_keywords"))
+    )
+    return chosen.withColumn(
+        "signature", F.when(F.array_contains("_keywords", ""), F.lit("")).otherwise(F.array_join("_keywords", " "))
+    ).drop("_keywords")
+
+
+def _searched() -> Column:
+    """All text of a description, lower case.  Keywords hold no white space, so
+    joining the columns by a blank adds no match."""
+    return F.lower(F.concat_ws(" ", "description", "column_name", "synonyms"))
+
+
+def matches(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """(signature, table_name, column_name) for each description in which at
+    least one keyword of the signature occurs, in any of its text columns."""
+    wanted = signatures.select("signature").distinct()
+    size = wanted.agg(F.sum(F.octet_length("signature") + 1)).first()[0] or 0
+    if ahocorasick is not None and size <= AUTOMATON_BYTES:
+        return matches_by_automaton(wanted, descriptions)
+    return matches_by_token(wanted, descriptions)
+
+
+# -- one pass with all keywords ---------------------------------------------
+
+
+def _signatures_in_task(signatures):
+    """A ``mapInPandas`` function: the numbers of the signatures that match."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of_keyword: dict[str, list[int]] = {}
+        for number, signature in enumerate(signatures.value):
+            for word in signature.split(" "):
+                of_keyword.setdefault(word, []).append(number)
+        always = of_keyword.pop("", [])
+        automaton = ahocorasick.Automaton()
+        for word, numbers in of_keyword.items():
+            automaton.add_word(word, (word, numbers))
+        automaton.make_automaton()
+        for batch in batches:
+            found = []
+            for text in batch["searched"]:
+                seen = dict(hit for _, hit in automaton.iter(text)) if of_keyword else {}
+                found.append(sorted(set(always).union(*seen.values())))
+            yield batch[["table_name", "column_name"]].assign(numbers=found)
+
+    return run
+
+
+def matches_by_automaton(wanted: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """Matches by one pass over each text; ``wanted`` must be of bounded size."""
+    spark = wanted.sparkSession
+    listed = sorted(row.signature for row in wanted.collect())
+    numbered = spark.createDataFrame(list(enumerate(listed)), "number int, signature string")
+    texts = descriptions.select("table_name", "column_name", _searched().alias("searched"))
+    found = texts.mapInPandas(
+        _signatures_in_task(spark.sparkContext.broadcast(listed)),
+        "table_name string, column_name string, numbers array<int>",
+    )
+    hits = found.select("table_name", "column_name", F.explode("numbers").alias("number"))
+    return hits.join(F.broadcast(numbered), "number").select("signature", "table_name", "column_name")
+
+
+# -- joins on tokens ---------------------------------------------------------
 
 
 def _grams(token: Column, size: int) -> Column:
+    """Distinct substrings of that size; none when the token is shorter."""
     last = F.greatest(F.length(token) - size + 1, F.lit(1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(token, i, F.lit(size))))
+    pieces = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(token, i, F.lit(size)))
+    return F.when(F.length(token) >= size, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
 
 def _token_keywords(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
-    """(token, keyword) for every keyword that occurs inside a token."""
+    """(token, keyword) for every keyword that occurs inside a token: an
+    equi-join on the first four letters of the keyword, then an exact check."""
     length = F.length("keyword")
     long_words = words.filter(length >= GRAM).withColumn("gram", F.substring("keyword", 1, GRAM))
     found = (
-        vocabulary.filter(F.length("token") >= GRAM)
-        .select("token", F.explode(_grams(F.col("token"), GRAM)).alias("gram"))
+        vocabulary.select("token", F.explode(_grams(F.col("token"), GRAM)).alias("gram"))
         .join(long_words, "gram")
         .filter(F.col("token").contains(F.col("keyword")))
         .select("token", "keyword")
     )
     short_words = words.filter((length > 0) & (length < GRAM))
-    pieces = F.array_distinct(F.concat(*[_grams(F.col("token"), size) for size in range(1, GRAM)]))
+    pieces = F.concat(*[_grams(F.col("token"), size) for size in range(1, GRAM)])
     found_short = vocabulary.select("token", F.explode(pieces).alias("keyword")).join(short_words, "keyword")
     everywhere = words.filter(length == 0).select(F.lit("").alias("token"), "keyword")
     return found.unionByName(found_short.select("token", "keyword")).unionByName(everywhere)
 
 
-def matches(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """(signature, table_name, column_name) for each description in which at
-    least one keyword of the signature occurs, in any of its text columns."""
-    terms = (
-        signatures.select("signature")
-        .distinct()
-        .select("signature", F.explode(F.split("signature", " ")).alias("keyword"))
-    )
-    text = F.lower(F.concat_ws(" ", "description", "column_name", "synonyms"))
+def matches_by_token(wanted: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """Matches by equi-joins.  Wherever a keyword occurs, it occurs inside one
+    token; so keywords are looked up in the distinct tokens, which grow far
+    slower than the texts, and texts then meet keywords on whole tokens."""
+    terms = wanted.select("signature", F.explode(F.split("signature", " ")).alias("keyword"))
     # The empty token stands for 'every description', for the empty keyword.
-    tokens = descriptions.select(
-        "table_name", "column_name", F.explode(F.array_union(F.array(F.lit("")), F.split(text, r"\s+"))).alias("token")
-    )
+    every_token = F.array_union(F.array(F.lit("")), F.split(_searched(), r"\s+"))
+    tokens = descriptions.select("table_name", "column_name", F.explode(every_token).alias("token"))
     found = _token_keywords(tokens.select("token").distinct(), terms.select("keyword").distinct())
     return (
         tokens.join(found, "token")
+        .select("table_name", "column_name", "keyword")
+        .distinct()
         .join(terms, "keyword")
         .select("signature", "table_name", "column_name")
         .distinct()
     )
 
 
+# -- ranking -----------------------------------------------------------------
+
+
 def _matched_tables(hits: DataFrame, limit: int, excluded: Sequence[str]) -> DataFrame:
     """Tables per signature by number of matching rows, with the number of rows
     listed before them; those that begin within the row budget."""
@@ -127,7 +197,8 @@ def keyword_rows(
     Only rows of tables that begin within this budget are ranked.
     """
     asked = with_signatures(questions)
-    hits = matches(asked, descriptions)
+    # Read twice below: once written, the texts are searched only once.
+    hits = durable(matches(asked, descriptions))
     best = _matched_tables(hits, limit, excluded).drop("rows_before")
     order = Window.partitionBy("signature").orderBy("table_rank", "column_name")
     rows = (

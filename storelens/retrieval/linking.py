@@ -57,31 +57,48 @@ def supplement(linked: DataFrame, edges: DataFrame, descriptions: DataFrame, cat
     partners is described do partners known to the catalog come in, at 0.3.
     Returns the linked rows and the added ones, with ``listed_columns``.
     """
-    needed = (
-        linked.join(edges, "table_name")
-        .select("question_id", F.col("partner").alias("table_name"))
-        .distinct()
-        .join(linked.select("question_id", "table_name"), ["question_id", "table_name"], "left_anti")
+    # A question links at most ``limit`` tables, so these lists stay short.
+    tables = F.collect_set(F.struct("table_name", "relevance_score", "listed_columns"))
+    grouped = (
+        linked.join(edges, "table_name", "left")
+        .groupBy("question_id")
+        .agg(tables.alias("tables"), F.collect_set("partner").alias("partners"))
+    )
+    kept = F.transform(
+        "tables", lambda t: F.struct(t["table_name"], t["relevance_score"], t["listed_columns"], F.lit(False).alias("added"))
+    )
+    needed = F.transform(
+        F.array_except("partners", F.col("tables.table_name")),
+        lambda name: F.struct(
+            name.alias("table_name"),
+            F.lit(None).cast("double").alias("relevance_score"),
+            F.lit(None).cast("long").alias("listed_columns"),
+            F.lit(True).alias("added"),
+        ),
     )
     described = descriptions.groupBy("table_name").agg(F.count("*").alias("described_columns"))
     known = catalog.groupBy("table_name").agg(F.count("*").alias("catalog_columns"))
-    looked_up = needed.join(described, "table_name", "left").join(known, "table_name", "left")
-    # A question needs at most as many partners as there are edges.
-    any_described = F.max(F.col("described_columns").isNotNull()).over(Window.partitionBy("question_id"))
-    added = (
-        looked_up.withColumn("_any", any_described)
-        .filter(F.col("described_columns").isNotNull() | (~F.col("_any") & F.col("catalog_columns").isNotNull()))
+    rows = (
+        grouped.select("question_id", F.explode(F.concat(kept, needed)).alias("t"))
+        .select("question_id", "t.*")
+        .join(described, "table_name", "left")
+        .join(known, "table_name", "left")
+    )
+    is_described = F.col("added") & F.col("described_columns").isNotNull()
+    any_described = F.max(is_described).over(Window.partitionBy("question_id"))
+    return (
+        rows.withColumn("_any", any_described)
+        .filter(~F.col("added") | is_described | (~F.col("_any") & F.col("catalog_columns").isNotNull()))
         .select(
             "question_id",
             "table_name",
-            F.when(F.col("_any"), DESCRIBED_SCORE).otherwise(CATALOG_SCORE).alias("relevance_score"),
-            F.coalesce("described_columns", "catalog_columns").alias("listed_columns"),
-            F.lit(True).alias("added"),
+            F.coalesce("relevance_score", F.when(F.col("_any"), DESCRIBED_SCORE).otherwise(CATALOG_SCORE)).alias(
+                "relevance_score"
+            ),
+            F.coalesce("listed_columns", "described_columns", "catalog_columns").alias("listed_columns"),
+            "added",
         )
     )
-    return linked.select(
-        "question_id", "table_name", "relevance_score", "listed_columns", F.lit(False).alias("added")
-    ).unionByName(added)
 
 
 def description_coverage(expected: DataFrame, descriptions: DataFrame) -> DataFrame:
