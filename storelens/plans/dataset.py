@@ -56,9 +56,18 @@ def build(golden: DataFrame, written: DataFrame, instruction: str = INSTRUCTION)
 def counts(dataset: DataFrame) -> DataFrame:
     """Records by source and by difficulty."""
     both = dataset.groupBy("source", "difficulty").agg(F.count("*").alias("n"))
-    by_source = both.groupBy(F.lit("source").alias("kind"), F.col("source").alias("value"))
-    by_difficulty = both.groupBy(F.lit("difficulty").alias("kind"), F.col("difficulty").alias("value"))
-    return by_source.agg(F.sum("n").alias("records")).unionByName(by_difficulty.agg(F.sum("n").alias("records")))
+    # The cube runs over one row per source and difficulty.
+    by_source = F.col("level") == 1
+    return (
+        both.cube("source", "difficulty")
+        .agg(F.grouping_id().alias("level"), F.sum("n").alias("records"))
+        .filter(F.col("level").isin(1, 2))
+        .select(
+            F.when(by_source, "source").otherwise("difficulty").alias("kind"),
+            F.when(by_source, F.col("source")).otherwise(F.col("difficulty")).alias("value"),
+            "records",
+        )
+    )
 
 
 def training_texts(dataset: DataFrame, end_mark: str = "</s>") -> DataFrame:

@@ -25,44 +25,40 @@ def select_records(records: DataFrame, difficulty: str | None, limit: int | None
     return chosen if limit is None else chosen.orderBy("id").limit(limit)
 
 
-def _sums(*keys: str):
-    def grouped(df: DataFrame) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.count("*").alias("total"),
-            F.count_if(F.col("success")).alias("successful"),
-            F.sum(F.col("latency").cast(LATENCY)).alias("latency_sum"),
-        )
-
-    return grouped
-
-
-def _rates(total: Column, successful: Column, latency_sum: Column) -> list[Column]:
-    return [
-        total.alias("total"),
-        successful.alias("successful"),
-        (total - successful).alias("failed"),
-        (ratio_or_zero(successful, total) * 100).alias("accuracy"),
-        ratio_or_zero(latency_sum, total).alias("average_latency"),
-    ]
-
-
 def metrics(results: DataFrame) -> DataFrame:
     """Totals and rates overall ('all') and per difficulty.
 
-    Results are summed per difficulty once; the overall row adds up those few
-    rows, and is there, with zeros, when there are no results.
+    Results are summed per difficulty once; the rollup adds up those few rows.
+    A row of zeros is added in, so that the overall row is there without results.
     """
-    per_difficulty = _sums("difficulty")(results.filter(F.col("difficulty").isNotNull()))
-    zero = F.lit(0)
-    by_difficulty = per_difficulty.filter(F.col("difficulty").isin(*DIFFICULTIES)).select(
-        "difficulty", *_rates(F.col("total"), F.col("successful"), F.col("latency_sum"))
+    sums = ("total", "successful", "latency_sum")
+    per_difficulty = results.groupBy("difficulty").agg(
+        F.count("*").alias("total"),
+        F.count_if(F.col("success")).alias("successful"),
+        F.sum(F.col("latency").cast(LATENCY)).alias("latency_sum"),
+    )
+    rolled = (
+        per_difficulty.rollup("difficulty")
+        .agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in sums])
+        .withColumn("difficulty", F.when(F.col("level") == 1, "all").otherwise(F.col("difficulty")))
+        .drop("level")
+    )
+    nothing = results.sparkSession.range(1).select(F.lit("all").alias("difficulty"), *[F.lit(0).alias(c) for c in sums])
+    total, successful = F.col("total"), F.col("successful")
+    return (
+        rolled.unionByName(nothing)
+        .groupBy("difficulty")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .filter(F.col("difficulty").isin("all", *DIFFICULTIES))
+        .select(
+            "difficulty",
+            "total",
+            "successful",
+            (total - successful).alias("failed"),
+            (ratio_or_zero(successful, total) * 100).alias("accuracy"),
+            ratio_or_zero(F.col("latency_sum"), total).alias("average_latency"),
+        )
     )
-    overall = per_difficulty.agg(
-        F.coalesce(F.sum("total"), zero).alias("t"),
-        F.coalesce(F.sum("successful"), zero).alias("s"),
-        F.coalesce(F.sum("latency_sum"), zero).alias("l"),
-    ).select(F.lit("all").alias("difficulty"), *_rates(F.col("t"), F.col("s"), F.col("l")))
-    return overall.unionByName(by_difficulty)
 
 
 def failed_queries(results: DataFrame) -> DataFrame:

@@ -33,8 +33,14 @@ def trace_steps(marks: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataF
     the query; for the first mark of a slice it is the last mark of the slice
     before.  A query with very many marks is thereby spread over many tasks.
     """
-    sliced = marks.withColumn("bucket", _bucket(F.col("ts"), bucket_seconds))
-    mark = F.struct("ts", "mark_id", "kind", "agent")
+    # Placed by slice once: both uses below need the same rows and columns, so
+    # Spark shuffles the marks a single time.
+    sliced = (
+        marks.withColumn("bucket", _bucket(F.col("ts"), bucket_seconds))
+        .filter(F.col("query_id").isNotNull() & F.col("bucket").isNotNull())
+        .repartition("query_id", "bucket")
+    )
+    mark = F.struct("ts", "mark_id", "kind", "agent", "status")
     lasts = sliced.groupBy("query_id", "bucket").agg(F.max(mark).alias("last"))
     # One row per query and time slice: bounded by the time covered, not by the marks.
     carried = lasts.select(

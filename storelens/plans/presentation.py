@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 # Names that look like measures, and names that look like keys.
 MEASURE_ENDINGS = ("_count", "_total", "_sum", "_avg", "_revenue", "_score", "_days", "_time")
@@ -74,9 +75,9 @@ def chart_frame(df: DataFrame, rows: int = CHART_ROWS) -> DataFrame | None:
     described = cut.withColumn("kind", F.lit(chart.kind)).withColumn("title", F.lit(chart.title))
     if chart.kind != "bar":
         return described.withColumn("horizontal", F.lit(False))
-    # At most ``rows`` rows: both uses of the cut are small.
-    shape = cut.agg((F.countDistinct("x") > UPRIGHT_CATEGORIES).alias("horizontal"), F.lit("bar").alias("kind"))
-    return described.join(F.broadcast(shape), "kind")
+    # One task, but over no more than the ``rows`` that were kept.
+    categories = F.size(F.collect_set("x").over(Window.partitionBy()))
+    return described.withColumn("horizontal", categories > UPRIGHT_CATEGORIES)
 
 
 def display_frame(df: DataFrame, order: list[str], rows: int = DISPLAY_ROWS) -> DataFrame:

@@ -42,25 +42,28 @@ def flags(responses: DataFrame, sql: str = "sql", prefix: str = PREFIX) -> DataF
 def question_records(responses: DataFrame, text: str, difficulty: Column) -> DataFrame:
     """Question records found in responses, one row per array element, with
     the reason why an element was not accepted."""
-    prepared = responses.withColumn("_array", jsontext.array_text(jsontext.unfenced(F.col(text))))
-    items = jsontext.parse_items(prepared, "_array").drop("_array")
-    question = sqltext.strip(jsontext.text_field(F.col("item"), "question"))
-    sql = sqltext.strip(jsontext.text_field(F.col("item"), "sql_query"))
-    tables = sqltext.strip(F.coalesce(jsontext.text_field(F.col("item"), "tables_used"), F.lit("")))
-    reason = (
+    def field(name: str) -> Column:
+        return F.coalesce(sqltext.strip(jsontext.text_field(F.col("fields"), name)), F.lit(""))
+
+    items = jsontext.parse_items(responses, jsontext.unfenced(F.col(text)))
+    named = (
+        items.withColumn("question", field("question"))
+        .withColumn("sql_query", field("sql_query"))
+        .withColumn("tables_used", field("tables_used"))
+    )
+    outcome = (
         F.when(F.col("pos").isNull(), "no array")
-        .when(~jsontext.is_object(F.col("item")), "not an object")
-        .when(F.coalesce(question, F.lit("")) == "", "no question")
-        .when(F.coalesce(sql, F.lit("")) == "", "no query")
+        .when(F.col("fields").isNull(), "not an object")
+        .when(F.col("question") == "", "no question")
+        .when(F.col("sql_query") == "", "no query")
         .otherwise("accepted")
     )
-    return items.select(
+    accepted = F.col("outcome") == "accepted"
+    return named.withColumn("outcome", outcome).select(
         *[c for c in responses.columns if c != text],
         "pos",
-        reason.alias("outcome"),
-        F.when(reason == "accepted", question).alias("question"),
-        F.when(reason == "accepted", sql).alias("sql_query"),
-        F.when(reason == "accepted", tables).alias("tables_used"),
+        "outcome",
+        *[F.when(accepted, F.col(c)).alias(c) for c in ("question", "sql_query", "tables_used")],
         difficulty.alias("difficulty"),
     )
 
@@ -68,10 +71,11 @@ def question_records(responses: DataFrame, text: str, difficulty: Column) -> Dat
 def column_descriptions(responses: DataFrame, catalog: DataFrame) -> DataFrame:
     """Description rows from responses (table_name, text), typed from the
     catalog (table_name, column_name, data_type); 'UNKNOWN' where it has none."""
-    items = jsontext.parse_items(responses, "text").filter(jsontext.is_object(F.col("item")))
+    listed = responses.filter(~jsontext.is_json_object(F.col("text")))
+    items = jsontext.parse_items(listed, F.col("text")).filter(F.col("fields").isNotNull())
 
     def field(name: str) -> Column:
-        return F.coalesce(jsontext.text_field(F.col("item"), name), F.lit(""))
+        return F.coalesce(jsontext.text_field(F.col("fields"), name), F.lit(""))
 
     described = items.select(
         "table_name",

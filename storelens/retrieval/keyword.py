@@ -27,7 +27,7 @@ try:
 except ImportError:  # the joins on tokens need nothing but Spark
     ahocorasick = None
 
-AUTOMATON_BYTES = 16_000_000
+AUTOMATON_BYTES = 4_000_000
 GRAM = 4
 ROWS_PER_TABLE = 15
 SCORE = 0.5

@@ -25,14 +25,10 @@ def checked_limit(limit: int) -> int:
 def first_tables(questions: DataFrame, catalog: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The last resort: the first ``limit`` tables of the catalog by name, for
     every question given."""
-    names = catalog.select("table_name").distinct().orderBy("table_name").limit(limit)
-    # One row holding at most ``limit`` names.
-    listed = names.agg(F.sort_array(F.collect_list("table_name")).alias("names")).withColumn("all", F.lit(1))
-    return (
-        questions.select("question_id", F.lit(1).alias("all"))
-        .join(F.broadcast(listed), "all")
-        .select("question_id", F.explode("names").alias("table_name"))
-        .withColumn("relevance_score", F.lit(LAST_RESORT_SCORE))
+    listed = catalog.select("table_name").distinct().orderBy("table_name").limit(limit).collect()
+    names = F.array(*[F.lit(row.table_name) for row in listed]).cast("array<string>")
+    return questions.select("question_id", F.explode(names).alias("table_name")).withColumn(
+        "relevance_score", F.lit(LAST_RESORT_SCORE)
     )
 
 

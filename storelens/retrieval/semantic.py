@@ -20,6 +20,8 @@ from storelens.operators.ranking import top_n_per_group
 
 MULTIPLIER = 10
 BLOCK_QUESTIONS = 20_000
+BLOCK_BYTES = 64_000_000
+PRODUCT_CELLS = 8_000_000
 DIGITS = 6
 
 
@@ -43,23 +45,25 @@ def _nearest_in_task(block, k: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, vectors = block.value
+        # Descriptions per product, so that its size does not depend on the batch.
+        step = max(1, PRODUCT_CELLS // len(ids))
         question = np.empty(0, dtype=np.int64)
         row = np.empty(0, dtype=np.int64)
         score = np.empty(0, dtype=np.float64)
         tables = np.empty(0, dtype=object)
         for batch in batches:
-            if batch.empty:
-                continue
-            similarity = np.round(vectors @ _unit(batch["vector"]).T, DIGITS)
-            at = max(similarity.shape[1] - k, 0)
-            threshold = np.partition(similarity, at, axis=1)[:, at]
-            q, d = np.nonzero(similarity >= threshold[:, None])
-            question = np.concatenate([question, q])
-            row = np.concatenate([row, batch["row_id"].to_numpy()[d]])
-            score = np.concatenate([score, similarity[q, d]])
-            tables = np.concatenate([tables, batch["table_name"].to_numpy()[d]])
-            keep = _best(question, row, score, k)
-            question, row, score, tables = question[keep], row[keep], score[keep], tables[keep]
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start : start + step]
+                similarity = np.round(vectors @ _unit(part["vector"]).T, DIGITS)
+                at = max(similarity.shape[1] - k, 0)
+                threshold = np.partition(similarity, at, axis=1)[:, at]
+                q, d = np.nonzero(similarity >= threshold[:, None])
+                question = np.concatenate([question, q])
+                row = np.concatenate([row, part["row_id"].to_numpy()[d]])
+                score = np.concatenate([score, similarity[q, d]])
+                tables = np.concatenate([tables, part["table_name"].to_numpy()[d]])
+                keep = _best(question, row, score, k)
+                question, row, score, tables = question[keep], row[keep], score[keep], tables[keep]
         yield pd.DataFrame({"question_id": ids[question], "row_id": row, "table_name": tables, "score": score})
 
     return run
@@ -75,7 +79,9 @@ def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = 5)
     k = limit * MULTIPLIER
     asked = questions.select(F.col("question_id").cast("long"), "vector")
     rows = descriptions.select(F.col("row_id").cast("long"), F.col("table_name").cast("string"), "vector")
-    blocks = max(1, math.ceil(asked.count() / BLOCK_QUESTIONS))
+    size = asked.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
+    block_rows = max(1, min(BLOCK_QUESTIONS, BLOCK_BYTES // (8 * max(size.width or 1, 1))))
+    blocks = max(1, math.ceil(size.n / block_rows))
     schema = "question_id long, row_id long, table_name string, score double"
     found = []
     for number in range(blocks):
