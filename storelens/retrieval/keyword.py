@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from storelens.functions.keywords import with_keywords
+from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 from storelens.session import durable
 
 try:
@@ -169,10 +170,11 @@ def _matched_tables(hits: DataFrame, limit: int, excluded: Sequence[str]) -> Dat
 
 
 def keyword_tables(
-    questions: DataFrame, descriptions: DataFrame, limit: int = 5, excluded: Sequence[str] = ()
+    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = ()
 ) -> DataFrame:
     """The best ``limit`` tables per question: (key columns, table_name,
     relevance_score, table_rank, match_count, listed_columns)."""
+    limit = checked_limit(limit)
     asked = with_signatures(questions)
     budget = limit * ROWS_PER_TABLE
     best = (
@@ -188,7 +190,7 @@ def keyword_tables(
 
 
 def keyword_rows(
-    questions: DataFrame, descriptions: DataFrame, limit: int = 5, excluded: Sequence[str] = ()
+    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = ()
 ) -> DataFrame:
     """The matching description rows per question, best tables first, at most
     ``limit * 15``: key columns, table_rank, column_rank, match_count and the
@@ -196,6 +198,7 @@ def keyword_rows(
 
     Only rows of tables that begin within this budget are ranked.
     """
+    limit = checked_limit(limit)
     asked = with_signatures(questions)
     # Read twice below: once written, the texts are searched only once.
     hits = durable(matches(asked, descriptions))

@@ -12,20 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DEFAULT_LIMIT = 5
+from storelens.retrieval import DEFAULT_LIMIT, checked_limit
+
 DESCRIBED_SCORE = 0.4
 CATALOG_SCORE = 0.3
 LAST_RESORT_SCORE = 0.1
 
 
-def checked_limit(limit: int) -> int:
-    return limit if limit >= 1 else DEFAULT_LIMIT
-
-
 def first_tables(questions: DataFrame, catalog: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The last resort: the first ``limit`` tables of the catalog by name, for
-    every question given."""
-    listed = catalog.select("table_name").distinct().orderBy("table_name").limit(limit).collect()
+    every question given.  Only those names come to the driver."""
+    listed = catalog.select("table_name").distinct().orderBy("table_name").limit(checked_limit(limit)).collect()
     names = F.array(*[F.lit(row.table_name) for row in listed]).cast("array<string>")
     return questions.select("question_id", F.explode(names).alias("table_name")).withColumn(
         "relevance_score", F.lit(LAST_RESORT_SCORE)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.operators.ranking import top_n_per_group
+from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 
 MULTIPLIER = 10
 BLOCK_QUESTIONS = 20_000
@@ -69,14 +70,14 @@ def _nearest_in_task(block, k: int):
     return run
 
 
-def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = 5) -> DataFrame:
+def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The best ``limit * 10`` description rows per question.
 
     questions: question_id bigint, vector; descriptions: row_id bigint,
     table_name, vector.  Only one block of questions is held at a time; with
     more questions the descriptions are read once per block.
     """
-    k = limit * MULTIPLIER
+    k = checked_limit(limit) * MULTIPLIER
     asked = questions.select(F.col("question_id").cast("long"), "vector")
     rows = descriptions.select(F.col("row_id").cast("long"), F.col("table_name").cast("string"), "vector")
     size = asked.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
@@ -99,7 +100,7 @@ def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = 5)
 
 
 def semantic_tables(
-    questions: DataFrame, descriptions: DataFrame, limit: int = 5, excluded: Sequence[str] = ()
+    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = ()
 ) -> DataFrame:
     """The best ``limit`` tables per question by the mean score of their hits."""
     scored = (
@@ -112,4 +113,4 @@ def semantic_tables(
         )
     )
     order = [F.desc("relevance_score"), F.col("table_name")]
-    return top_n_per_group(scored, ["question_id"], order, limit, "table_rank")
+    return top_n_per_group(scored, ["question_id"], order, checked_limit(limit), "table_rank")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="storelens-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_dir(sc.applicationId)
+
+
+@lru_cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"storelens-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
