@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.sources.star import Star
+from storelens.sources.star import Star, WarehouseStar
 
 # The star roles as SQL, in the order in which they may refer to each other.
 ROLES = {
@@ -21,7 +21,7 @@ ROLES = {
             SELECT l_orderkey, min(l_shipdate) AS approved_at, max(l_shipdate) AS delivered_ts
             FROM lineitem GROUP BY l_orderkey) d ON o.order_id = d.l_orderkey""",
     "w_customers": """
-        SELECT c_custkey AS customer_id, n_name AS state, c_mktsegment AS city
+        SELECT c_custkey AS customer_id, c_custkey AS person_id, n_name AS state, c_mktsegment AS city
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "w_sellers": """
         SELECT s_suppkey AS seller_id, n_name AS state, r_name AS city
@@ -49,6 +49,8 @@ ROLES = {
 class Entry:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
+    on_star: Callable[[Star | WarehouseStar], DataFrame] | None = None
+    star_sql: str | None = None
 
 
 def with_ctes(body: str, ctes: dict[str, str]) -> str:
@@ -69,4 +71,8 @@ def with_ctes(body: str, ctes: dict[str, str]) -> str:
 
 def star_entry(job: Callable[..., DataFrame], sql: str, **arguments) -> Entry:
     """A question over the star roles, with its SQL over the same roles."""
-    return Entry(lambda spark, sf_dir: job(Star(spark, sf_dir), **arguments), with_ctes(sql, ROLES))
+
+    def on_star(star: Star | WarehouseStar) -> DataFrame:
+        return job(star, **arguments)
+
+    return Entry(lambda spark, sf_dir: on_star(Star(spark, sf_dir)), with_ctes(sql, ROLES), on_star, sql)

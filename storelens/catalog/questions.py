@@ -75,13 +75,14 @@ ORDERS: dict[str, Entry] = {
     ),
     "customers_with_most_orders": star_entry(
         orders.customers_with_most_orders,
-        """SELECT customer_id, COUNT(order_id) AS order_count FROM w_orders GROUP BY customer_id
-           ORDER BY order_count DESC, customer_id LIMIT 10""",
+        """SELECT c.person_id, COUNT(o.order_id) AS order_count
+           FROM w_orders o JOIN w_customers c ON o.customer_id = c.customer_id GROUP BY c.person_id
+           ORDER BY order_count DESC, c.person_id LIMIT 10""",
     ),
     "customers_active_in_four_months": star_entry(
         orders.customers_active_in_months,
-        """SELECT c.customer_id, COUNT(DISTINCT DATE_TRUNC('month', o.purchase_ts)) AS months_with_orders
-           FROM w_orders o JOIN w_customers c ON o.customer_id = c.customer_id GROUP BY c.customer_id
+        """SELECT c.person_id, COUNT(DISTINCT DATE_TRUNC('month', o.purchase_ts)) AS months_with_orders
+           FROM w_orders o JOIN w_customers c ON o.customer_id = c.customer_id GROUP BY c.person_id
            HAVING COUNT(DISTINCT DATE_TRUNC('month', o.purchase_ts)) >= 4""",
     ),
     "on_time_by_month": star_entry(
@@ -168,7 +169,7 @@ SALES: dict[str, Entry] = {
     ),
     "avg_order_value_by_city": star_entry(
         sales.avg_order_value_by_city,
-        f"""SELECT c.city, c.state, CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(*) AS avg_order_value
+        f"""SELECT c.city, c.state, CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(i.price + i.freight) AS avg_order_value
             FROM {ITEMS_TO_CUSTOMERS} GROUP BY c.city, c.state""",
     ),
     "revenue_by_customer_state": star_entry(
@@ -178,9 +179,9 @@ SALES: dict[str, Entry] = {
     ),
     "states_with_high_order_value": star_entry(
         sales.states_with_avg_order_value_above,
-        f"""SELECT c.state, CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(*) AS avg_order_value
+        f"""SELECT c.state, CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(i.price + i.freight) AS avg_order_value
             FROM {ITEMS_TO_CUSTOMERS} GROUP BY c.state
-            HAVING CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(*) > 55000""",
+            HAVING CAST(SUM(i.price + i.freight) AS DOUBLE) / COUNT(i.price + i.freight) > 55000""",
         threshold=55000.0,
     ),
     "running_monthly_revenue": star_entry(
@@ -213,7 +214,7 @@ SALES: dict[str, Entry] = {
     "freight_by_seller_state": star_entry(
         sales.freight_by_seller_state,
         """SELECT s.state, CAST(SUM(i.freight) AS DOUBLE) AS total_freight,
-                  CAST(SUM(i.freight) AS DOUBLE) / COUNT(*) AS avg_freight
+                  CAST(SUM(i.freight) AS DOUBLE) / COUNT(i.freight) AS avg_freight
            FROM w_items i JOIN w_sellers s ON i.seller_id = s.seller_id GROUP BY s.state""",
     ),
     "seller_running_total_by_state": star_entry(
@@ -340,16 +341,16 @@ PAYMENTS: dict[str, Entry] = {
     ),
     "customer_lifetime_value": star_entry(
         payments.customer_lifetime_value,
-        f"""SELECT customer_id, total_paid, order_count, RANK() OVER (ORDER BY total_paid DESC) AS rank
-            FROM (SELECT c.customer_id, CAST(SUM(p.payment_value) AS DOUBLE) AS total_paid,
+        f"""SELECT person_id, total_paid, order_count, RANK() OVER (ORDER BY total_paid DESC) AS rank
+            FROM (SELECT c.person_id, CAST(SUM(p.payment_value) AS DOUBLE) AS total_paid,
                          COUNT(DISTINCT o.order_id) AS order_count
-                  FROM {PAYMENTS_TO_CUSTOMERS} GROUP BY c.customer_id)
-            ORDER BY rank, customer_id LIMIT 20""",
+                  FROM {PAYMENTS_TO_CUSTOMERS} GROUP BY c.person_id)
+            ORDER BY rank, person_id LIMIT 20""",
     ),
     "orders_and_avg_payment_by_state": star_entry(
         payments.orders_and_avg_payment_by_state,
         f"""SELECT c.state, COUNT(DISTINCT o.order_id) AS order_count,
-                   CAST(SUM(p.payment_value) AS DOUBLE) / COUNT(*) AS avg_payment
+                   CAST(SUM(p.payment_value) AS DOUBLE) / COUNT(p.payment_value) AS avg_payment
             FROM {PAYMENTS_TO_CUSTOMERS} GROUP BY c.state""",
     ),
     "monthly_payment_growth": star_entry(
@@ -418,7 +419,7 @@ PEOPLE: dict[str, Entry] = {
         people.customers_in_city, _count_sql("customer", "WHERE city = 'BUILDING'"), city="BUILDING"
     ),
     "unique_customers": star_entry(
-        people.unique_customers, "SELECT COUNT(DISTINCT customer_id) AS unique_customers FROM w_customers"
+        people.unique_customers, "SELECT COUNT(DISTINCT person_id) AS unique_customers FROM w_customers"
     ),
     "seller_count": star_entry(people.seller_count, _count_sql("seller")),
     "sellers_in_state": star_entry(

@@ -144,12 +144,11 @@ def _semantic_tables(spark, sf_dir) -> DataFrame:
 
 
 def _tiers(spark, sf_dir) -> DataFrame:
-    """Questions with a vector of a low label are found by vector, the others
-    by keyword, the rest by the table list."""
+    """Questions that have a vector are found by vector, the others by keyword,
+    the rest by the table list."""
     questions = _questions(spark, sf_dir)
     with_vector = (
         table(spark, sf_dir, "embeddings")
-        .filter(F.col("label") < 5)
         .select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("vector"))
         .join(questions.select("question_id"), "question_id", "left_semi")
     )
@@ -237,7 +236,7 @@ ENTRIES: dict[str, Entry] = {
             """SELECT question_id, table_name, relevance_score, tier FROM (
                    SELECT *, min(tier) OVER (PARTITION BY question_id) AS best FROM (
                        SELECT n.question_id, n.table_name, n.relevance_score, 1 AS tier FROM w_near_tables n
-                       JOIN embeddings e ON e.vec_id = n.question_id WHERE e.label < 5
+                       JOIN embeddings e ON e.vec_id = n.question_id
                        UNION ALL SELECT question_id, table_name, relevance_score, 2 FROM w_keyword_tables
                        UNION ALL SELECT question_id, table_name, 0.1::DOUBLE, 3 FROM w_questions CROSS JOIN
                            (SELECT DISTINCT table_name FROM w_catalog ORDER BY table_name LIMIT 5))

@@ -97,24 +97,32 @@ def monthly_order_growth(star: Star) -> DataFrame:
 
 
 def customers_with_most_orders(star: Star, k: int = 10) -> DataFrame:
-    """Per person, not per order-level customer id."""
-    counts = star.orders.groupBy("customer_id").agg(F.count("order_id").alias("order_count"))
-    return top_k(counts, [F.desc("order_count"), F.col("customer_id")], k)
+    """People by number of orders; one person may have many customer rows."""
+    counts = star.orders.groupBy("customer_id").agg(F.count("order_id").alias("n"))
+    people = (
+        counts.join(star.customers.select("customer_id", "person_id"), "customer_id")
+        .groupBy("person_id")
+        .agg(F.sum("n").alias("order_count"))
+    )
+    return top_k(people, [F.desc("order_count"), F.col("person_id")], k)
 
 
 def customers_active_in_months(star: Star, months: int = 4) -> DataFrame:
     """People with orders in at least ``months`` distinct months.
 
-    Orders are reduced to (person, month) first; a person has no more of those
-    than the calendar has months.
+    Orders are reduced to (customer, month) first; a person has no more months
+    than the calendar.
     """
-    active = star.orders.select("customer_id", month_of(F.col("purchase_ts")).alias("order_month")).distinct()
-    counted = active.groupBy("customer_id").agg(F.count("order_month").alias("months_with_orders"))
-    return (
-        counted.filter(F.col("months_with_orders") >= months)
-        .join(star.customers.select("customer_id"), "customer_id", "left_semi")
-        .orderBy(F.desc("months_with_orders"), "customer_id")
+    month = month_of(F.col("purchase_ts")).alias("order_month")
+    active = (
+        star.orders.select("customer_id", month)
+        .distinct()
+        .join(star.customers.select("customer_id", "person_id"), "customer_id")
+        .select("person_id", "order_month")
+        .distinct()
     )
+    counted = active.groupBy("person_id").agg(F.count("order_month").alias("months_with_orders"))
+    return counted.filter(F.col("months_with_orders") >= months).orderBy(F.desc("months_with_orders"), "person_id")
 
 
 def on_time_by_month(star: Star) -> DataFrame:

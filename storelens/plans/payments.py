@@ -89,10 +89,11 @@ def state_payment_rank(star: Star) -> DataFrame:
 def customer_lifetime_value(star: Star, k: int = 20) -> DataFrame:
     paid = (
         _per_customer(star)
-        .join(star.customers.select("customer_id"), "customer_id", "left_semi")
-        .select("customer_id", F.col("v").cast("double").alias("total_paid"), F.col("orders").alias("order_count"))
+        .join(star.customers.select("customer_id", "person_id"), "customer_id")
+        .groupBy("person_id")
+        .agg(total(F.col("v")).alias("total_paid"), F.sum("orders").alias("order_count"))
     )
-    return top_ranked(paid, "total_paid", "customer_id", k)
+    return top_ranked(paid, "total_paid", "person_id", k)
 
 
 def orders_and_avg_payment_by_state(star: Star) -> DataFrame:

@@ -18,7 +18,7 @@ def customers_in_city(star: Star, city: str) -> DataFrame:
 
 
 def unique_customers(star: Star) -> DataFrame:
-    return star.customers.agg(F.countDistinct("customer_id").alias("unique_customers"))
+    return star.customers.agg(F.countDistinct("person_id").alias("unique_customers"))
 
 
 def seller_count(star: Star) -> DataFrame:

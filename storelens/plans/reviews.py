@@ -48,7 +48,10 @@ def _item_weighted(star: Star, key: str) -> DataFrame:
     return (
         counted.join(star.reviews, "order_id")
         .groupBy(key)
-        .agg(F.sum(F.col("score") * F.col("n")).alias("s"), F.sum("n").alias("n"))
+        .agg(
+            F.sum(F.col("score") * F.col("n")).alias("s"),
+            F.sum(F.when(F.col("score").isNotNull(), F.col("n"))).alias("n"),
+        )
     )
 
 

@@ -30,19 +30,25 @@ def avg_freight(star: Star) -> DataFrame:
 
 def avg_price_in_category(star: Star, category: str) -> DataFrame:
     wanted = star.products.filter(F.col("category") == category).select("product_id")
-    return star.items.join(wanted, "product_id", "left_semi").agg(
-        ratio(F.sum("price"), F.count("price")).alias("avg_price")
+    per_product = star.items.groupBy("product_id").agg(F.sum("price").alias("v"), F.count("price").alias("n"))
+    return per_product.join(wanted, "product_id", "left_semi").agg(
+        ratio(F.sum("v"), F.sum("n")).alias("avg_price")
+    )
+
+
+def _freight_of(star: Star, chosen: DataFrame) -> DataFrame:
+    per_order = star.items.groupBy("order_id").agg(F.sum("freight").alias("v"))
+    return per_order.join(chosen.select("order_id"), "order_id", "left_semi").agg(
+        total(F.col("v")).alias("total_freight")
     )
 
 
 def freight_of_orders_placed_in(star: Star, year: int) -> DataFrame:
-    placed = star.orders.filter(year_range(F.col("purchase_ts"), year)).select("order_id")
-    return star.items.join(placed, "order_id", "left_semi").agg(total(F.col("freight")).alias("total_freight"))
+    return _freight_of(star, star.orders.filter(year_range(F.col("purchase_ts"), year)))
 
 
 def freight_of_orders_delivered_in(star: Star, year: int) -> DataFrame:
-    delivered = star.tracked_orders.filter(year_range(F.col("delivered_ts"), year)).select("order_id")
-    return star.items.join(delivered, "order_id", "left_semi").agg(total(F.col("freight")).alias("total_freight"))
+    return _freight_of(star, star.tracked_orders.filter(year_range(F.col("delivered_ts"), year)))
 
 
 def _per_customer(star: Star, value: Column) -> DataFrame:

@@ -1,11 +1,14 @@
-"""The retail star schema, read from the test tables.
+"""The retail star schema, over the test tables or over a loaded warehouse.
 
-Money is decimal, so sums do not depend on the order in which partitions
+Keys: ``order_id``, ``product_id`` and ``seller_id`` identify a row of their
+table; ``customer_id`` identifies a row of customers, ``person_id`` the person
+behind it, who may have many.  Money is decimal, so sums do not depend on the order in which partitions
 arrive and a re-run after a lost executor gives the same digits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +61,7 @@ class Star:
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("c_custkey").alias("customer_id"),
+                F.col("c_custkey").alias("person_id"),
                 "state",
                 F.col("c_mktsegment").alias("city"),
             )
@@ -121,3 +125,71 @@ class Star:
             .distinct()
             .withColumn("category_english", F.lower("category"))
         )
+
+
+@dataclass(frozen=True)
+class WarehouseStar:
+    """The same roles over loaded warehouse tables, by upper-case table name."""
+
+    tables: Mapping[str, DataFrame]
+
+    def _pick(self, table_name: str, **columns: str) -> DataFrame:
+        return self.tables[table_name].select(*[F.col(source).alias(role) for role, source in columns.items()])
+
+    @property
+    def orders(self) -> DataFrame:
+        return self._pick(
+            "ORDERS", order_id="ORDER_ID", customer_id="CUSTOMER_ID", status="ORDER_STATUS",
+            purchase_ts="ORDER_PURCHASE_TIMESTAMP",
+        )
+
+    @property
+    def tracked_orders(self) -> DataFrame:
+        return self._pick(
+            "ORDERS", order_id="ORDER_ID", customer_id="CUSTOMER_ID", status="ORDER_STATUS",
+            purchase_ts="ORDER_PURCHASE_TIMESTAMP", approved_at="ORDER_APPROVED_AT",
+            delivered_ts="ORDER_DELIVERED_CUSTOMER_DATE", estimated_ts="ORDER_ESTIMATED_DELIVERY_DATE",
+        )
+
+    @property
+    def customers(self) -> DataFrame:
+        return self._pick(
+            "CUSTOMERS", customer_id="CUSTOMER_ID", person_id="CUSTOMER_UNIQUE_ID", state="CUSTOMER_STATE",
+            city="CUSTOMER_CITY",
+        )
+
+    @property
+    def sellers(self) -> DataFrame:
+        return self._pick("SELLERS", seller_id="SELLER_ID", state="SELLER_STATE", city="SELLER_CITY")
+
+    @property
+    def items(self) -> DataFrame:
+        return self._pick(
+            "ORDER_ITEMS", order_id="ORDER_ID", order_item_id="ORDER_ITEM_ID", product_id="PRODUCT_ID",
+            seller_id="SELLER_ID", price="PRICE", freight="FREIGHT_VALUE",
+        )
+
+    @property
+    def payments(self) -> DataFrame:
+        return self._pick(
+            "ORDER_PAYMENTS", order_id="ORDER_ID", payment_type="PAYMENT_TYPE", installments="PAYMENT_INSTALLMENTS",
+            payment_value="PAYMENT_VALUE",
+        )
+
+    @property
+    def reviews(self) -> DataFrame:
+        return self._pick("ORDER_REVIEWS", order_id="ORDER_ID", score="REVIEW_SCORE")
+
+    @property
+    def products(self) -> DataFrame:
+        return self._pick(
+            "PRODUCTS", product_id="PRODUCT_ID", category="PRODUCT_CATEGORY_NAME", weight_g="PRODUCT_WEIGHT_G",
+            photos="PRODUCT_PHOTOS_QTY", description_length="PRODUCT_DESCRIPTION_LENGTH",
+        )
+
+    @property
+    def translation(self) -> DataFrame:
+        return self._pick(
+            "PRODUCT_CATEGORY_TRANSLATION", category="PRODUCT_CATEGORY_NAME",
+            category_english="PRODUCT_CATEGORY_NAME_ENGLISH",
+        )
