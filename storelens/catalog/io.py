@@ -146,7 +146,8 @@ def _stream_monitor(spark, sf_dir) -> DataFrame:
 
 
 def _stream_steps(spark, sf_dir) -> DataFrame:
-    marks = stream_table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase")).select(
+    # A micro-batch bounds what one query can bring into one task.
+    marks = stream_table(spark, sf_dir, "events", bytes_per_trigger=256 << 20).filter(F.col("event_type").isin("view", "purchase")).select(
         F.col("user_id").alias("query_id"),
         F.col("event_id").alias("mark_id"),
         "ts",

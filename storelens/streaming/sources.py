@@ -8,13 +8,13 @@ from pyspark.sql.streaming import DataStreamWriter
 from storelens.sources.tables import table
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1000) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, bytes_per_trigger: int = 8 << 30) -> DataFrame:
     """A table as a stream of its files.  The star also matches a table that is
     one file, which the file source would not take as a folder."""
     schema = table(spark, sf_dir, name).schema
     return (
         spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxBytesPerTrigger", bytes_per_trigger)
         .parquet(f"{sf_dir.rstrip('/')}/{name}.parquet*")
     )
 
