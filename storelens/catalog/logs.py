@@ -101,6 +101,11 @@ def _dataset(spark, sf_dir) -> DataFrame:
     return dataset.build(_golden(spark, sf_dir), _pairs(spark, sf_dir))
 
 
+def _sample(spark, sf_dir) -> DataFrame:
+    golden = _golden(spark, sf_dir).select("position", "difficulty")
+    return stratified_sample(golden, "difficulty", "position", quotas(50))
+
+
 def _sql(body: str) -> str:
     return with_ctes(body, CTES)
 
@@ -288,9 +293,7 @@ DATASET: dict[str, Entry] = {
            FROM documents""",
     ),
     "stratified_quota": Entry(
-        lambda s, d: stratified_sample(
-            _golden(s, d).select("position", "difficulty"), "difficulty", "position", quotas(50)
-        ),
+        _sample,
         _sql(
             """SELECT position, difficulty, id, (id - 1) // 5 AS batch
                FROM (SELECT position, difficulty, ROW_NUMBER() OVER (
@@ -298,6 +301,42 @@ DATASET: dict[str, Entry] = {
                WHERE id <= CASE difficulty WHEN 'hard' THEN 10 ELSE 20 END"""
         ),
     ),
+    "generation_prompts": Entry(
+        lambda s, d: dataset.generation_prompts(_sample(s, d), F.lit("Table: EVENTS")),
+        _sql(
+            """SELECT difficulty, batch, wanted, concat('Write business questions about this warehouse, each with one SQL query.',
+                      chr(10), chr(10), 'SCHEMA:', chr(10), 'Table: EVENTS', chr(10), chr(10), 'DIFFICULTY: ', difficulty, ' (',
+                      CASE difficulty
+                          WHEN 'easy' THEN 'one table; filters, ORDER BY and LIMIT, plain aggregates; no joins and no window functions'
+                          WHEN 'medium' THEN 'joins of two or three tables, GROUP BY, several filters, subqueries, date and string functions'
+                          ELSE 'joins of three and more tables, window functions, CTEs, nested subqueries, CASE and date logic' END,
+                      ')', chr(10), 'NUMBER: ', wanted, chr(10), chr(10), 'Answer with a JSON array of ', wanted,
+                      ' objects: question, sql_query, tables_used. Prefix tables with their schema; do not repeat a pattern.') AS prompt
+               FROM (SELECT difficulty, (id - 1) // 5 AS batch, COUNT(*) AS wanted
+                     FROM (SELECT difficulty, ROW_NUMBER() OVER (
+                               PARTITION BY difficulty ORDER BY md5('42:' || position), position) AS id FROM w_golden)
+                     WHERE id <= CASE difficulty WHEN 'hard' THEN 10 ELSE 20 END
+                     GROUP BY 1, 2)"""
+        ),
+    ),
+    "describe_prompts": Entry(
+        lambda s, d: dataset.describe_prompts(
+            table(s, d, "documents").select(
+                F.col("source").alias("table_name"),
+                F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("column_name"),
+                F.lit("VARCHAR").alias("data_type"),
+            ),
+            page_columns=20,
+        ),
+        """SELECT source AS table_name, page, concat('Describe each column of this table for business users.', chr(10), chr(10),
+                  'Table: ', source, chr(10), 'Columns:', chr(10), string_agg(concat('- ', name, ' (VARCHAR)'), chr(10) ORDER BY rn),
+                  chr(10), chr(10),
+                  'Answer with a JSON array of objects: column_name, description, synonyms, sample_values.') AS prompt
+           FROM (SELECT source, name, rn, (rn - 1) // 20 AS page FROM (
+               SELECT source, concat('doc_', doc_id) AS name,
+                      ROW_NUMBER() OVER (PARTITION BY source ORDER BY concat('doc_', doc_id)) AS rn FROM documents))
+           GROUP BY source, page""",
+    ),
     "ids_per_difficulty": Entry(
         lambda s, d: number_rows_per_group(
             _golden(s, d).select("position", "difficulty"), "difficulty", ["position"], "id"

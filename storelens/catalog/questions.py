@@ -5,9 +5,17 @@ Names of places, categories and payment types are those of the test tables.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from storelens.catalog.entry import Entry, star_entry
 from storelens.plans import orders, payments, people, reviews, sales
 
+def _date_texts(star) -> DataFrame:
+    dates = {name: F.col(name).cast("string") for name in ("order_date", "due_date")}
+    return orders.date_parts(star).withColumns(dates)
+
+
 ORDERS: dict[str, Entry] = {
     "total_orders": star_entry(orders.total_orders, "SELECT COUNT(*) AS total_orders FROM w_orders"),
     "completed_orders": star_entry(
@@ -60,6 +68,14 @@ ORDERS: dict[str, Entry] = {
            WHERE EXTRACT(YEAR FROM purchase_ts) = 1998 GROUP BY 1""",
         year=1998,
     ),
+    "date_parts": star_entry(
+        _date_texts,
+        """SELECT order_id, CAST(EXTRACT(YEAR FROM purchase_ts) AS INTEGER) AS order_year,
+                  CAST(EXTRACT(MONTH FROM purchase_ts) AS INTEGER) AS order_month,
+                  CAST(CAST(purchase_ts AS DATE) AS VARCHAR) AS order_date,
+                  CAST(CAST(purchase_ts AS DATE) + 7 AS VARCHAR) AS due_date
+           FROM w_orders""",
+    ),
     "busiest_month": star_entry(
         orders.busiest_month,
         """SELECT DATE_TRUNC('month', purchase_ts) AS month, COUNT(*) AS order_count FROM w_orders

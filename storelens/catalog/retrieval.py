@@ -169,7 +169,7 @@ def _prompt(spark, sf_dir) -> DataFrame:
     schema = prompts.schema_text(_keyword_rows(spark, sf_dir), "question_id", PREFIX)
     asked = _questions(spark, sf_dir).join(schema, "question_id", "left")
     prompt = prompts.question_prompt(RULES, F.col("schema_text"), EXAMPLES, F.col("text"))
-    return asked.select("question_id", F.md5(prompt).alias("prompt_md5"), F.length(prompt).alias("prompt_length"))
+    return asked.select("question_id", F.md5(prompt).alias("prompt_md5"), F.length(prompt).cast("long").alias("prompt_length"))
 
 
 _LINE = """concat('  - ', column_name, ' (', data_type, '): ', description,

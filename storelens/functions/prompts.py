@@ -91,6 +91,26 @@ def describe_prompt(table: Column, columns: Column) -> Column:
     )
 
 
+# What a question of each difficulty may use.
+DIFFICULTY_RULES = {
+    "easy": "one table; filters, ORDER BY and LIMIT, plain aggregates; no joins and no window functions",
+    "medium": "joins of two or three tables, GROUP BY, several filters, subqueries, date and string functions",
+    "hard": "joins of three and more tables, window functions, CTEs, nested subqueries, CASE and date logic",
+}
+
+
+def generation_prompt(schema: Column, difficulty: Column, count: Column) -> Column:
+    """Ask for ``count`` questions of a difficulty, with their SQL, as JSON."""
+    rules = F.create_map(*[F.lit(x) for pair in DIFFICULTY_RULES.items() for x in pair])
+    number = count.cast("string")
+    return F.concat(
+        F.lit("Write business questions about this warehouse, each with one SQL query.\n\nSCHEMA:\n"), schema,
+        F.lit("\n\nDIFFICULTY: "), difficulty, F.lit(" ("), rules[difficulty], F.lit(")\nNUMBER: "), number,
+        F.lit("\n\nAnswer with a JSON array of "), number,
+        F.lit(" objects: question, sql_query, tables_used. Prefix tables with their schema; do not repeat a pattern."),
+    )
+
+
 def retry_prompt(question: Column, error: Column, failed_sql: Column) -> Column:
     """The question again, with the error and the statement that caused it."""
     return F.concat(

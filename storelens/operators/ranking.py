@@ -29,17 +29,18 @@ def top_n_per_group(
     shuffle, so a group with a third of all rows costs no more than the others.
     """
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank_name, F.row_number().over(window)).filter(F.col(rank_name) <= n)
+    first = df.withColumn(rank_name, F.row_number().over(window)).filter(F.col(rank_name) <= n)
+    return first.withColumn(rank_name, F.col(rank_name).cast("long"))
 
 
 def top_ranked(df: DataFrame, value: str, tie: str, k: int, rank_name: str = "rank") -> DataFrame:
     """``RANK()`` over the whole table by ``value`` descending, first ``k`` rows.
 
-    Ranks beyond ``k`` are cut inside each task before the single-task window.
+    All rows that rank before one of the first ``k`` are among the first ``k``
+    themselves, so the ranks are worked out on those alone.
     """
-    window = Window.orderBy(F.col(value).desc())
-    ranked = df.withColumn(rank_name, F.rank().over(window)).filter(F.col(rank_name) <= k)
-    return top_k(ranked, [F.col(rank_name), F.col(tie)], k)
+    first = top_k(df, [F.desc(value), F.col(tie)], k)
+    return rank_small(first, value, rank_name).orderBy(rank_name, tie)
 
 
 def rank_small(df: DataFrame, value: str, rank_name: str = "rank") -> DataFrame:
@@ -48,7 +49,8 @@ def rank_small(df: DataFrame, value: str, rank_name: str = "rank") -> DataFrame:
     Runs in one task: only for results bounded by a fixed dimension (states,
     months).  Use :func:`top_ranked` for entities that grow with the data.
     """
-    return df.withColumn(rank_name, F.rank().over(Window.orderBy(F.col(value).desc())))
+    rank = F.rank().over(Window.orderBy(F.col(value).desc()))
+    return df.withColumn(rank_name, rank.cast("long"))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_num") -> DataFrame:

@@ -71,5 +71,6 @@ def stratified_sample(
         .withColumn("id", F.row_number().over(window))
         .filter(F.col("id") <= max(quota.values()))
         .filter(F.col("id") <= allowed[F.col(stratum)])
+        .withColumn("id", F.col("id").cast("long"))
         .withColumn("batch", F.floor((F.col("id") - 1) / batch_size))
     )

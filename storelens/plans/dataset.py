@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions.prompts import training_text
+from storelens.functions.prompts import describe_prompt, generation_prompt, training_text
 from storelens.functions.sqltext import qualify_sql
-from storelens.operators.ranking import keep_first
+from storelens.operators.ranking import keep_first, number_rows_per_group
 from storelens.plans.responses import PREFIX, WAREHOUSE_TABLES
 
 INSTRUCTION = "Answer the question about the retail warehouse with one SQL query. Return only the query."
@@ -74,3 +74,23 @@ def training_texts(dataset: DataFrame, end_mark: str = "</s>") -> DataFrame:
     return dataset.withColumn(
         "text", training_text(F.col("instruction"), F.col("input"), F.col("output"), end_mark)
     )
+
+
+def describe_prompts(columns: DataFrame, page_columns: int = 50) -> DataFrame:
+    """Prompts that ask for column descriptions, one per table and page of
+    columns, so that a table with very many columns gives more prompts instead
+    of a longer one.  columns: table_name, column_name, data_type."""
+    numbered = number_rows_per_group(columns, "table_name", ["column_name"], "place")
+    line = F.concat(F.lit("- "), "column_name", F.lit(" ("), "data_type", F.lit(")"))
+    return (
+        numbered.withColumn("page", F.floor((F.col("place") - 1) / page_columns))
+        .groupBy("table_name", "page")
+        .agg(F.sort_array(F.collect_list(F.struct("place", line.alias("line")))).alias("lines"))
+        .select("table_name", "page", describe_prompt(F.col("table_name"), F.col("lines.line")).alias("prompt"))
+    )
+
+
+def generation_prompts(sample: DataFrame, schema: Column) -> DataFrame:
+    """One prompt per difficulty and batch of a stratified sample."""
+    batches = sample.groupBy("difficulty", "batch").agg(F.count("*").alias("wanted"))
+    return batches.withColumn("prompt", generation_prompt(schema, F.col("difficulty"), F.col("wanted")))

@@ -82,6 +82,18 @@ def orders_per_quarter(star: Star, year: int) -> DataFrame:
     )
 
 
+def date_parts(star: Star, due_days: int = 7) -> DataFrame:
+    """Calendar parts of each order's purchase time, and a due date after it."""
+    bought = F.to_date("purchase_ts")
+    return star.orders.select(
+        "order_id",
+        F.year("purchase_ts").alias("order_year"),
+        F.month("purchase_ts").alias("order_month"),
+        bought.alias("order_date"),
+        F.date_add(bought, due_days).alias("due_date"),
+    )
+
+
 def busiest_month(star: Star) -> DataFrame:
     months = star.orders.groupBy(month_of(F.col("purchase_ts")).alias("month")).agg(
         F.count("*").alias("order_count")

@@ -82,4 +82,4 @@ def chart_frame(df: DataFrame, rows: int = CHART_ROWS) -> DataFrame | None:
 
 def display_frame(df: DataFrame, order: list[str], rows: int = DISPLAY_ROWS) -> DataFrame:
     """The first rows for display, each with the true size of the result."""
-    return df.orderBy(*order).limit(rows).withColumn("total_rows", F.lit(df.count()))
+    return df.orderBy(*order).limit(rows).withColumn("total_rows", F.lit(df.count()).cast("long"))

@@ -166,6 +166,7 @@ def _matched_tables(hits: DataFrame, limit: int, excluded: Sequence[str]) -> Dat
         counts.withColumn("rows_before", F.coalesce(before, F.lit(0)))
         .withColumn("table_rank", F.row_number().over(order))
         .filter(F.col("rows_before") < limit * ROWS_PER_TABLE)
+        .withColumn("table_rank", F.col("table_rank").cast("long"))
     )
 
 
@@ -208,6 +209,7 @@ def keyword_rows(
         hits.join(best, ["signature", "table_name"])
         .withColumn("column_rank", F.row_number().over(order))
         .filter(F.col("column_rank") <= limit * ROWS_PER_TABLE)
+        .withColumn("column_rank", F.col("column_rank").cast("long"))
     )
     # Ranked rows carry keys only; the long texts join in at the end.
     return (

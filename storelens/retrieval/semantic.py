@@ -94,7 +94,7 @@ def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = DE
         )
         found.append(rows.mapInPandas(_nearest_in_task(block, k), schema))
     if not found:
-        return questions.sparkSession.createDataFrame([], schema + ", row_rank int")
+        return questions.sparkSession.createDataFrame([], schema + ", row_rank long")
     order = [F.desc("score"), F.col("row_id")]
     return top_n_per_group(reduce(DataFrame.unionByName, found), ["question_id"], order, k, "row_rank")
 
