@@ -1,0 +1,15 @@
+"""Join sides whose size is checked before they are broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``rows`` rows, else as it
+    is, for Spark to shuffle.  For narrow rows that are cheap to count, such as
+    a written result."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

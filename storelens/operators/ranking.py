@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from storelens.operators.joins import small_side
 from storelens.session import durable
 
-# Rows of two columns that may be broadcast after they were counted.
-BROADCAST_ROWS = 100_000
-
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int = 20) -> DataFrame:
     """The first ``k`` rows of ``order``; each task keeps at most ``k``."""
@@ -81,10 +79,8 @@ def number_rows_per_group(df: DataFrame, group: str, order: Sequence[str], name:
     """Consecutive numbers 1..n in each group, without a task per group."""
     numbered = number_rows(df, [group, *order], "_overall")
     firsts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_overall").alias("_first"))
-    if firsts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        firsts = F.broadcast(firsts)
     return (
-        numbered.join(firsts, F.col(group).eqNullSafe(F.col("_group")))
+        numbered.join(small_side(firsts), F.col(group).eqNullSafe(F.col("_group")))
         .withColumn(name, F.col("_overall") - F.col("_first") + 1)
         .drop("_overall", "_first", "_group")
     )

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from storelens.functions.keywords import with_keywords
+from storelens.operators.joins import small_side
 from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 from storelens.session import durable
 
@@ -211,10 +212,7 @@ def keyword_rows(
         .filter(F.col("column_rank") <= limit * ROWS_PER_TABLE)
         .withColumn("column_rank", F.col("column_rank").cast("long"))
     )
-    # Ranked rows carry keys only; the long texts join in at the end.
-    return (
-        asked.join(rows, "signature")
-        .drop("signature", "text")
-        .join(descriptions, ["table_name", "column_name"])
-        .withColumn("relevance_score", F.lit(SCORE))
-    )
+    # Ranked rows carry keys only.  While they are few, the texts are picked out
+    # where they are read, instead of shuffling all descriptions.
+    ranked = small_side(durable(asked.join(rows, "signature").drop("signature", "text")))
+    return descriptions.join(ranked, ["table_name", "column_name"]).withColumn("relevance_score", F.lit(SCORE))

@@ -63,13 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and cut its lineage there.
+    """Write ``df`` as a table in the shared folder and go on from there.
 
     For results whose values depend on where a row was computed (partition
-    numbers): a lost executor must not recompute them differently.
+    numbers), which a lost executor must not recompute differently, and for
+    results read more than once.  The size of what was written is known to the
+    planner.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "durable")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -51,12 +51,16 @@ def columns_per_table(catalog: DataFrame) -> DataFrame:
     )
 
 
+LONG_TEXT = 64
+
+
 def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
     """Measured facts per plain column: type, non-null and distinct counts,
-    range, and the ``k`` most frequent values.
+    range, and the ``k`` most frequent values, equally frequent ones by key.
 
-    All columns go through one aggregation by (column, value), which counts
-    repeated values in the map tasks.
+    Values are counted by key, which is the value itself, or its fingerprint
+    when it is long; so long texts are not shuffled.  The texts of the few keys
+    shown are looked up afterwards.
     """
     plain = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     cells = [
@@ -69,30 +73,42 @@ def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
         )
         for position, field in enumerate(plain, 1)
     ]
-    key = ["ordinal", "column_name", "data_type"]
-    values = (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .select("cell.*")
-        .groupBy(*key, "value", "number")
-        .agg(F.count("*").alias("n"))
-    )
+    values = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
     text = F.when(F.col("number").isNull(), F.col("value"))
-    facts = values.groupBy(*key).agg(
-        F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
-        F.count("value").alias("distinct_values"),
+    facts = values.groupBy("ordinal", "column_name", "data_type").agg(
+        F.count("*").alias("row_count"),
+        F.count("value").alias("non_null"),
         F.min("number").alias("min_number"),
         F.max("number").alias("max_number"),
         F.min(text).alias("min_text"),
         F.max(text).alias("max_text"),
     )
-    frequent = top_n_per_group(
-        values.filter(F.col("value").isNotNull()), ["column_name"], [F.desc("n"), F.col("value")], k, "place"
+    is_long = F.length("value") > LONG_TEXT
+    keyed = (
+        values.filter(F.col("value").isNotNull())
+        .withColumn("is_long", is_long)
+        .withColumn("key", F.when(is_long, F.sha2("value", 256)).otherwise(F.col("value")))
     )
-    sampled = frequent.groupBy("column_name").agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), ", "
-        ).alias("sample_values")
+    key = ["column_name", "is_long", "key"]
+    counts = keyed.groupBy(*key).agg(F.count("*").alias("n"))
+    distinct = counts.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
+    frequent = top_n_per_group(counts, ["column_name"], [F.desc("n"), F.col("key"), F.col("is_long")], k, "place")
+    # At most ``k`` rows per column; without long texts among them, Spark drops
+    # the second look at the data.
+    place = ["column_name", "key", "place"]
+    looked_up = (
+        keyed.filter("is_long")
+        .join(F.broadcast(frequent.filter("is_long").select(*place)), ["column_name", "key"])
+        .groupBy("column_name", "place")
+        .agg(F.min("value").alias("value"))
+    )
+    shown = frequent.filter(~F.col("is_long")).select("column_name", "place", F.col("key").alias("value"))
+    ordered = F.sort_array(F.collect_list(F.struct("place", "value")))
+    sampled = shown.unionByName(looked_up).groupBy("column_name").agg(
+        F.array_join(F.transform(ordered, lambda x: x["value"]), ", ").alias("sample_values")
+    )
+    return (
+        facts.join(distinct, "column_name", "left")
+        .join(sampled, "column_name", "left")
+        .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
     )
-    return facts.join(sampled, "column_name", "left")
-
