@@ -26,23 +26,29 @@ PRODUCT_CELLS = 8_000_000
 DIGITS = 6
 
 
-def _unit(vectors: Sequence) -> np.ndarray:
-    matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(norms == 0, 1.0, norms)
+def _vector_tools():
+    """Helpers for driver and tasks.  As inner functions they are sent to the
+    tasks by value, so workers need no copy of this package."""
 
+    def unit(vectors: Sequence) -> np.ndarray:
+        matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+        norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return matrix / np.where(norms == 0, 1.0, norms)
 
-def _best(question: np.ndarray, row: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the first ``k`` entries per question, by score, then row."""
-    order = np.lexsort((row, -score, question))
-    sorted_questions = question[order]
-    starts = np.flatnonzero(np.r_[True, sorted_questions[1:] != sorted_questions[:-1]])
-    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-    return order[place < k]
+    def best(question: np.ndarray, row: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+        """Positions of the first ``k`` entries per question, by score, then row."""
+        order = np.lexsort((row, -score, question))
+        asked = question[order]
+        starts = np.flatnonzero(np.r_[True, asked[1:] != asked[:-1]])
+        place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+        return order[place < k]
+
+    return unit, best
 
 
 def _nearest_in_task(block, k: int):
     """A ``mapInPandas`` function: the task's best ``k`` rows per question."""
+    unit, best = _vector_tools()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, vectors = block.value
@@ -55,7 +61,7 @@ def _nearest_in_task(block, k: int):
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
-                similarity = np.round(vectors @ _unit(part["vector"]).T, DIGITS)
+                similarity = np.round(vectors @ unit(part["vector"]).T, DIGITS)
                 at = max(similarity.shape[1] - k, 0)
                 threshold = np.partition(similarity, at, axis=1)[:, at]
                 q, d = np.nonzero(similarity >= threshold[:, None])
@@ -63,7 +69,7 @@ def _nearest_in_task(block, k: int):
                 row = np.concatenate([row, part["row_id"].to_numpy()[d]])
                 score = np.concatenate([score, similarity[q, d]])
                 tables = np.concatenate([tables, part["table_name"].to_numpy()[d]])
-                keep = _best(question, row, score, k)
+                keep = best(question, row, score, k)
                 question, row, score, tables = question[keep], row[keep], score[keep], tables[keep]
         yield pd.DataFrame({"question_id": ids[question], "row_id": row, "table_name": tables, "score": score})
 
@@ -84,13 +90,14 @@ def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = DE
     block_rows = max(1, min(BLOCK_QUESTIONS, BLOCK_BYTES // (8 * max(size.width or 1, 1))))
     blocks = max(1, math.ceil(size.n / block_rows))
     schema = "question_id long, row_id long, table_name string, score double"
+    unit, _ = _vector_tools()
     found = []
     for number in range(blocks):
         part = asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == number).toPandas()
         if part.empty:
             continue
         block = questions.sparkSession.sparkContext.broadcast(
-            (part["question_id"].to_numpy(dtype=np.int64), _unit(part["vector"]))
+            (part["question_id"].to_numpy(dtype=np.int64), unit(part["vector"]))
         )
         found.append(rows.mapInPandas(_nearest_in_task(block, k), schema))
     if not found:
