@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import linededup, quality
+from storelens.llm import linededup, quality, simhash
 
 
 @dataclass(frozen=True)
@@ -18,5 +18,6 @@ class Entry:
 
 ENTRIES: dict[str, Entry] = {
     "op1_line_dedup": Entry(linededup.op1_line_dedup, linededup.OP1_SQL),
+    "op2_simhash": Entry(simhash.op2_simhash),
     "op7_quality_rules": Entry(quality.op7_quality_rules),
 }
