@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import linededup, quality, simhash
+from storelens.llm import linededup, mixing, packing, quality, simhash
 
 
 @dataclass(frozen=True)
@@ -19,5 +19,7 @@ class Entry:
 ENTRIES: dict[str, Entry] = {
     "op1_line_dedup": Entry(linededup.op1_line_dedup, linededup.OP1_SQL),
     "op2_simhash": Entry(simhash.op2_simhash),
+    "op3_best_fit_packing": Entry(packing.op3_best_fit_packing),
+    "op5_mix_sources": Entry(mixing.op5_mix_sources),
     "op7_quality_rules": Entry(quality.op7_quality_rules),
 }
