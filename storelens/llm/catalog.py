@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import linededup, mixing, packing, quality, simhash
+from storelens.llm import linededup, mixing, packing, quality, secrets, simhash, topk, warc
 
 
 @dataclass(frozen=True)
@@ -20,6 +20,9 @@ ENTRIES: dict[str, Entry] = {
     "op1_line_dedup": Entry(linededup.op1_line_dedup, linededup.OP1_SQL),
     "op2_simhash": Entry(simhash.op2_simhash),
     "op3_best_fit_packing": Entry(packing.op3_best_fit_packing),
+    "op4_top_k": Entry(topk.op4_top_k, topk.OP4_SQL),
     "op5_mix_sources": Entry(mixing.op5_mix_sources),
     "op7_quality_rules": Entry(quality.op7_quality_rules),
+    "op9_warc": Entry(warc.op9_warc),
+    "op10_secret_scan": Entry(secrets.op10_secret_scan),
 }
