@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import linededup, mixing, packing, quality, secrets, simhash, topk, warc
+from storelens.llm import (
+    linededup, mixing, packing, preference, quality, secrets, simhash, topk, urlfilter, warc,
+)
 
 
 @dataclass(frozen=True)
@@ -22,7 +24,9 @@ ENTRIES: dict[str, Entry] = {
     "op3_best_fit_packing": Entry(packing.op3_best_fit_packing),
     "op4_top_k": Entry(topk.op4_top_k, topk.OP4_SQL),
     "op5_mix_sources": Entry(mixing.op5_mix_sources),
+    "op6_url_filter": Entry(urlfilter.op6_url_filter, urlfilter.OP6_SQL),
     "op7_quality_rules": Entry(quality.op7_quality_rules),
+    "op8_chat_preferences": Entry(preference.op8_chat_preferences),
     "op9_warc": Entry(warc.op9_warc),
     "op10_secret_scan": Entry(secrets.op10_secret_scan),
 }
