@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +17,10 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and the benchmark, with its tables in ``folder``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("storelens")
@@ -30,6 +29,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    if folder:
+        builder = builder.config("spark.sql.warehouse.dir", f"{folder}/warehouse")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -38,28 +39,33 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of this machine; on a cluster
-    a missing setting is an error, because an executor could not read it.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir(sc.applicationId)
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or the warehouse
+    folder where that is not set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
-@lru_cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"storelens-{application}-")
+_written: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new, unused path under the shared folder, until :func:`drop_scratch`."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application.  Results that were made of
+    them and not yet written or collected cannot be read any more."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -5,15 +5,16 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent.parent))
 
-from storelens.session import local_session  # noqa: E402
+from storelens.session import drop_scratch, local_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session()
+def spark(tmp_path_factory):
+    session = local_session(folder=str(tmp_path_factory.mktemp("spark")))
     yield session
+    drop_scratch(session)
     session.stop()
 
 

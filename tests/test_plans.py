@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as registered
+from storelens.catalog.registry import ENTRIES
 from storelens.plans import orders, sales
 from storelens.sources.star import Star
 
-BATCH = [name for name in registered.queries() if not name.startswith("stream_")]
+BATCH = [name for name in ENTRIES if not name.startswith("stream_")]
 
 
 def plan(df) -> str:

@@ -1,10 +1,11 @@
+import os
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from storelens.plans import evaluation
-from storelens.session import shared_dir
+from storelens.session import durable, remove, scratch_path, shared_dir
 from storelens.sources import csvload, jsonio, warehouse
 from storelens.sources.retail_schemas import RETAIL_FILES, TableFile
 from storelens.streaming import csv_ledger
@@ -127,13 +128,20 @@ def test_catalog_and_profile(spark):
 class _Session:
     """Only what the folder choice looks at."""
 
-    def __init__(self, master, configured=None):
-        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+    def __init__(self, configured=None):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}
+        self.conf |= {"spark.checkpoint.dir": configured} if configured else {}
 
 
 def test_shared_folder_follows_the_setting():
-    assert shared_dir(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    assert shared_dir(_Session("local[4]")) == shared_dir(_Session("local[4]"))
-    with pytest.raises(RuntimeError):
-        shared_dir(_Session("yarn"))
+    assert shared_dir(_Session("hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(_Session()) == "hdfs:///warehouse"
+
+
+def test_scratch_tables_can_be_removed(spark, tmp_path):
+    kept = durable(spark.range(3))
+    other = scratch_path(spark, "other")
+    spark.range(2).write.parquet(other)
+    assert kept.count() == 3 and os.path.isdir(other.removeprefix("file:"))
+    remove(spark, other)
+    assert not os.path.exists(other.removeprefix("file:"))
