@@ -21,6 +21,8 @@ MODELS = ("baseline", "finetuned")
 # Text that Spark SQL and DuckDB read alike.
 DIFFICULTY = "CASE event_id % 3 WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' ELSE 'hard' END"
 MODEL = "CASE WHEN event_id % 2 = 0 THEN 'baseline' ELSE 'finetuned' END"
+# Results may carry any label, also none, or the name of the overall row.
+ODD_LABELS = """CASE WHEN id % 17 = 0 THEN 'all' WHEN id % 19 = 0 THEN NULL WHEN id % 23 = 0 THEN 'odd' ELSE difficulty END"""
 QUESTION = """concat('What did user ', user_id, ' do on day ', day(ts), ' of the month',
     CASE WHEN user_id % 2 = 0 THEN ', and how much was spent?' ELSE '?' END)"""
 LONG_SQL = """concat('SELECT ', repeat('value, ', CAST(event_id % 60 AS INT)), 'ts FROM EVENTS WHERE USER_ID = ', user_id)"""
@@ -122,20 +124,22 @@ EVALUATION: dict[str, Entry] = {
         _sql("SELECT id, question, difficulty FROM w_results WHERE difficulty = 'hard' ORDER BY id LIMIT 25"),
     ),
     "eval_metrics": Entry(
-        lambda s, d: evaluation.metrics(_results(s, d)),
+        lambda s, d: evaluation.metrics(_results(s, d).withColumn("difficulty", F.expr(ODD_LABELS))),
         _sql(
-            """SELECT coalesce(difficulty, 'all') AS difficulty, COUNT(*) AS total,
+            f"""SELECT CASE GROUPING(difficulty) WHEN 1 THEN 'overall' ELSE 'difficulty' END AS level,
+                      CASE GROUPING(difficulty) WHEN 1 THEN 'all' ELSE difficulty END AS difficulty, COUNT(*) AS total,
                       COUNT(*) FILTER (success) AS successful, COUNT(*) FILTER (NOT success) AS failed,
                       CAST(COUNT(*) FILTER (success) AS DOUBLE) / COUNT(*) * 100 AS accuracy,
                       CAST(SUM(CAST(latency AS DECIMAL(12,3))) AS DOUBLE) / COUNT(*) AS average_latency
-               FROM w_results GROUP BY ROLLUP (difficulty)"""
+               FROM (SELECT * REPLACE ({ODD_LABELS} AS difficulty) FROM w_results) GROUP BY ROLLUP (difficulty)"""
         ),
     ),
     "eval_failed": Entry(
         lambda s, d: evaluation.failed_queries(_results(s, d)),
         _sql(
             """SELECT id, question, difficulty, error,
-                      CASE WHEN length(sql) > 200 THEN substr(sql, 1, 200) || '...' ELSE sql END AS generated_sql
+                      sql AS generated_sql,
+                      CASE WHEN length(sql) > 200 THEN substr(sql, 1, 200) || '...' ELSE sql END AS short_sql
                FROM w_results WHERE NOT success"""
         ),
     ),
@@ -168,7 +172,8 @@ EVALUATION: dict[str, Entry] = {
     "model_side_by_side": Entry(
         lambda s, d: evaluation.side_by_side(_results(s, d), MODELS),
         _sql(
-            """SELECT CASE WHEN length(question) > 55 THEN substr(question, 1, 52) || '...' ELSE question END AS question,
+            """SELECT question,
+                      CASE WHEN length(question) > 55 THEN substr(question, 1, 52) || '...' ELSE question END AS short_question,
                       CASE WHEN arg_min(success, id) FILTER (model = 'baseline') THEN 'PASS' ELSE 'FAIL' END AS baseline,
                       CASE WHEN arg_min(success, id) FILTER (model = 'finetuned') THEN 'PASS' ELSE 'FAIL' END AS finetuned
                FROM w_results GROUP BY w_results.question"""
@@ -181,7 +186,7 @@ EVALUATION: dict[str, Entry] = {
         _sql(
             """SELECT q.question, m.model, q.difficulty, coalesce(r.success, false) AS success, coalesce(r.sql, '') AS sql,
                       coalesce(r.latency, 0.0) AS latency,
-                      CASE WHEN r.id IS NULL THEN 'Schema linking returned empty' ELSE r.error END AS error
+                      CASE WHEN r.id IS NULL THEN 'not run' ELSE r.error END AS error
                FROM (SELECT question, min(difficulty) AS difficulty FROM w_results GROUP BY question) q
                CROSS JOIN (VALUES ('baseline'), ('finetuned')) m(model)
                LEFT JOIN w_results r ON r.question = q.question AND r.model = m.model"""
@@ -238,7 +243,8 @@ MONITORING: dict[str, Entry] = {
         lambda s, d: monitoring.history(_log(s, d)),
         _sql(
             """SELECT query_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time,
-                      CASE WHEN length(question) > 60 THEN substr(question, 1, 60) || '...' ELSE question END AS question,
+                      question,
+                      CASE WHEN length(question) > 60 THEN substr(question, 1, 60) || '...' ELSE question END AS short_question,
                       CASE WHEN success THEN 'Success' ELSE 'Error' END AS status,
                       link_ms + validate_ms AS latency_ms, coalesce(row_count, 0) AS rows
                FROM w_log"""
@@ -307,9 +313,9 @@ DATASET: dict[str, Entry] = {
             """SELECT difficulty, batch, wanted, concat('Write business questions about this warehouse, each with one SQL query.',
                       chr(10), chr(10), 'SCHEMA:', chr(10), 'Table: EVENTS', chr(10), chr(10), 'DIFFICULTY: ', difficulty, ' (',
                       CASE difficulty
-                          WHEN 'easy' THEN 'one table; filters, ORDER BY and LIMIT, plain aggregates; no joins and no window functions'
-                          WHEN 'medium' THEN 'joins of two or three tables, GROUP BY, several filters, subqueries, date and string functions'
-                          ELSE 'joins of three and more tables, window functions, CTEs, nested subqueries, CASE and date logic' END,
+                          WHEN 'easy' THEN 'answerable from a single table'
+                          WHEN 'medium' THEN 'needs tables to be combined and grouped'
+                          ELSE 'needs several steps, such as a ranking inside groups' END,
                       ')', chr(10), 'NUMBER: ', wanted, chr(10), chr(10), 'Answer with a JSON array of ', wanted,
                       ' objects: question, sql_query, tables_used. Prefix tables with their schema; do not repeat a pattern.') AS prompt
                FROM (SELECT difficulty, (id - 1) // 5 AS batch, COUNT(*) AS wanted
@@ -361,14 +367,14 @@ def _sales_per_customer(spark, sf_dir) -> DataFrame:
 PRESENTATION: dict[str, Entry] = {
     "chart_bars": Entry(
         lambda s, d: presentation.chart_frame(_sales_per_customer(s, d)),
-        """SELECT c_name AS x, n AS y, 'bar' AS kind, 'order_count by customer_name' AS title, true AS horizontal
+        """SELECT c_name AS x, n AS y, 1::BIGINT AS points, 'bar' AS kind, 'order_count by customer_name' AS title, true AS horizontal
            FROM customer JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey
            ORDER BY n DESC, c_name LIMIT 500""",
     ),
     "chart_few_bars": Entry(
         lambda s, d: presentation.chart_frame(orders.orders_by_status(Star(s, d))),
         with_ctes(
-            """SELECT status AS x, COUNT(*) AS y, 'bar' AS kind, 'order_count by status' AS title, false AS horizontal
+            """SELECT status AS x, COUNT(*) AS y, 1::BIGINT AS points, 'bar' AS kind, 'order_count by status' AS title, false AS horizontal
                FROM w_orders GROUP BY status""",
             ROLES,
         ),
@@ -376,7 +382,7 @@ PRESENTATION: dict[str, Entry] = {
     "chart_line": Entry(
         lambda s, d: presentation.chart_frame(orders.monthly_order_growth(Star(s, d))),
         with_ctes(
-            """SELECT DATE_TRUNC('month', purchase_ts) AS x, COUNT(*) AS y, 'line' AS kind,
+            """SELECT DATE_TRUNC('month', purchase_ts) AS x, CAST(COUNT(*) AS DOUBLE) AS y, 1::BIGINT AS points, 'line' AS kind,
                       'total_orders over month' AS title, false AS horizontal
                FROM w_orders GROUP BY 1""",
             ROLES,
@@ -384,13 +390,17 @@ PRESENTATION: dict[str, Entry] = {
     ),
     "chart_scatter": Entry(
         lambda s, d: presentation.chart_frame(table(s, d, "part").select("p_size", "p_retailprice")),
-        """SELECT p_size AS x, p_retailprice AS y, 'scatter' AS kind, 'p_retailprice vs p_size' AS title,
-                  false AS horizontal
-           FROM part ORDER BY p_size, p_retailprice LIMIT 500""",
+        """SELECT CAST(min(p_size) AS DOUBLE) AS x, min(p_retailprice) AS y, COUNT(*) AS points, 'scatter' AS kind,
+                  'p_retailprice vs p_size' AS title, false AS horizontal
+           FROM (SELECT p_size, p_retailprice,
+                        least(floor((p_size - min(p_size) OVER ()) / CAST(max(p_size) OVER () - min(p_size) OVER () AS DOUBLE) * 22), 21) AS i,
+                        least(floor((p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) * 22), 21) AS j
+                 FROM part)
+           GROUP BY i, j""",
     ),
     "display_cap": Entry(
         lambda s, d: presentation.display_frame(
-            table(s, d, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"]
+            table(s, d, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], rows=1000
         ),
         """SELECT o_orderkey, o_orderstatus, (SELECT COUNT(*) FROM orders) AS total_rows FROM orders
            ORDER BY o_orderkey LIMIT 1000""",

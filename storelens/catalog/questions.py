@@ -270,8 +270,13 @@ SALES: dict[str, Entry] = {
     ),
     "weight_freight_correlation": star_entry(
         sales.weight_freight_correlation,
-        """SELECT ROUND(CORR(p.weight_g, CAST(i.freight AS DOUBLE)), 6) AS weight_freight_correlation
-           FROM w_items i JOIN w_products p ON i.product_id = p.product_id""",
+        """SELECT (n * xy - x * y) / sqrt((n * xx - x * x) * (n * yy - y * y)) AS weight_freight_correlation
+           FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(w) AS DOUBLE) AS x, CAST(SUM(w * w) AS DOUBLE) AS xx,
+                        CAST(SUM(w * freight) AS DOUBLE) AS xy, CAST(SUM(freight) AS DOUBLE) AS y,
+                        CAST(SUM(freight * freight) AS DOUBLE) AS yy
+                 FROM (SELECT CAST(p.weight_g AS BIGINT) AS w, CAST(i.freight AS DECIMAL(17,4)) AS freight
+                       FROM w_items i JOIN w_products p ON i.product_id = p.product_id
+                       WHERE p.weight_g IS NOT NULL AND i.freight IS NOT NULL))""",
     ),
     "max_product_weight": star_entry(sales.max_weight, "SELECT MAX(weight_g) AS max_weight_g FROM w_products"),
     "category_count": star_entry(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.catalog.entry import Entry, with_ctes
-from storelens.functions import prompts
+from storelens.functions import prompts, sqltext
 from storelens.functions.scalars import sql_quoted
 from storelens.plans import responses
 from storelens.sources.tables import table
@@ -59,9 +59,15 @@ def _before(x: str, pattern: str) -> str:
     return f"string_split_regex({x}, '{pattern}')[1]"
 
 
-FENCED = r"(?si)```(?:sql)?\s*(.*?)\s*```"
-STATEMENT = r"(?si)\b(?:SELECT|WITH|INSERT|UPDATE|DELETE)\b.*"
-QUERY = r"(?si)\b(?:SELECT|WITH)\b.*"
+# The same patterns for an engine whose flags have no Unicode switch.
+FENCED, STATEMENT, QUERY = (x.replace("(?sUi)", "(?si)") for x in (sqltext.FENCED, sqltext.STATEMENT, sqltext.QUERY))
+
+
+def _before_prose(x: str) -> str:
+    """This engine has no look-ahead: paragraphs that go on are tied to the one before."""
+    words = "|".join(sqltext.STATEMENT_WORDS)
+    tied = rf"regexp_replace({x}, '\n\n({words})\b', chr(1) || '\1', 'g')"
+    return rf"replace(string_split_regex({tied}, '\n\n[A-Z]')[1], chr(1), chr(10) || chr(10))"
 
 
 def _extract(x: str) -> str:
@@ -69,7 +75,7 @@ def _extract(x: str) -> str:
     started = _strip(f"regexp_extract({text}, '{STATEMENT}', 0)")
     return _clean(
         f"""CASE WHEN regexp_matches({text}, '{FENCED}') THEN {_strip(f"regexp_extract({text}, '{FENCED}', 1)")}
-            WHEN regexp_matches({text}, '{STATEMENT}') THEN {_before(started, r'\n\n[A-Z]')}
+            WHEN regexp_matches({text}, '{STATEMENT}') THEN {_before_prose(started)}
             ELSE {text} END"""
     )
 
@@ -77,7 +83,7 @@ def _extract(x: str) -> str:
 def _tail(x: str) -> str:
     bare = f"regexp_replace(string_split({x}, '### Response:')[-1], '(?i)```(?:sql)?', '', 'g')"
     started = f"CASE WHEN regexp_matches({bare}, '{QUERY}') THEN regexp_extract({bare}, '{QUERY}', 0) ELSE {bare} END"
-    return _strip(_unsemicolon(_before(_before(f"({started})", r"\n\n[A-Z]"), r"\n\n###")))
+    return _strip(_unsemicolon(_before(_before_prose(f"({started})"), r"\n\n###")))
 
 
 def _qualify(x: str) -> str:
@@ -205,13 +211,12 @@ def _error_texts(spark, sf_dir) -> DataFrame:
 def _error_line_sql(x: str) -> str:
     lines = f"string_split({x}, chr(10))"
     naming = _strip(f"list_filter({lines}, lambda x: contains(lower(x), 'error'))[1]")
-    for prefix in ("Error: ", "DatabaseError: ", "Exception: "):
-        naming = f"CASE WHEN starts_with({naming}, '{prefix}') THEN substr({naming}, {len(prefix) + 1}) ELSE {naming} END"
+    naming = f"regexp_replace({naming}, '{sqltext.ERROR_CLASSES}', '')"
     filled = f"list_filter({lines}, lambda x: length({_strip('x')}) > 0)"
     return f"""CASE WHEN {x} = '' THEN 'Unknown error (empty error message)'
         WHEN len(list_filter({lines}, lambda x: contains(lower(x), 'error'))) > 0 THEN {naming}
         WHEN len({filled}) > 0 THEN {_strip(f'{filled}[1]')}
-        ELSE {_strip(f'substr({x}, 1, 200)')} END"""
+        ELSE {_strip(x)} END"""
 
 
 def _retry_prompts(spark, sf_dir) -> DataFrame:
@@ -229,17 +234,16 @@ def _retry_prompts(spark, sf_dir) -> DataFrame:
 
 RETRY_PROMPT_SQL = f"""
 SELECT event_id, concat('What did user ', user_id, ' do?', chr(10), chr(10),
-    'PREVIOUS ATTEMPT FAILED WITH ERROR:', chr(10), {_error_line_sql('error_text')}, chr(10), chr(10),
-    'FAILED SQL QUERY:', chr(10), 'SELECT * FROM EVENTS WHERE TYPE = ', event_type, chr(10), chr(10),
-    'Correct the query; check table names, column names, types and join keys against the schema.') AS prompt
+    'This statement did not run:', chr(10), 'SELECT * FROM EVENTS WHERE TYPE = ', event_type, chr(10), chr(10),
+    'The database said:', chr(10), {_error_line_sql('error_text')}, chr(10), chr(10), 'Send one that does.') AS prompt
 FROM (SELECT *, {ERROR_TEXT} AS error_text FROM events)"""
 
 
 ENTRIES: dict[str, Entry] = {
     "extract_sql": Entry(
-        lambda s, d: responses.extracted(_responses(s, d)).select("resp_id", "sql", "cut_inside"),
+        lambda s, d: responses.extracted(_responses(s, d)).select("resp_id", "sql"),
         with_ctes(
-            f"""SELECT resp_id, {_extract('text')} AS sql, resp_id % 7 = 6 AS cut_inside FROM w_responses""",
+            f"""SELECT resp_id, {_extract('text')} AS sql FROM w_responses""",
             RESPONSES,
         ),
     ),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,17 +91,18 @@ def describe_prompt(table: Column, columns: Column) -> Column:
     )
 
 
-# What a question of each difficulty may use.
-DIFFICULTY_RULES = {
-    "easy": "one table; filters, ORDER BY and LIMIT, plain aggregates; no joins and no window functions",
-    "medium": "joins of two or three tables, GROUP BY, several filters, subqueries, date and string functions",
-    "hard": "joins of three and more tables, window functions, CTEs, nested subqueries, CASE and date logic",
+GUIDANCE = {
+    "easy": "answerable from a single table",
+    "medium": "needs tables to be combined and grouped",
+    "hard": "needs several steps, such as a ranking inside groups",
 }
 
 
-def generation_prompt(schema: Column, difficulty: Column, count: Column) -> Column:
+def generation_prompt(
+    schema: Column, difficulty: Column, count: Column, guidance: Mapping[str, str] = GUIDANCE
+) -> Column:
     """Ask for ``count`` questions of a difficulty, with their SQL, as JSON."""
-    rules = F.create_map(*[F.lit(x) for pair in DIFFICULTY_RULES.items() for x in pair])
+    rules = F.create_map(*[F.lit(x) for pair in guidance.items() for x in pair])
     number = count.cast("string")
     return F.concat(
         F.lit("Write business questions about this warehouse, each with one SQL query.\n\nSCHEMA:\n"), schema,
@@ -111,12 +112,14 @@ def generation_prompt(schema: Column, difficulty: Column, count: Column) -> Colu
     )
 
 
-def retry_prompt(question: Column, error: Column, failed_sql: Column) -> Column:
-    """The question again, with the error and the statement that caused it."""
+def retry_prompt(
+    question: Column, error: Column, failed_sql: Column,
+    headings: tuple[str, str, str] = ("This statement did not run:", "The database said:", "Send one that does."),
+) -> Column:
+    """The question again, with the statement that failed and the error it caused."""
+    statement, said, wish = headings
     return F.concat(
-        question, F.lit("\n\nPREVIOUS ATTEMPT FAILED WITH ERROR:\n"), error,
-        F.lit("\n\nFAILED SQL QUERY:\n"), failed_sql,
-        F.lit("\n\nCorrect the query; check table names, column names, types and join keys against the schema."),
+        question, F.lit(f"\n\n{statement}\n"), failed_sql, F.lit(f"\n\n{said}\n"), error, F.lit(f"\n\n{wish}")
     )
 
 

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from storelens.functions.scalars import ellipsis, ratio_or_zero
 from storelens.functions.sqltext import has_sql
 
-DIFFICULTIES = ("easy", "medium", "hard")
 LATENCY = "decimal(12,3)"
-FOUND_NOTHING = "Schema linking returned empty"
+FOUND_NOTHING = "not run"
 
 
 def select_records(records: DataFrame, difficulty: str | None, limit: int | None) -> DataFrame:
@@ -26,7 +25,8 @@ def select_records(records: DataFrame, difficulty: str | None, limit: int | None
 
 
 def metrics(results: DataFrame) -> DataFrame:
-    """Totals and rates overall ('all') and per difficulty.
+    """Totals and rates: ``level`` 'overall' (labelled 'all'), and 'difficulty' for every
+    label that occurs, also an unknown or missing one.
 
     Results are summed per difficulty once; the rollup adds up those few rows.
     A row of zeros is added in, so that the overall row is there without results.
@@ -41,16 +41,18 @@ def metrics(results: DataFrame) -> DataFrame:
         per_difficulty.rollup("difficulty")
         .agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in sums])
         .withColumn("difficulty", F.when(F.col("level") == 1, "all").otherwise(F.col("difficulty")))
-        .drop("level")
+        .withColumn("level", F.when(F.col("level") == 1, "overall").otherwise("difficulty"))
+    )
+    nothing = results.sparkSession.range(1).select(
+        F.lit("all").alias("difficulty"), F.lit("overall").alias("level"), *[F.lit(0).alias(c) for c in sums]
     )
-    nothing = results.sparkSession.range(1).select(F.lit("all").alias("difficulty"), *[F.lit(0).alias(c) for c in sums])
     total, successful = F.col("total"), F.col("successful")
     return (
         rolled.unionByName(nothing)
-        .groupBy("difficulty")
+        .groupBy("level", "difficulty")
         .agg(*[F.sum(c).alias(c) for c in sums])
-        .filter(F.col("difficulty").isin("all", *DIFFICULTIES))
         .select(
+            "level",
             "difficulty",
             "total",
             "successful",
@@ -63,7 +65,8 @@ def metrics(results: DataFrame) -> DataFrame:
 
 def failed_queries(results: DataFrame) -> DataFrame:
     return results.filter(~F.col("success")).select(
-        "id", "question", "difficulty", "error", ellipsis(F.col("sql"), 200).alias("generated_sql")
+        "id", "question", "difficulty", "error", F.col("sql").alias("generated_sql"),
+        ellipsis(F.col("sql"), 200).alias("short_sql"),
     )
 
 
@@ -127,7 +130,8 @@ def side_by_side(results: DataFrame, models: Sequence[str]) -> DataFrame:
         results.groupBy("question")
         .agg(*firsts)
         .select(
-            short.alias("question"),
+            "question",
+            short.alias("short_question"),
             *[
                 F.when(F.coalesce(F.col(f"_{model}.success"), F.lit(False)), "PASS").otherwise("FAIL").alias(model)
                 for model in models

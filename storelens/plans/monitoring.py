@@ -116,7 +116,8 @@ def history(log: DataFrame) -> DataFrame:
     return log.select(
         "query_id",
         clock_text(F.col("ts")).alias("time"),
-        ellipsis(F.col("question"), 60).alias("question"),
+        "question",
+        ellipsis(F.col("question"), 60).alias("short_question"),
         _status(F.col("success")).alias("status"),
         F.col("total_duration_ms").alias("latency_ms"),
         F.coalesce("row_count", F.lit(0)).alias("rows"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -13,7 +14,6 @@ from pyspark.sql.window import Window
 MEASURE_ENDINGS = ("_count", "_total", "_sum", "_avg", "_revenue", "_score", "_days", "_time")
 KEY_ENDINGS = ("_id", "_key", "_prefix")
 CHART_ROWS = 500
-DISPLAY_ROWS = 1000
 UPRIGHT_CATEGORIES = 7
 
 
@@ -62,17 +62,19 @@ def choose_chart(schema: T.StructType) -> Chart | None:
 
 
 def chart_frame(df: DataFrame, rows: int = CHART_ROWS) -> DataFrame | None:
-    """The two charted columns as ``x`` and ``y``, at most ``rows`` of them, with
-    kind and orientation.  Bars are sorted before the cut, so the tallest stay.
-    None when no chart fits.
+    """What is drawn, in at most ``rows`` rows: ``x``, ``y``, the number of ``points``
+    behind them, kind and orientation.  None when no chart fits.
+
+    Bars: the tallest.  Lines: the range of x in equal steps, with the first x and the
+    mean y of each.  Scatters: a grid over both ranges, with the least x and y of each
+    cell that has points.  So lines and scatters show the whole range.
     """
     chart = choose_chart(df.schema)
     if chart is None:
         return None
     pair = df.select(F.col(chart.x).alias("x"), F.col(chart.y).alias("y"))
-    order = [F.desc("y"), F.col("x")] if chart.kind == "bar" else [F.col("x"), F.col("y")]
-    cut = pair.orderBy(*order).limit(rows)
-    described = cut.withColumn("kind", F.lit(chart.kind)).withColumn("title", F.lit(chart.title))
+    drawn = {"bar": _tallest, "line": _steps, "scatter": _cells}[chart.kind](pair, rows)
+    described = drawn.withColumn("kind", F.lit(chart.kind)).withColumn("title", F.lit(chart.title))
     if chart.kind != "bar":
         return described.withColumn("horizontal", F.lit(False))
     # One task, but over no more than the ``rows`` that were kept.
@@ -80,6 +82,35 @@ def chart_frame(df: DataFrame, rows: int = CHART_ROWS) -> DataFrame | None:
     return described.withColumn("horizontal", categories > UPRIGHT_CATEGORIES)
 
 
-def display_frame(df: DataFrame, order: list[str], rows: int = DISPLAY_ROWS) -> DataFrame:
-    """The first rows for display, each with the true size of the result."""
-    return df.orderBy(*order).limit(rows).withColumn("total_rows", F.lit(df.count()).cast("long"))
+def _tallest(pair: DataFrame, rows: int) -> DataFrame:
+    return pair.orderBy(F.desc("y"), "x").limit(rows).withColumn("points", F.lit(1).cast("long"))
+
+
+def _place(pair: DataFrame, number: Column, steps: int) -> Column:
+    """Which of ``steps`` equal parts of its range a number is in."""
+    bounds = pair.agg(F.min(number).alias("low"), F.max(number).alias("high"))
+    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    share = F.when(high > low, (number - low) / (high - low)).otherwise(0.0)
+    return F.least(F.floor(share * steps), F.lit(steps - 1))
+
+
+def _steps(pair: DataFrame, rows: int) -> DataFrame:
+    when = F.unix_micros(F.col("x").cast("timestamp")).cast("double")
+    known = pair.filter("x IS NOT NULL")
+    return known.groupBy(_place(known, when, rows).alias("step")).agg(
+        F.min("x").alias("x"), F.avg("y").alias("y"), F.count("*").alias("points")
+    ).drop("step")
+
+
+def _cells(pair: DataFrame, rows: int) -> DataFrame:
+    side = math.isqrt(rows)
+    known = pair.select(F.col("x").cast("double"), F.col("y").cast("double")).filter("x IS NOT NULL AND y IS NOT NULL")
+    i, j = _place(known, F.col("x"), side), _place(known, F.col("y"), side)
+    return known.groupBy(i.alias("i"), j.alias("j")).agg(
+        F.min("x").alias("x"), F.min("y").alias("y"), F.count("*").alias("points")
+    ).drop("i", "j")
+
+
+def display_frame(df: DataFrame, order: list[str], rows: int) -> DataFrame:
+    """The first ``rows`` rows for display, each with the true size of the result."""
+    return df.orderBy(*order).limit(rows).withColumn("total_rows", df.agg(F.count("*")).scalar())

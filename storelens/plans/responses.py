@@ -16,9 +16,7 @@ PREFIX = "WAREHOUSE.RAW."
 
 
 def extracted(responses: DataFrame, text: str = "text") -> DataFrame:
-    return responses.withColumn("sql", sqltext.extract_sql(F.col(text))).withColumn(
-        "cut_inside", sqltext.cut_inside_statement(F.col(text))
-    )
+    return responses.withColumn("sql", sqltext.extract_sql(F.col(text)))
 
 
 def cleaned(responses: DataFrame, text: str = "text") -> DataFrame:

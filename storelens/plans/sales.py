@@ -230,10 +230,20 @@ def top_products_per_category(star: Star, n: int = 3) -> DataFrame:
 
 
 def weight_freight_correlation(star: Star) -> DataFrame:
-    joined = star.items.select("product_id", F.col("freight").cast("double")).join(
-        star.products.select("product_id", "weight_g"), "product_id"
+    """Pearson correlation over items, from sums per product: a product has one weight,
+    so its items count as a number, a sum and a sum of squares of their freight."""
+    # Exact sums, so that the order of addition does not show in the result.
+    per_product = star.items.filter("freight IS NOT NULL").groupBy("product_id").agg(
+        F.count("*").alias("n"), F.sum("freight").alias("y"), F.sum(F.col("freight") * F.col("freight")).alias("yy")
     )
-    return joined.agg(F.round(F.corr("weight_g", "freight"), 6).alias("weight_freight_correlation"))
+    x = F.col("weight_g").cast("long")
+    parts = {"n": F.col("n"), "x": x * F.col("n"), "xx": x * x * F.col("n"), "xy": x * F.col("y"), "y": F.col("y"), "yy": F.col("yy")}
+    sums = per_product.join(star.products.select("product_id", "weight_g"), "product_id").filter(
+        "weight_g IS NOT NULL"
+    ).agg(*(F.sum(c).cast("double").alias(k) for k, c in parts.items()))
+    n, x, xx, xy, y, yy = (F.col(c) for c in ("n", "x", "xx", "xy", "y", "yy"))
+    spread = (n * xx - x * x) * (n * yy - y * y)
+    return sums.select(F.when(spread > 0, (n * xy - x * y) / F.sqrt(spread)).alias("weight_freight_correlation"))
 
 
 def max_weight(star: Star) -> DataFrame:

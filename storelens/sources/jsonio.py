@@ -26,15 +26,16 @@ def write_lines(df: DataFrame, path: str) -> None:
 
 def write_report(metrics: DataFrame, details: DataFrame, path: str) -> None:
     """Metrics and detail rows as two tables, and the nested summary (bounded by
-    the number of metric rows) as one JSON text."""
+    the number of metric rows) as one JSON text, made of the metrics as written."""
     write_lines(metrics, f"{path}/metrics")
     write_lines(details, f"{path}/details")
-    nested_report(metrics).write.mode("overwrite").text(f"{path}/summary")
+    written = metrics.sparkSession.read.schema(metrics.schema).json(f"{path}/metrics")
+    nested_report(written).write.mode("overwrite").text(f"{path}/summary")
 
 
 def nested_report(metrics: DataFrame) -> DataFrame:
     """Metric rows (one per difficulty) as one JSON object."""
-    overall = F.max(F.when(F.col("difficulty") == "all", F.col("total")))
+    overall = F.max(F.when(F.col("level") == "overall", F.col("total")))
     rows = F.sort_array(F.collect_list(F.struct(*metrics.columns)))
     return metrics.agg(
         F.to_json(

@@ -105,7 +105,7 @@ def test_log_views(spark):
     row = monitoring.summary(log).first()
     assert (row.total, row.success_rate, row.avg_latency, row.retries) == (2, 50.0, 20.0, 1)
     history = {r.query_id: r for r in monitoring.history(log).collect()}
-    assert history[1].question == "x" * 60 + "..." and history[1].time == "2024-01-01 00:00:02"
+    assert history[1].question.startswith("x" * 61) and history[1].short_question == "x" * 60 + "..." and history[1].time == "2024-01-01 00:00:02"
     assert (history[2].status, history[2].rows) == ("Error", 0)
     assert {(r.label, r.latency_ms) for r in monitoring.latency_series(log).collect()} == {("Q1", 10), ("Q2", 30)}
     assert {(r.label, r.agent, r.duration_ms) for r in monitoring.step_breakdown(log).collect()} == {
@@ -119,7 +119,7 @@ RESULTS = "id int, question string, difficulty string, model string, success boo
 
 def test_metrics_of_nothing(spark):
     rows = evaluation.metrics(spark.createDataFrame([], RESULTS)).collect()
-    assert [tuple(r) for r in rows] == [("all", 0, 0, 0, 0.0, 0.0)]
+    assert [tuple(r) for r in rows] == [("overall", "all", 0, 0, 0, 0.0, 0.0)]
 
 
 def test_metrics_leave_out_empty_groups(spark):
@@ -137,7 +137,7 @@ def test_models_side_by_side_and_grid(spark):
     ]
     results = spark.createDataFrame(rows, RESULTS)
     sides = {r.question: (r.baseline, r.finetuned) for r in evaluation.side_by_side(results, ["baseline", "finetuned"]).collect()}
-    assert sides == {"q" * 52 + "...": ("FAIL", "PASS"), "r": ("PASS", "FAIL")}
+    assert sides == {"q" * 60: ("FAIL", "PASS"), "r": ("PASS", "FAIL")}
     asked = spark.createDataFrame([("q" * 60, "easy"), ("r", "easy"), ("z", "hard")], "question string, difficulty string")
     grid = evaluation.model_grid(asked, results, ["baseline", "finetuned"]).collect()
     assert len(grid) == 7
@@ -177,6 +177,22 @@ def test_bars_keep_the_tallest(spark):
     assert presentation.chart_frame(df.limit(0)).count() == 0
 
 
+def test_lines_and_scatters_show_the_whole_range(spark):
+    line = spark.range(5000).selectExpr("timestamp_seconds(id * 60) AS at", "id AS value")
+    rows = presentation.chart_frame(line).orderBy("x").collect()
+    assert len(rows) == 500 and sum(r.points for r in rows) == 5000 and rows[-1].y > 4900
+    scatter = spark.range(5000).selectExpr("id AS x", "id * id AS y")
+    rows = presentation.chart_frame(scatter).collect()
+    assert len(rows) <= 500 and sum(r.points for r in rows) == 5000 and max(r.x for r in rows) > 4700
+    assert presentation.chart_frame(scatter.limit(0)).count() == 0
+
+
+def test_metrics_keep_odd_labels(spark):
+    rows = [(1, "q", "all", "m", True, 2.0, "s", None), (2, "q", None, "m", False, 1.0, "s", "e"), (3, "q", "odd", "m", True, 0.0, "s", None)]
+    got = {(r.level, r.difficulty): r.total for r in evaluation.metrics(spark.createDataFrame(rows, RESULTS)).collect()}
+    assert got == {("overall", "all"): 3, ("difficulty", "all"): 1, ("difficulty", None): 1, ("difficulty", "odd"): 1}
+
+
 def test_display_cap(spark):
     rows = presentation.display_frame(spark.range(30), ["id"], rows=10).collect()
     assert [r.id for r in rows] == list(range(10)) and {r.total_rows for r in rows} == {30}

@@ -99,7 +99,8 @@ def test_report_sink(spark, tmp_path):
     report = json.loads(spark.read.text(f"{path}/summary").first().value)
     assert report["metadata"]["total_questions"] == 2
     assert {m["difficulty"]: m["accuracy"] for m in report["metrics"]} == {"all": 50.0, "easy": 100.0, "hard": 0.0}
-    assert len(spark.read.json(f"{path}/details").first().generated_sql) == 203
+    detail = spark.read.json(f"{path}/details").first()
+    assert len(detail.generated_sql) == 300 and len(detail.short_sql) == 203
 
 
 def test_replace_append_and_audit(spark, tmp_path):

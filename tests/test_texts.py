@@ -23,7 +23,8 @@ EXTRACT = [
     ("SELECT 1\n\nNote: one", "SELECT 1"),
     ("SELECT 1\n\n\n  \nfrom t", "SELECT 1\nfrom t"),
     ("no statement here;", "no statement here"),
-    ("WITH c AS (SELECT 1)\n\nSELECT * FROM c", "WITH c AS (SELECT 1)"),
+    ("WITH c AS (SELECT 1)\n\nSELECT * FROM c", "WITH c AS (SELECT 1)\nSELECT * FROM c"),
+    ("SELECT a\n\nWHERE x\n\nFrom here on it is prose", "SELECT a\nWHERE x"),
     ("SELECT 1;\n", "SELECT 1"),
     ("unselected SELECT 1 ", "SELECT 1"),
 ]
@@ -34,12 +35,6 @@ def test_extract_sql(spark, text, expected):
     assert one(spark, text, sqltext.extract_sql) == expected
 
 
-def test_cut_inside_statement_is_flagged(spark):
-    assert one(spark, "WITH c AS (SELECT 1)\n\nSELECT * FROM c", sqltext.cut_inside_statement)
-    assert not one(spark, "SELECT 1\n\nThis is one.", sqltext.cut_inside_statement)
-    assert not one(spark, "```\nWITH c AS (SELECT 1)\n\nSELECT 2\n```", sqltext.cut_inside_statement)
-
-
 @pytest.mark.parametrize(
     "text,expected",
     [
