@@ -120,10 +120,9 @@ def _profile_sql(name: str, columns: tuple[tuple[str, str], ...]) -> str:
             f"""SELECT {ordinal} AS ordinal, '{column}' AS column_name, '{data_type}' AS data_type, COUNT(*) AS row_count,
                 COUNT({column}) AS non_null, COUNT(DISTINCT {column}) AS distinct_values,
                 MIN({number}) AS min_number, MAX({number}) AS max_number, MIN({text}) AS min_text, MAX({text}) AS max_text,
-                (SELECT string_agg(v, ', ' ORDER BY n DESC, key) FROM (
-                    SELECT v, n, CASE WHEN length(v) > 64 THEN sha256(v) ELSE v END AS key
-                    FROM (SELECT CAST({column} AS VARCHAR) AS v, COUNT(*) AS n FROM {name} GROUP BY 1)
-                    ORDER BY n DESC, key LIMIT 3)) AS sample_values
+                (SELECT string_agg(v, ', ' ORDER BY n DESC, v) FROM (
+                    SELECT CAST({column} AS VARCHAR) AS v, COUNT(*) AS n FROM {name} WHERE {column} IS NOT NULL GROUP BY 1
+                    ORDER BY n DESC, v LIMIT 3)) AS sample_values
                 FROM {name}"""
         )
     return " UNION ALL ".join(parts)

@@ -23,14 +23,14 @@ MAX_KEYWORDS = 10
 
 def words(text: Column) -> Column:
     """Lower-case words of a text, without quotes and marks at their ends."""
-    bare = F.regexp_replace(F.lower(text), r"^\s+|\s+$", "")
+    bare = F.regexp_replace(F.lower(text), r"(?U)^\s+|\s+$", "")
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(bare, r"\s+"), lambda w: F.btrim(w, F.lit(EDGE_CHARACTERS)))
+        F.transform(F.split(bare, r"(?U)\s+"), lambda w: F.btrim(w, F.lit(EDGE_CHARACTERS)))
     )
 
 
-def with_keywords(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add up to ten keywords of a text column: long words that are not
+def with_keywords(df: DataFrame, text: str, name: str, most: int = MAX_KEYWORDS) -> DataFrame:
+    """Add the first ``most`` keywords of a text column: long words that are not
     stopwords; if there are none, long words; if there are none either, all
     words.  Built column by column, so that each list is made once."""
     stop = F.array(*map(F.lit, STOPWORDS))
@@ -45,7 +45,7 @@ def with_keywords(df: DataFrame, text: str, name: str) -> DataFrame:
                 .when(F.size("_long") > 0, F.col("_long"))
                 .otherwise(F.col("_words")),
                 1,
-                MAX_KEYWORDS,
+                most,
             ),
         )
         .drop("_words", "_long", "_telling")

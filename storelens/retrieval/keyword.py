@@ -1,10 +1,10 @@
 """Keyword match of many questions with many column descriptions.
 
-Questions with the same keywords share a signature and are matched once.  While
-all signatures fit a fixed size they are sent to the tasks as one automaton,
-which finds every keyword in one pass over a text; no text is shuffled.  Beyond
-that size texts and keywords meet by equi-joins on tokens.  Neither way compares
-a text with every question.
+Questions with the same keywords share a signature and are matched once.  Keywords
+are looked up in the distinct tokens of the descriptions by equi-joins, which gives
+every description its set of keywords.  Descriptions of a table with the same set
+then count as one pattern, so questions meet patterns and not descriptions; rows are
+listed last, for the tables chosen, and never more than can be shown.
 
 Descriptions have: table_name, column_name (together a key), data_type,
 description, synonyms.
@@ -12,34 +12,28 @@ description, synonyms.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storelens.functions.keywords import with_keywords
-from storelens.operators.joins import small_side
+from storelens.functions.keywords import MAX_KEYWORDS, with_keywords
 from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 from storelens.session import durable
 
-try:
-    import ahocorasick
-except ImportError:  # the joins on tokens need nothing but Spark
-    ahocorasick = None
-
-AUTOMATON_BYTES = 4_000_000
 GRAM = 4
+# Rows listed per table asked for, and the score of a keyword match.
 ROWS_PER_TABLE = 15
 SCORE = 0.5
+PATTERN = ["table_name", "words"]
 
 
-def with_signatures(questions: DataFrame, text: str = "text") -> DataFrame:
+def with_signatures(questions: DataFrame, text: str = "text", max_keywords: int = MAX_KEYWORDS) -> DataFrame:
     """Add the signature: the distinct keywords in order.  The empty keyword
     matches every description, so next to it no other keyword matters."""
-    asked = questions.filter(F.regexp_like(text, F.lit(r"\S")))
-    chosen = with_keywords(asked, text, "_keywords").withColumn(
+    asked = questions.filter(F.regexp_like(text, F.lit(r"(?U)\S")))
+    chosen = with_keywords(asked, text, "_keywords", max_keywords).withColumn(
         "_keywords", F.sort_array(F.array_distinct("_keywords"))
     )
     return chosen.withColumn(
@@ -53,59 +47,6 @@ def _searched() -> Column:
     return F.lower(F.concat_ws(" ", "description", "column_name", "synonyms"))
 
 
-def matches(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """(signature, table_name, column_name) for each description in which at
-    least one keyword of the signature occurs, in any of its text columns."""
-    wanted = signatures.select("signature").distinct()
-    size = wanted.agg(F.sum(F.octet_length("signature") + 1)).first()[0] or 0
-    if ahocorasick is not None and size <= AUTOMATON_BYTES:
-        return matches_by_automaton(wanted, descriptions)
-    return matches_by_token(wanted, descriptions)
-
-
-# -- one pass with all keywords ---------------------------------------------
-
-
-def _signatures_in_task(signatures):
-    """A ``mapInPandas`` function: the numbers of the signatures that match."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of_keyword: dict[str, list[int]] = {}
-        for number, signature in enumerate(signatures.value):
-            for word in signature.split(" "):
-                of_keyword.setdefault(word, []).append(number)
-        always = of_keyword.pop("", [])
-        automaton = ahocorasick.Automaton()
-        for word, numbers in of_keyword.items():
-            automaton.add_word(word, (word, numbers))
-        automaton.make_automaton()
-        for batch in batches:
-            found = []
-            for text in batch["searched"]:
-                seen = dict(hit for _, hit in automaton.iter(text)) if of_keyword else {}
-                found.append(sorted(set(always).union(*seen.values())))
-            yield batch[["table_name", "column_name"]].assign(numbers=found)
-
-    return run
-
-
-def matches_by_automaton(wanted: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Matches by one pass over each text; ``wanted`` must be of bounded size."""
-    spark = wanted.sparkSession
-    listed = sorted(row.signature for row in wanted.collect())
-    numbered = spark.createDataFrame(list(enumerate(listed)), "number int, signature string")
-    texts = descriptions.select("table_name", "column_name", _searched().alias("searched"))
-    found = texts.mapInPandas(
-        _signatures_in_task(spark.sparkContext.broadcast(listed)),
-        "table_name string, column_name string, numbers array<int>",
-    )
-    hits = found.select("table_name", "column_name", F.explode("numbers").alias("number"))
-    return hits.join(F.broadcast(numbered), "number").select("signature", "table_name", "column_name")
-
-
-# -- joins on tokens ---------------------------------------------------------
-
-
 def _grams(token: Column, size: int) -> Column:
     """Distinct substrings of that size; none when the token is shorter."""
     last = F.greatest(F.length(token) - size + 1, F.lit(1))
@@ -127,60 +68,78 @@ def _token_keywords(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     short_words = words.filter((length > 0) & (length < GRAM))
     pieces = F.concat(*[_grams(F.col("token"), size) for size in range(1, GRAM)])
     found_short = vocabulary.select("token", F.explode(pieces).alias("keyword")).join(short_words, "keyword")
-    everywhere = words.filter(length == 0).select(F.lit("").alias("token"), "keyword")
-    return found.unionByName(found_short.select("token", "keyword")).unionByName(everywhere)
-
-
-def matches_by_token(wanted: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Matches by equi-joins.  Wherever a keyword occurs, it occurs inside one
-    token; so keywords are looked up in the distinct tokens, which grow far
-    slower than the texts, and texts then meet keywords on whole tokens."""
-    terms = wanted.select("signature", F.explode(F.split("signature", " ")).alias("keyword"))
-    # The empty token stands for 'every description', for the empty keyword.
-    every_token = F.array_union(F.array(F.lit("")), F.split(_searched(), r"\s+"))
-    tokens = descriptions.select("table_name", "column_name", F.explode(every_token).alias("token"))
-    found = _token_keywords(tokens.select("token").distinct(), terms.select("keyword").distinct())
-    return (
-        tokens.join(found, "token")
-        .select("table_name", "column_name", "keyword")
-        .distinct()
-        .join(terms, "keyword")
-        .select("signature", "table_name", "column_name")
-        .distinct()
+    return found.unionByName(found_short.select("token", "keyword"))
+
+
+def _terms(signatures: DataFrame) -> DataFrame:
+    """(signature, keyword) of the distinct signatures but the empty one."""
+    wanted = signatures.select("signature").distinct().filter("signature <> ''")
+    return wanted.select("signature", F.explode(F.split("signature", " ")).alias("keyword"))
+
+
+def described_words(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """(table_name, column_name, words): the asked keywords that occur in a description,
+    in order; descriptions with none are left out.  A keyword holds no white space, so
+    wherever it occurs it occurs inside one token."""
+    keywords = _terms(signatures).select("keyword").distinct()
+    tokens = descriptions.select(
+        "table_name", "column_name", F.explode(F.array_distinct(F.split(_searched(), r"(?U)\s+"))).alias("token")
+    )
+    found = _token_keywords(tokens.select("token").distinct(), keywords).distinct()
+    return tokens.join(found, "token").groupBy("table_name", "column_name").agg(
+        F.array_sort(F.collect_set("keyword")).alias("words")
     )
 
 
-# -- ranking -----------------------------------------------------------------
+def _patterns(words: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(signature, table_name, words, n): the sets of words that match a signature, with
+    the number of descriptions that have them."""
+    patterns = words.groupBy(*PATTERN).agg(F.count("*").alias("n"))
+    each = patterns.withColumn("keyword", F.explode("words"))
+    return each.join(_terms(signatures), "keyword").select("signature", *PATTERN, "n").distinct()
+
+
+def _for_everything(signatures: DataFrame) -> DataFrame:
+    """The empty signature, if it is asked."""
+    return signatures.select("signature").filter("signature = ''").distinct()
+
 
+def _match_counts(patterns: DataFrame, signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """Matching descriptions per signature and table.  The empty keyword matches all."""
+    some = patterns.groupBy("signature", "table_name").agg(F.sum("n").alias("match_count"))
+    every = descriptions.groupBy("table_name").agg(F.count("*").alias("match_count")).withColumn("signature", F.lit(""))
+    return some.unionByName(every.join(_for_everything(signatures), "signature", "left_semi"))
 
-def _matched_tables(hits: DataFrame, limit: int, excluded: Sequence[str]) -> DataFrame:
+
+def _matched_tables(counts: DataFrame, budget: int, excluded: Sequence[str]) -> DataFrame:
     """Tables per signature by number of matching rows, with the number of rows
     listed before them; those that begin within the row budget."""
-    counts = (
-        hits.filter(~F.col("table_name").isin(*excluded))
-        .groupBy("signature", "table_name")
-        .agg(F.count("*").alias("match_count"))
-    )
     order = Window.partitionBy("signature").orderBy(F.desc("match_count"), "table_name")
     before = F.sum("match_count").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        counts.withColumn("rows_before", F.coalesce(before, F.lit(0)))
+        counts.filter(~F.col("table_name").isin(*excluded))
+        .withColumn("rows_before", F.coalesce(before, F.lit(0)))
         .withColumn("table_rank", F.row_number().over(order))
-        .filter(F.col("rows_before") < limit * ROWS_PER_TABLE)
+        .filter(F.col("rows_before") < budget)
         .withColumn("table_rank", F.col("table_rank").cast("long"))
     )
 
 
 def keyword_tables(
-    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = ()
+    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = (),
+    rows_per_table: int = ROWS_PER_TABLE, max_keywords: int = MAX_KEYWORDS,
 ) -> DataFrame:
     """The best ``limit`` tables per question: (key columns, table_name,
-    relevance_score, table_rank, match_count, listed_columns)."""
+    relevance_score, table_rank, match_count, listed_columns).
+
+    ``limit * rows_per_table`` rows are listed per question, best tables first; the first
+    ``max_keywords`` keywords of a question count."""
     limit = checked_limit(limit)
-    asked = with_signatures(questions)
-    budget = limit * ROWS_PER_TABLE
+    budget = limit * rows_per_table
+    asked = with_signatures(questions, max_keywords=max_keywords)
+    counts = _match_counts(_patterns(described_words(asked, descriptions), asked), asked, descriptions)
     best = (
-        _matched_tables(matches(asked, descriptions), limit, excluded)
+        _matched_tables(counts, budget, excluded)
         .filter(F.col("table_rank") <= limit)
         .withColumn("listed_columns", F.least("match_count", F.lit(budget) - F.col("rows_before")))
     )
@@ -192,27 +151,38 @@ def keyword_tables(
 
 
 def keyword_rows(
-    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = ()
+    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, excluded: Sequence[str] = (),
+    rows_per_table: int = ROWS_PER_TABLE, max_keywords: int = MAX_KEYWORDS,
 ) -> DataFrame:
     """The matching description rows per question, best tables first, at most
-    ``limit * 15``: key columns, table_rank, column_rank, match_count and the
+    ``limit * rows_per_table``: key columns, table_rank, column_rank, match_count and the
     description columns.
 
     Only rows of tables that begin within this budget are ranked.
     """
     limit = checked_limit(limit)
-    asked = with_signatures(questions)
-    # Read twice below: once written, the texts are searched only once.
-    hits = durable(matches(asked, descriptions))
-    best = _matched_tables(hits, limit, excluded).drop("rows_before")
+    budget = limit * rows_per_table
+    asked = with_signatures(questions, max_keywords=max_keywords)
+    # Read three times below: once written, the texts are searched only once.
+    words = durable(described_words(asked, descriptions))
+    patterns = _patterns(words, asked)
+    best = _matched_tables(_match_counts(patterns, asked, descriptions), budget, excluded).drop("rows_before")
+    # Whoever lists rows of a pattern lists its first ones by name, within the budget.
+    first = Window.partitionBy(*PATTERN).orderBy("column_name")
+    named = words.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= budget).drop("_n")
+    some = patterns.drop("n").join(best, ["signature", "table_name"]).join(named, PATTERN).drop("words")
+    in_table = Window.partitionBy("table_name").orderBy("column_name")
+    every = (
+        descriptions.select("table_name", "column_name")
+        .withColumn("_n", F.row_number().over(in_table)).filter(F.col("_n") <= budget).drop("_n")
+        .join(best.filter("signature = ''"), "table_name")
+    )
     order = Window.partitionBy("signature").orderBy("table_rank", "column_name")
     rows = (
-        hits.join(best, ["signature", "table_name"])
+        some.unionByName(every)
         .withColumn("column_rank", F.row_number().over(order))
-        .filter(F.col("column_rank") <= limit * ROWS_PER_TABLE)
+        .filter(F.col("column_rank") <= budget)
         .withColumn("column_rank", F.col("column_rank").cast("long"))
     )
-    # Ranked rows carry keys only.  While they are few, the texts are picked out
-    # where they are read, instead of shuffling all descriptions.
-    ranked = small_side(durable(asked.join(rows, "signature").drop("signature", "text")))
+    ranked = asked.join(rows, "signature").drop("signature", "text")
     return descriptions.join(ranked, ["table_name", "column_name"]).withColumn("relevance_score", F.lit(SCORE))

@@ -51,16 +51,11 @@ def columns_per_table(catalog: DataFrame) -> DataFrame:
     )
 
 
-LONG_TEXT = 64
-
-
 def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
-    """Measured facts per plain column: type, non-null and distinct counts,
-    range, and the ``k`` most frequent values, equally frequent ones by key.
+    """Measured facts per plain column: type, non-null and distinct counts, range, and
+    the ``k`` most frequent values, equally frequent ones in order of the value.
 
-    Values are counted by key, which is the value itself, or its fingerprint
-    when it is long; so long texts are not shuffled.  The texts of the few keys
-    shown are looked up afterwards.
+    Values are counted by a 256-bit digest; each task passes on one text per digest.
     """
     plain = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     cells = [
@@ -83,28 +78,13 @@ def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
         F.min(text).alias("min_text"),
         F.max(text).alias("max_text"),
     )
-    is_long = F.length("value") > LONG_TEXT
-    keyed = (
-        values.filter(F.col("value").isNotNull())
-        .withColumn("is_long", is_long)
-        .withColumn("key", F.when(is_long, F.sha2("value", 256)).otherwise(F.col("value")))
-    )
-    key = ["column_name", "is_long", "key"]
-    counts = keyed.groupBy(*key).agg(F.count("*").alias("n"))
+    keyed = values.filter(F.col("value").isNotNull()).select("column_name", "value", F.sha2("value", 256).alias("key"))
+    # The value comes along as the aggregate's minimum: one text per digest and task.
+    counts = keyed.groupBy("column_name", "key").agg(F.count("*").alias("n"), F.min("value").alias("value"))
     distinct = counts.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
-    frequent = top_n_per_group(counts, ["column_name"], [F.desc("n"), F.col("key"), F.col("is_long")], k, "place")
-    # At most ``k`` rows per column; without long texts among them, Spark drops
-    # the second look at the data.
-    place = ["column_name", "key", "place"]
-    looked_up = (
-        keyed.filter("is_long")
-        .join(F.broadcast(frequent.filter("is_long").select(*place)), ["column_name", "key"])
-        .groupBy("column_name", "place")
-        .agg(F.min("value").alias("value"))
-    )
-    shown = frequent.filter(~F.col("is_long")).select("column_name", "place", F.col("key").alias("value"))
+    shown = top_n_per_group(counts, ["column_name"], [F.desc("n"), F.col("value")], k, "place")
     ordered = F.sort_array(F.collect_list(F.struct("place", "value")))
-    sampled = shown.unionByName(looked_up).groupBy("column_name").agg(
+    sampled = shown.groupBy("column_name").agg(
         F.array_join(F.transform(ordered, lambda x: x["value"]), ", ").alias("sample_values")
     )
     return (

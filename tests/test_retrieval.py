@@ -62,31 +62,36 @@ def test_keywords(questions):
     assert {r.question_id: r.k for r in rows} == {q: reference_keywords(t) for q, t in QUESTIONS}
 
 
-@pytest.mark.parametrize("way", [keyword.matches, keyword.matches_by_automaton, keyword.matches_by_token])
-def test_both_ways_find_what_brute_force_finds(questions, descriptions, way):
+def test_counts_are_those_of_brute_force(questions, descriptions):
     asked = keyword.with_signatures(questions)
-    hits = way(asked.select("signature").distinct(), descriptions).join(asked, "signature")
-    got = [(r.question_id, r.table_name, r.column_name) for r in hits.collect()]
+    words = keyword.described_words(asked, descriptions)
+    counts = keyword._match_counts(keyword._patterns(words, asked), asked, descriptions).join(asked, "signature")
+    got = {(r.question_id, r.table_name): r.match_count for r in counts.collect()}
+    want = {}
+    for q, name, _ in reference_matches(QUESTIONS, DESCRIPTIONS):
+        want[q, name] = want.get((q, name), 0) + 1
+    assert got == want
+
+
+def test_rows_are_those_of_brute_force(questions, descriptions):
+    rows = keyword.keyword_rows(questions, descriptions, limit=10).collect()
+    got = [(r.question_id, r.table_name, r.column_name) for r in rows]
     assert len(got) == len(set(got))
     assert set(got) == reference_matches(QUESTIONS, DESCRIPTIONS)
 
 
-def test_both_ways_agree_on_documents(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
-        "source AS table_name", "concat('doc_', doc_id) AS column_name", "text AS description", "lang AS synonyms"
+def test_a_word_that_all_descriptions_share_is_counted_before_it_is_listed(spark):
+    """Questions meet the patterns of a table, not its descriptions."""
+    many = spark.range(3000).selectExpr(
+        "concat('T', id % 3) AS table_name", "lpad(id, 6, '0') AS column_name", "'INT' AS data_type",
+        "concat('shared', if(id % 2 = 0, ' other', '')) AS description", "'' AS synonyms",
     )
-    asked = keyword.with_signatures(
-        spark.read.parquet(f"{sf_dir}/benchmark.parquet").selectExpr("item_id AS question_id", "text")
-    ).select("signature").distinct()
-    one, two = keyword.matches_by_automaton(asked, documents), keyword.matches_by_token(asked, documents)
-    assert one.count() == two.count() > 0
-    assert one.exceptAll(two).count() == 0
-
-
-def test_token_way_is_taken_beyond_the_size(questions, descriptions, monkeypatch):
-    monkeypatch.setattr(keyword, "AUTOMATON_BYTES", 10)
-    monkeypatch.setattr(keyword, "matches_by_automaton", None)
-    assert keyword.matches(keyword.with_signatures(questions), descriptions).count() > 0
+    asked = spark.createDataFrame([(i, f"shared word{i}") for i in range(50)], "question_id long, text string")
+    signatures = keyword.with_signatures(asked)
+    assert keyword._patterns(keyword.described_words(signatures, many), signatures).count() == 3 * 50
+    rows = keyword.keyword_rows(asked, many, limit=2, rows_per_table=5).collect()
+    assert len(rows) == 50 * 10 and {r.table_name for r in rows} == {"T0"}
+    assert {r.column_name for r in rows} == {f"{i:06}" for i in range(0, 30, 3)}
 
 
 def test_tables_and_rows_are_ranked_and_cut(questions, descriptions):

@@ -126,6 +126,12 @@ def test_catalog_and_profile(spark):
     assert (profile["t"].row_count, profile["t"].non_null, profile["t"].min_text, profile["t"].sample_values) == (4, 3, "x", "x, y")
 
 
+def test_profile_orders_equally_frequent_values_by_the_value(spark):
+    long_a, long_b = "a" * 64, "b" * 65
+    df = spark.createDataFrame([(long_b,), (long_a,), ("c",)], "t string")
+    assert warehouse.column_profile(df, k=2).first().sample_values == f"{long_a}, {long_b}"
+
+
 class _Session:
     """Only what the folder choice looks at."""
 
