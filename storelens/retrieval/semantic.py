@@ -1,109 +1,120 @@
 """Exact nearest descriptions by cosine similarity.
 
-Questions are sent to the tasks in blocks of a fixed size; each task multiplies
-a block with its share of the descriptions and passes on its best rows per
-question only, so pairs of question and description never become rows.
+Questions and descriptions are dealt into blocks of a bounded number of rows, and every
+block of questions meets every block of descriptions as a row of an equi-join.  A task
+multiplies the two and passes on the best rows per question only, so pairs of question
+and description never become rows, and no vector goes through the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.operators.ranking import top_n_per_group
 from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 
+# Fixed value: description rows looked at per table asked for.
 MULTIPLIER = 10
-BLOCK_QUESTIONS = 20_000
-BLOCK_BYTES = 64_000_000
-PRODUCT_CELLS = 8_000_000
+BLOCK_ROWS = 4096
 DIGITS = 6
+STEP = 256
 
 
-def _vector_tools():
-    """Helpers for driver and tasks.  As inner functions they are sent to the
-    tasks by value, so workers need no copy of this package."""
+def _cells(df: DataFrame, rows: int) -> Column:
+    """How many blocks of about ``rows`` rows, as a subquery."""
+    return df.agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1))).scalar()
 
-    def unit(vectors: Sequence) -> np.ndarray:
-        matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+
+def _blocks(df: DataFrame, key: str, cell: str, rows: int) -> DataFrame:
+    """(cell, ids, tables, matrix): the vectors of a cell, scaled to length one."""
+
+    def pack(block: pd.DataFrame) -> pd.DataFrame:
+        matrix = np.stack([np.asarray(v, dtype="<f8") for v in block["vector"]])
         norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-        return matrix / np.where(norms == 0, 1.0, norms)
+        matrix = matrix / np.where(norms == 0, 1.0, norms)
+        ids = block[key].to_numpy(dtype="<i8")
+        return pd.DataFrame({
+            cell: [block[cell].iloc[0]], "ids": [ids.tobytes()], "tables": [block["table_name"].tolist()],
+            "matrix": [matrix.tobytes()],
+        })
+
+    dealt = df.withColumn(cell, F.pmod(F.xxhash64(key), _cells(df, rows)))
+    schema = f"{cell} long, ids binary, tables array<string>, matrix binary"
+    return dealt.groupBy(cell).applyInPandas(pack, schema)
 
-    def best(question: np.ndarray, row: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-        """Positions of the first ``k`` entries per question, by score, then row."""
-        order = np.lexsort((row, -score, question))
-        asked = question[order]
-        starts = np.flatnonzero(np.r_[True, asked[1:] != asked[:-1]])
-        place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-        return order[place < k]
 
-    return unit, best
+def _nearest(k: int, digits: int):
+    """A ``mapInPandas`` function over pairs of blocks: the best ``k`` rows per question.
 
+    As inner functions they are sent to the tasks by value, so workers need no copy of
+    this package.
+    """
+
+    def _best(score: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+        at = np.arange(len(score))
+        if len(score) > k:
+            at = np.flatnonzero(score >= np.partition(score, -k)[-k])
+        return at[np.lexsort((rows[at], -score[at]))[:k]]
 
-def _nearest_in_task(block, k: int):
-    """A ``mapInPandas`` function: the task's best ``k`` rows per question."""
-    unit, best = _vector_tools()
+    step = STEP
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, vectors = block.value
-        # Descriptions per product, so that its size does not depend on the batch.
-        step = max(1, PRODUCT_CELLS // len(ids))
-        question = np.empty(0, dtype=np.int64)
-        row = np.empty(0, dtype=np.int64)
-        score = np.empty(0, dtype=np.float64)
-        tables = np.empty(0, dtype=object)
         for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start : start + step]
-                similarity = np.round(vectors @ unit(part["vector"]).T, DIGITS)
-                at = max(similarity.shape[1] - k, 0)
-                threshold = np.partition(similarity, at, axis=1)[:, at]
-                q, d = np.nonzero(similarity >= threshold[:, None])
-                question = np.concatenate([question, q])
-                row = np.concatenate([row, part["row_id"].to_numpy()[d]])
-                score = np.concatenate([score, similarity[q, d]])
-                tables = np.concatenate([tables, part["table_name"].to_numpy()[d]])
-                keep = best(question, row, score, k)
-                question, row, score, tables = question[keep], row[keep], score[keep], tables[keep]
-        yield pd.DataFrame({"question_id": ids[question], "row_id": row, "table_name": tables, "score": score})
+            for pair in batch.itertuples(index=False):
+                asked, rows = np.frombuffer(pair.q_ids, dtype="<i8"), np.frombuffer(pair.ids, dtype="<i8")
+                tables = np.asarray(pair.tables, dtype=object)
+                vectors = np.frombuffer(pair.matrix, dtype="<f8").reshape(len(rows), -1).T
+                questions = np.frombuffer(pair.q_matrix, dtype="<f8").reshape(len(asked), -1)
+                for first in range(0, len(asked), step):
+                    scores = np.round(questions[first : first + step] @ vectors, digits)
+                    best = [_best(score, rows, k) for score in scores]
+                    at = np.concatenate(best)
+                    counts = [len(b) for b in best]
+                    yield pd.DataFrame({
+                        "question_id": np.repeat(asked[first : first + step], counts), "row_id": rows[at],
+                        "table_name": tables[at],
+                        "score": scores[np.repeat(np.arange(len(best)), counts), at],
+                    })
 
     return run
 
 
-def semantic_rows(questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """The best ``limit * 10`` description rows per question.
+def semantic_rows(
+    questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, multiplier: int = MULTIPLIER,
+    digits: int = DIGITS, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The best ``limit * multiplier`` description rows per question.
 
-    questions: question_id bigint, vector; descriptions: row_id bigint,
-    table_name, vector.  Only one block of questions is held at a time; with
-    more questions the descriptions are read once per block.
+    questions: question_id bigint, vector; descriptions: row_id bigint, table_name,
+    vector.  Scores are compared at ``digits`` digits, so that equal vectors tie
+    whatever the order in which their products are summed; ties go to the lower row_id.
     """
-    k = checked_limit(limit) * MULTIPLIER
-    asked = questions.select(F.col("question_id").cast("long"), "vector")
+    k = checked_limit(limit) * multiplier
+    asked = questions.select(
+        F.col("question_id").cast("long"), F.lit(None).cast("string").alias("table_name"), "vector"
+    )
     rows = descriptions.select(F.col("row_id").cast("long"), F.col("table_name").cast("string"), "vector")
-    size = asked.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
-    block_rows = max(1, min(BLOCK_QUESTIONS, BLOCK_BYTES // (8 * max(size.width or 1, 1))))
-    blocks = max(1, math.ceil(size.n / block_rows))
-    schema = "question_id long, row_id long, table_name string, score double"
-    unit, _ = _vector_tools()
-    found = []
-    for number in range(blocks):
-        part = asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == number).toPandas()
-        if part.empty:
-            continue
-        block = questions.sparkSession.sparkContext.broadcast(
-            (part["question_id"].to_numpy(dtype=np.int64), unit(part["vector"]))
-        )
-        found.append(rows.mapInPandas(_nearest_in_task(block, k), schema))
-    if not found:
-        return questions.sparkSession.createDataFrame([], schema + ", row_rank long")
-    order = [F.desc("score"), F.col("row_id")]
-    return top_n_per_group(reduce(DataFrame.unionByName, found), ["question_id"], order, k, "row_rank")
+    asked_blocks = (
+        _blocks(asked, "question_id", "q_cell", block_rows)
+        .select("q_cell", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+        .withColumn("_cells", _cells(rows, block_rows))
+        .withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cells") - 1)))
+    )
+    row_blocks = (
+        _blocks(rows, "row_id", "cell", block_rows)
+        .withColumn("_cells", _cells(asked, block_rows))
+        .withColumn("q_cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cells") - 1)))
+    )
+    pairs = asked_blocks.drop("_cells").join(row_blocks.drop("_cells"), ["q_cell", "cell"])
+    found = pairs.select("q_ids", "q_matrix", "ids", "tables", "matrix").mapInPandas(
+        _nearest(k, digits), "question_id long, row_id long, table_name string, score double"
+    )
+    return top_n_per_group(found, ["question_id"], [F.desc("score"), F.col("row_id")], k, "row_rank")
 
 
 def semantic_tables(

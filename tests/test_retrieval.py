@@ -125,10 +125,8 @@ def test_limit_below_one_is_the_default():
     assert checked_limit(2) == 2
 
 
-@pytest.mark.parametrize("block_rows,cells", [(20_000, 8_000_000), (7, 40)])
-def test_nearest_rows_equal_brute_force(spark, monkeypatch, block_rows, cells):
-    monkeypatch.setattr(semantic, "BLOCK_QUESTIONS", block_rows)
-    monkeypatch.setattr(semantic, "PRODUCT_CELLS", cells)
+@pytest.mark.parametrize("block_rows", [4096, 7])
+def test_nearest_rows_equal_brute_force(spark, block_rows):
     rng = np.random.default_rng(3)
     vectors = rng.normal(size=(300, 8))
     vectors[50:70] = vectors[10]  # ties
@@ -136,7 +134,7 @@ def test_nearest_rows_equal_brute_force(spark, monkeypatch, block_rows, cells):
     rows = spark.createDataFrame([(i, f"t{i % 7}", v.tolist()) for i, v in enumerate(vectors)], "row_id long, table_name string, vector array<double>")
     questions = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "question_id long, vector array<double>")
     got = {}
-    for r in semantic.semantic_rows(questions, rows.repartition(5), limit=2).orderBy("question_id", "row_rank").collect():
+    for r in semantic.semantic_rows(questions, rows.repartition(5), limit=2, block_rows=block_rows).orderBy("question_id", "row_rank").collect():
         got.setdefault(r.question_id, []).append(r.row_id)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     for i, v in enumerate(asked):
@@ -144,6 +142,18 @@ def test_nearest_rows_equal_brute_force(spark, monkeypatch, block_rows, cells):
         assert got[i] == sorted(range(300), key=lambda d: (-score[d], d))[:20]
 
 
+def test_no_vector_is_broadcast_or_collected(spark):
+    vectors = spark.createDataFrame([(1, "t", [1.0])], "row_id long, table_name string, vector array<double>")
+    questions = vectors.select(F.col("row_id").alias("question_id"), "vector")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    found = semantic.semantic_rows(questions, vectors)
+    assert not jobs.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # only the two block counts, one number each, may be asked for beside the join of blocks
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_no_questions_gives_no_rows(spark):
     none = spark.createDataFrame([], "question_id long, vector array<double>")
     rows = spark.createDataFrame([(1, "t", [1.0])], "row_id long, table_name string, vector array<double>")
