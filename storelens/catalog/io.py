@@ -13,6 +13,7 @@ from storelens.catalog.logs import CTES, STEPS_SQL
 from storelens.plans import evaluation
 from storelens.session import scratch_path
 from storelens.sources import csvload, jsonio, warehouse
+from storelens.sources.retail_schemas import TableFile
 from storelens.sources.tables import TABLES, table
 from storelens.streaming import csv_ledger, monitor
 from storelens.streaming.sources import run_available, stream_table
@@ -48,6 +49,52 @@ def _load_report(spark, sf_dir) -> DataFrame:
     )
 
 
+def _load_report_per_file(spark, sf_dir) -> DataFrame:
+    """Customers in a folder per segment, and a table that cannot be loaded."""
+    path = scratch_path(spark, "customers-by-segment")
+    lines = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr("CASE WHEN c_custkey % 77 = 3 THEN 'n/a' ELSE '1.5' END").alias("c_acctbal"), "c_mktsegment"
+    )
+    lines.repartition("c_mktsegment").write.partitionBy("c_mktsegment").option("header", True).csv(path)
+    files = (
+        TableFile("*.csv", "CUSTOMER", "c_custkey bigint, c_acctbal decimal(12,2)"),
+        TableFile("*.csv", "BROKEN", "no schema !"),
+    )
+    report = csvload.load_all(spark, path, scratch_path(spark, "loaded"), files, recursive=True)
+    return report.select(
+        "table_name", F.nullif(F.regexp_extract("file", "c_mktsegment=([^/]*)/", 1), F.lit("")).alias("segment"),
+        "rows_loaded", "errors_seen", F.col("failure").isNotNull().alias("failed"),
+    )
+
+
+DOCUMENT_LINES = """concat('"', lang, '", "', source, '"', chr(10), text, chr(10), chr(10), '", ""', chr(10))"""
+
+
+def _csv_multiline(spark, sf_dir) -> DataFrame:
+    """Texts with line breaks, commas and quotes through delimited files."""
+    path = scratch_path(spark, "documents-csv")
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(DOCUMENT_LINES).alias("text"), "lang")
+    plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.repartition(4).write.options(**plain).csv(path)
+    loaded = csvload.load_csv(
+        spark, path, "doc_id bigint, text string, lang string", scratch_path(spark, "documents"), "*.csv", multi_line=True
+    )
+    good = loaded.rows.select("doc_id", F.md5("text").alias("text_md5"), "lang")
+    return good.unionByName(loaded.quarantine.select(F.lit(None).cast("long").alias("doc_id"), F.col("line").alias("text_md5"), F.col("file").alias("lang")))
+
+
+def _json_array(spark, sf_dir) -> DataFrame:
+    """Files with one array of records each, as curated question sets come."""
+    path = scratch_path(spark, "records-json")
+    rows = table(spark, sf_dir, "benchmark").select(
+        F.floor(F.col("item_id") / 100).alias("page"),
+        F.to_json(F.struct(F.col("item_id").alias("id"), F.col("text").alias("question"), (F.col("item_id") % 2 == 0).alias("verified"))).alias("r")
+    )
+    arrays = rows.groupBy("page").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value"))
+    arrays.repartition("page").write.partitionBy("page").text(path)
+    return jsonio.read_records(spark, path, "id bigint, question string, verified boolean", "question").drop("page")
+
+
 def _by_segment(rows: DataFrame) -> DataFrame:
     return rows.groupBy("c_mktsegment").agg(
         F.count("*").alias("customers"), F.sum("c_acctbal").cast("double").alias("balance")
@@ -174,6 +221,27 @@ ENTRIES: dict[str, Entry] = {
         f"""SELECT COUNT(*) FILTER ({GOOD}) AS rows_loaded, COUNT(*) FILTER (NOT ({GOOD})) AS errors_seen
             FROM customer""",
     ),
+    "load_report_per_file": Entry(
+        _load_report_per_file,
+        """SELECT 'CUSTOMER' AS table_name, c_mktsegment AS segment, COUNT(*) FILTER (c_custkey % 77 <> 3) AS rows_loaded,
+                  COUNT(*) FILTER (c_custkey % 77 = 3) AS errors_seen, false AS failed
+           FROM customer GROUP BY c_mktsegment
+           UNION ALL SELECT 'BROKEN', NULL, 0, 0, true""",
+    ),
+    "csv_multiline": Entry(
+        _csv_multiline, f"SELECT doc_id, md5({DOCUMENT_LINES}) AS text_md5, lang FROM documents"
+    ),
+    "json_array_records": Entry(
+        _json_array, "SELECT item_id AS id, text AS question, item_id % 2 = 0 AS verified FROM benchmark"
+    ),
+    "column_catalog": Entry(
+        lambda s, d: warehouse.column_catalog(s, {name: table(s, d, name) for name in ("customer", "documents")}),
+        """SELECT table_name, column_name,
+                  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                                 ELSE 'string' END AS data_type,
+                  ordinal_position AS ordinal
+           FROM information_schema.columns WHERE table_name IN ('customer', 'documents')""",
+    ),
     "csv_loaded_rows": Entry(lambda s, d: _by_segment(_load_customers(s, d).rows), BY_SEGMENT_SQL),
     "csv_quarantine": Entry(
         _quarantined,

@@ -16,31 +16,35 @@ def hash_order(seed: int, key: Column) -> Column:
 
 
 def exact_split(
-    df: DataFrame, key: str, seed: int = 42, train_fraction: float = 0.9, prefix: int = 4
+    df: DataFrame, key: str, seed: int = 42, train_fraction: float = 0.9, digits: int = 3, bucket_rows: int = 100_000
 ) -> DataFrame:
     """Add ``split``: exactly ``floor(fraction * n)`` rows are 'train', the rest
     'val'.  ``key`` must be unique.
 
-    The hash values are counted by their first ``prefix`` hex digits; the cut
-    falls into one of these buckets, and only that bucket is sorted.  The data
-    itself is not shuffled.
+    The hash values are counted by their first ``digits`` hex digits; the cut falls into
+    one of these buckets, which is counted by the next digits, until it holds at most
+    ``bucket_rows`` rows.  Only that bucket is sorted.  The data itself is not shuffled.
     """
     ordered = df.withColumn("_hash", hash_order(seed, F.col(key)))
-    bucket = F.substring("_hash", 1, prefix)
-    counts = ordered.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    # At most 16**prefix rows, whatever the size of the data.
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("bucket")))
-    size = counts.agg(F.sum("n").alias("n")).first().n or 0
+    size = ordered.count()
     wanted = math.floor(size * train_fraction)
-    cut = upto.filter(F.col("upto") >= wanted).orderBy("bucket").limit(1).first() if wanted else None
-    if cut is None:
+    if not wanted:
         return ordered.drop("_hash").withColumn("split", F.lit("val"))
-    inside = wanted - (cut.upto - cut.n)
+    start, inside, left = "", size, wanted
+    while inside > bucket_rows and len(start) < 32:
+        bucket = F.substring("_hash", 1, len(start) + digits)
+        # At most 16**digits rows, whatever the size of the data.
+        counts = ordered.filter(F.col("_hash").startswith(start)).groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
+        for row in counts.orderBy("b").collect():
+            start, inside = row.b, row.n
+            if left <= row.n:
+                break
+            left -= row.n
     last = (
-        ordered.filter(bucket == cut.bucket)
+        ordered.filter(F.col("_hash").startswith(start))
         .select("_hash")
         .orderBy("_hash")
-        .limit(inside)
+        .limit(left)
         .agg(F.max("_hash").alias("h"))
         .first()
         .h

@@ -3,6 +3,10 @@
 A load is one pass: good and bad rows are written next to each other, split by
 the partition column ``rejected``, and the load replaces what was there, so
 loading twice equals loading once.
+
+Files are split between tasks at line ends.  A table whose fields hold line breaks
+needs ``multi_line``; each of its files is then read by one task, so large ones should
+come as many files.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.sources.retail_schemas import TableFile
+from storelens.sources.warehouse import replace_folder
 
 BAD = "_bad_line"
 FILE = "_file"
@@ -30,8 +35,9 @@ class Loaded:
     report: DataFrame
 
 
-def parse_options(header: bool) -> dict[str, str]:
+def parse_options(header: bool, multi_line: bool = False) -> dict[str, str]:
     return {
+        "multiLine": str(multi_line).lower(),
         "header": str(header).lower(),
         "quote": '"',
         "escape": '"',
@@ -46,19 +52,24 @@ def with_bad_column(schema: T.StructType) -> T.StructType:
 
 def mark_rejected(parsed: DataFrame) -> DataFrame:
     return parsed.select(
-        "*", F.col("_metadata.file_name").alias(FILE), F.col(BAD).isNotNull().alias("rejected")
+        "*", F.col("_metadata.file_path").alias(FILE), F.col(BAD).isNotNull().alias("rejected")
     )
 
 
 def load_csv(
-    spark: SparkSession, path: str, schema: str, target: str, pattern: str | None = None, header: bool = True
+    spark: SparkSession, path: str, schema: str, target: str, pattern: str | None = None, header: bool = True,
+    multi_line: bool = False, recursive: bool = False,
 ) -> Loaded:
-    """Load the files under ``path`` (those matching ``pattern``) into ``target``."""
+    """Load the files under ``path`` (those matching ``pattern``; with ``recursive``, also in
+    folders below it) into ``target``."""
     fields = T.StructType.fromDDL(schema)
-    reader = spark.read.schema(with_bad_column(fields)).options(**parse_options(header))
+    reader = spark.read.schema(with_bad_column(fields)).options(**parse_options(header, multi_line))
+    reader = reader.option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    mark_rejected(reader.csv(path)).write.mode("overwrite").partitionBy("rejected").parquet(target)
+    replace_folder(
+        spark, target, lambda folder: mark_rejected(reader.csv(path)).write.partitionBy("rejected").parquet(folder)
+    )
     return read_loaded(spark, target, schema)
 
 
@@ -79,20 +90,23 @@ def read_loaded(spark: SparkSession, target: str, schema: str) -> Loaded:
 
 
 def load_all(
-    spark: SparkSession, directory: str, target: str, files: Iterable[TableFile], header: bool = True
+    spark: SparkSession, directory: str, target: str, files: Iterable[TableFile], header: bool = True,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Load each table from the files of one directory; a table that fails is
-    reported and does not stop the others."""
+    """Load each table from the files of one directory and report per file (by its whole
+    path); a table that fails is reported with the reason and does not stop the others."""
     report = spark.createDataFrame([], REPORT_SCHEMA)
     for item in files:
         try:
-            loaded = load_csv(spark, directory, item.schema, f"{target}/{item.table}", item.pattern, header)
+            loaded = load_csv(
+                spark, directory, item.schema, f"{target}/{item.table}", item.pattern, header, item.multi_line, recursive
+            )
             found = loaded.report.select(
                 F.lit(item.table).alias("table_name"), "file", "rows_loaded", "errors_seen",
                 F.lit(None).cast("string").alias("failure"),
             )
         except Exception as error:  # reported, so that the other tables still load
-            reason = f"{type(error).__name__}: {str(error)[:200]}"
+            reason = f"{type(error).__name__}: {error}"
             found = spark.createDataFrame([(item.table, None, 0, 0, reason)], REPORT_SCHEMA)
         report = report.unionByName(found)
     return report

@@ -14,6 +14,7 @@ class TableFile:
     pattern: str
     table: str
     schema: str
+    multi_line: bool = False  # free text with line breaks: such a file is read by one task
 
 
 RETAIL_FILES = (
@@ -42,6 +43,7 @@ RETAIL_FILES = (
         "*order_reviews*.csv", "ORDER_REVIEWS",
         "REVIEW_ID string, ORDER_ID string, REVIEW_SCORE int, REVIEW_COMMENT_TITLE string, "
         "REVIEW_COMMENT_MESSAGE string, REVIEW_CREATION_DATE timestamp_ntz, REVIEW_ANSWER_TIMESTAMP timestamp_ntz",
+        multi_line=True,
     ),
     TableFile(
         "*products*.csv", "PRODUCTS",
@@ -62,4 +64,11 @@ RETAIL_FILES = (
         "*product_category_name_translation*.csv", "PRODUCT_CATEGORY_TRANSLATION",
         "PRODUCT_CATEGORY_NAME string, PRODUCT_CATEGORY_NAME_ENGLISH string",
     ),
+    TableFile(
+        "*Superstore*.csv", "SUPERSTORE_SALES",
+        "ROW_ID int, ORDER_ID string, ORDER_DATE string, SHIP_DATE string, SHIP_MODE string, CUSTOMER_ID string, "
+        "CUSTOMER_NAME string, SEGMENT string, COUNTRY string, CITY string, STATE string, POSTAL_CODE string, "
+        "REGION string, PRODUCT_ID string, CATEGORY string, SUB_CATEGORY string, PRODUCT_NAME string, "
+        "SALES decimal(12,4), QUANTITY int, DISCOUNT decimal(4,2), PROFIT decimal(12,4)",
+    ),
 )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,32 @@ from pyspark.sql import types as T
 from storelens.operators.ranking import top_n_per_group
 
 
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a new folder and put it in place of ``path``.
+
+    What is stored stays as it is until everything is written, so a write that fails
+    changes nothing and may read what it replaces.  The swap is two renames: between
+    them a reader finds no table.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    as_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    name = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    staged, old, place = as_path(f"{name}-new"), as_path(f"{name}-old"), as_path(path)
+    store = place.getFileSystem(conf)
+    try:
+        write(f"{name}-new")
+        if store.exists(place) and not store.rename(place, old):
+            raise OSError(f"cannot move {path}")
+        if not store.rename(staged, place):
+            raise OSError(f"cannot move {name}-new to {path}")
+    finally:
+        store.delete(staged, True)
+    store.delete(old, True)
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` in place of what is stored, as one commit."""
-    df.write.mode("overwrite").parquet(path)
+    """Write ``df`` in place of what is stored."""
+    replace_folder(df.sparkSession, path, lambda folder: df.write.parquet(folder))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

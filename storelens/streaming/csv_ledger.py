@@ -9,7 +9,9 @@ from storelens.sources.csvload import Loaded, mark_rejected, parse_options, read
 from storelens.streaming.sources import run_available
 
 
-def load_new_files(spark: SparkSession, directory: str, schema: str, target: str, checkpoint: str) -> Loaded:
+def load_new_files(
+    spark: SparkSession, directory: str, schema: str, target: str, checkpoint: str, multi_line: bool = False
+) -> Loaded:
     """Load the files that arrived since the last call.
 
     The checkpoint remembers the files that were read and the sink's log the
@@ -17,7 +19,7 @@ def load_new_files(spark: SparkSession, directory: str, schema: str, target: str
     twice.
     """
     fields = with_bad_column(T.StructType.fromDDL(schema))
-    arriving = spark.readStream.schema(fields).options(**parse_options(header=True)).csv(directory)
+    arriving = spark.readStream.schema(fields).options(**parse_options(header=True, multi_line=multi_line)).csv(directory)
     writer = mark_rejected(arriving).writeStream.format("parquet").partitionBy("rejected").option("path", target)
     run_available(writer, checkpoint)
     return read_loaded(spark, target, schema)

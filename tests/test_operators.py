@@ -88,7 +88,24 @@ def test_median_is_exact(spark, values):
 
 def test_median_with_a_coarse_first_guess(hot):
     expected = statistics.median(v for _, _, v in hot_rows())
-    assert exact_median(hot, "v", "m", error=0.05).first().m == expected
+    assert exact_median(hot, "v", "m", bracket_rows=3).first().m == expected
+
+
+@pytest.mark.parametrize("values", [
+    [1.0] * 40 + [2.0] * 40, [0.1 * i for i in range(50)] + [1000 + 0.1 * i for i in range(50)], [5.0] * 99,
+    [1e308, -1e308] * 30 + [0.5, 0.25, 5e-324, 0.0], [float(i % 7) for i in range(201)], [1.0, 1.0000000000000002] * 25,
+])
+def test_median_in_small_brackets(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    for rows in (1, 10):
+        assert exact_median(df, "v", "m", bracket_rows=rows).first().m == statistics.median(values)
+
+
+def test_split_in_small_buckets(spark):
+    df = spark.range(700).withColumnRenamed("id", "key")
+    whole = {r.key: r.split for r in exact_split(df, "key").collect()}
+    assert whole == {r.key: r.split for r in exact_split(df, "key", digits=1, bucket_rows=2).collect()}
+    assert sum(s == "train" for s in whole.values()) == 630
 
 
 def test_median_of_nothing(spark):

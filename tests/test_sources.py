@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storelens.plans import evaluation
+from storelens.plans.responses import WAREHOUSE_TABLES
 from storelens.session import durable, remove, scratch_path, shared_dir
 from storelens.sources import csvload, jsonio, warehouse
 from storelens.sources.retail_schemas import RETAIL_FILES, TableFile
@@ -35,7 +36,7 @@ def test_csv_load_keeps_good_and_bad_rows(spark, folder, tmp_path):
     assert rows == {("beleza", "health"), ('um "dois"', "one, two"), ("fim", "end"), ("ok", "fine")}
     assert loaded.rows.count() == 4
     assert {r.line for r in loaded.quarantine.collect()} == {"long,x,extra", "short"}
-    report = {r.file: (r.rows_loaded, r.errors_seen) for r in loaded.report.collect()}
+    report = {os.path.basename(r.file): (r.rows_loaded, r.errors_seen) for r in loaded.report.collect()}
     assert report == {"a_translation.csv": (3, 0), "b_translation.csv": (1, 2)}
 
 
@@ -61,9 +62,37 @@ def test_one_failing_table_does_not_stop_the_others(spark, folder, tmp_path):
     }
 
 
-def test_retail_files_cover_nine_tables():
-    assert len(RETAIL_FILES) == 9
-    assert sum(len(item.schema.split(", ")) for item in RETAIL_FILES) == 52
+def test_retail_files_cover_all_tables():
+    assert {item.table for item in RETAIL_FILES} == set(WAREHOUSE_TABLES)
+    assert sum(len(item.schema.split(", ")) for item in RETAIL_FILES) == 73
+    assert [item.table for item in RETAIL_FILES if item.multi_line] == ["ORDER_REVIEWS"]
+
+
+def test_line_breaks_inside_fields(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "r.csv", 'name,english\n"one\ntwo, ""three""\n\n",a\nbad\nb,"x\n"\n')
+    loaded = csvload.load_csv(spark, str(tmp_path / "in"), TRANSLATION, str(tmp_path / "out"), multi_line=True)
+    assert {(r.name, r.english) for r in loaded.rows.collect()} == {('one\ntwo, "three"\n\n', "a"), ("b", "x\n")}
+    assert [r.line for r in loaded.quarantine.collect()] == ["bad"]
+
+
+def test_files_of_one_name_are_reported_apart(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        write(tmp_path / "in" / folder / "same.csv", "name,english\na,b\n")
+    loaded = csvload.load_csv(spark, str(tmp_path / "in"), TRANSLATION, str(tmp_path / "out"), recursive=True)
+    assert sorted(r.rows_loaded for r in loaded.report.collect()) == [1, 1]
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    stored = warehouse.replace_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        warehouse.replace_table(spark.range(9).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
+    grown = warehouse.replace_table(stored.union(spark.range(2)), path)  # reads what it replaces
+    assert grown.count() == 7
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_ledger_loads_each_file_once(spark, folder, tmp_path):
