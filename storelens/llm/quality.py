@@ -234,9 +234,10 @@ def judged(docs: DataFrame, rules: list[Rule], min_words: int = 50, max_repeat_p
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")
     )
-    return stats.select(
-        *own, *BASE, failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept")
-    )
+    # Through a generator, so that a filter on the outcome is not pushed below: the
+    # optimizer would put the array functions in its place once for every mention.
+    outcome = F.struct(*BASE, failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"))
+    return stats.select(*own, F.explode(F.array(outcome)).alias("_outcome")).select(*own, "_outcome.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
