@@ -229,14 +229,17 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8)
     judged = rooted.join(stays, "root").select("doc_id", *raw, "node", "least")
     loses = ~(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))
     goes = stored(judged.filter(loses).select("doc_id", *raw).distinct(), goes_path)
-    repeats = slim.groupBy("doc_id", "node").count().filter("count > 1")
-
-    same = [docs["doc_id"].eqNullSafe(goes["doc_id"]), *(expr == goes[c] for c, expr in raw.items())]
-    out = docs.join(goes, same, "left_anti")
-    if not repeats.isEmpty():  # rows repeated as a whole: the anti-join cannot tell them apart
-        node = slim.join(repeats, slim["doc_id"].eqNullSafe(repeats["doc_id"]) & (slim["node"] == repeats["node"]))
-        node = node.select(slim["doc_id"].alias("_id"), slim["node"].alias("_node"), *raw).distinct()
-        twice = out.join(node, [out["doc_id"].eqNullSafe(node["_id"]), *(expr == node[c] for c, expr in raw.items())])
-        once = out.join(node, [out["doc_id"].eqNullSafe(node["_id"]), *(expr == node[c] for c, expr in raw.items())], "left_anti")
-        out = once.unionByName(twice.dropDuplicates(["_id", "_node"]).select(*docs.columns))
-    return out
+    repeats = slim.groupBy(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).count().filter("count > 1")
+
+    def raw_is(other: DataFrame, id_name: str) -> list:
+        return [docs["doc_id"].eqNullSafe(other[id_name]), *(expr == other[c] for c, expr in raw.items())]
+
+    out = docs.join(goes, raw_is(goes, "doc_id"), "left_anti")
+    if repeats.isEmpty():
+        return out
+    # rows repeated as a whole, which the anti-join cannot tell apart
+    known = slim.join(repeats, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node")))
+    known = stored(known.select("_id", "_node", *raw).distinct(), new_folder(spark, "repeated"))
+    once = out.join(known, raw_is(known, "_id"), "left_anti")
+    twice = out.join(known, raw_is(known, "_id")).dropDuplicates(["_id", "_node"])
+    return once.unionByName(twice.select(*docs.columns))
