@@ -41,6 +41,12 @@ CTES = {
                concat('agent ', event_id % 3) AS agent,
                CASE WHEN value > 45 THEN 'error' ELSE 'success' END AS status
         FROM events WHERE event_type IN ('view', 'purchase')""",
+    "w_answers": """
+        SELECT c_custkey AS query_id, concat('What did ', c_name, ' buy?') AS question,
+               concat('SELECT * FROM ORDERS WHERE CUSTOMER_ID = ', c_custkey) AS final_sql,
+               CASE WHEN c_acctbal > 0 THEN c_nationkey END AS row_count,
+               CASE WHEN c_acctbal <= 0 THEN 'timeout' END AS error
+        FROM customer""",
     "w_log": f"""
         SELECT event_id AS query_id, ts, {QUESTION} AS question, event_type <> 'error' AS success,
                CAST(floor(value * 4) AS BIGINT) AS link_ms, CAST(floor(value * 6) AS BIGINT) AS validate_ms,
@@ -75,6 +81,15 @@ def _from(name: str, source: str):
 _results = _from("w_results", "events")
 _marks = _from("w_marks", "events")
 _golden = _from("w_golden", "documents")
+_answers = _from("w_answers", "customer")
+
+
+def _holed(marks: DataFrame) -> DataFrame:
+    """Marks of which some have lost their query or their time."""
+    return marks.withColumns({
+        "query_id": F.when(F.col("mark_id") % 50 != 0, F.col("query_id")),
+        "ts": F.when(F.col("mark_id") % 70 != 0, F.col("ts")),
+    })
 
 
 def _log(spark, sf_dir) -> DataFrame:
@@ -207,12 +222,25 @@ LABELS = "concat('Q', ROW_NUMBER() OVER (ORDER BY ts, query_id))"
 MONITORING: dict[str, Entry] = {
     "trace_steps": Entry(lambda s, d: monitoring.trace_steps(_marks(s, d)), _sql(STEPS_SQL)),
     "trace_records": Entry(
-        lambda s, d: monitoring.trace_records(_marks(s, d)),
+        lambda s, d: monitoring.trace_records(_marks(s, d), _answers(s, d)).withColumn("steps", F.to_json("steps")),
+        _sql(
+            f"""SELECT query_id, started, step_count, total_duration_ms, success, coalesce(steps, '[]') AS steps,
+                       question, final_sql, row_count, error
+                FROM (SELECT query_id, min(ts) AS started, COUNT(*) FILTER (kind = 'end') AS step_count,
+                             (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS total_duration_ms,
+                             COUNT(*) FILTER (kind = 'end' AND status = 'error') = 0 AS success
+                      FROM w_marks GROUP BY query_id)
+                LEFT JOIN (SELECT query_id, '[' || string_agg('{{"agent":"' || agent || '","status":"' || status
+                                  || '","duration_ms":' || duration_ms || '}}', ',' ORDER BY ts, mark_id) || ']' AS steps
+                           FROM ({STEPS_SQL}) GROUP BY query_id) USING (query_id)
+                LEFT JOIN w_answers USING (query_id)"""
+        ),
+    ),
+    "trace_rejects": Entry(
+        lambda s, d: monitoring.rejected_marks(_holed(_marks(s, d))).select("mark_id", "reason"),
         _sql(
-            """SELECT query_id, min(ts) AS started, COUNT(*) FILTER (kind = 'end') AS steps,
-                      (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS total_duration_ms,
-                      COUNT(*) FILTER (kind = 'end' AND status = 'error') = 0 AS success
-               FROM w_marks GROUP BY query_id"""
+            """SELECT mark_id, CASE WHEN mark_id % 50 = 0 THEN 'no query' ELSE 'no time' END AS reason
+               FROM w_marks WHERE mark_id % 50 = 0 OR mark_id % 70 = 0"""
         ),
     ),
     "trace_step_pages": Entry(

@@ -31,7 +31,7 @@ def trace_steps(marks: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataF
     start, and an end without one gives 0 ms and an unknown agent.  So a mark
     needs only the mark before it.  That is looked up inside a time slice of
     the query; for the first mark of a slice it is the last mark of the slice
-    before.  A query with very many marks is thereby spread over many tasks.
+    before.  Marks without a query or a time are left out (``rejected_marks``).  A query with very many marks is thereby spread over many tasks.
     """
     # Placed by slice once: both uses below need the same rows and columns, so
     # Spark shuffles the marks a single time.
@@ -60,12 +60,52 @@ def trace_steps(marks: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataF
     )
 
 
-def trace_records(marks: DataFrame) -> DataFrame:
-    """One record per query: first mark, total time, steps, success."""
+def rejected_marks(marks: DataFrame) -> DataFrame:
+    """The marks that belong to no trace, with the reason."""
+    reason = F.when(F.col("query_id").isNull(), "no query").when(F.col("ts").isNull(), "no time")
+    return marks.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
+def trace_records(marks: DataFrame, answers: DataFrame, step_rows: int = PAGE_ROWS) -> DataFrame:
+    """One record per query: question, first mark, its steps in order, total time, final
+    statement, rows, success and error.
+
+    answers: query_id, question, final_sql, row_count, error.  ``steps`` holds the first
+    ``step_rows`` steps and ``step_count`` their true number; ``step_pages`` has them all.
+    A query without an answer has nulls in its fields.
+    """
+    steps = trace_steps(marks)
+    first = Window.partitionBy("query_id").orderBy("ts", "mark_id")
+    listed = (
+        steps.withColumn("place", F.row_number().over(first))
+        .filter(F.col("place") <= step_rows)
+        .groupBy("query_id")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "agent", "status", "duration_ms"))).alias("_steps"))
+    )
+    no_steps = F.array().cast("array<struct<agent:string,status:string,duration_ms:bigint>>")
+    return (
+        _totals(marks)
+        .join(listed, "query_id", "left")
+        .join(answers.select("query_id", "question", "final_sql", "row_count", "error"), "query_id", "left")
+        .withColumn(
+            "steps",
+            F.coalesce(
+                F.transform("_steps", lambda s: F.struct(
+                    s["agent"].alias("agent"), s["status"].alias("status"), s["duration_ms"].alias("duration_ms")
+                )),
+                no_steps,
+            ),
+        )
+        .drop("_steps")
+    )
+
+
+def _totals(marks: DataFrame) -> DataFrame:
     ended = F.col("kind") == "end"
-    return marks.groupBy("query_id").agg(
+    known = marks.filter("query_id IS NOT NULL AND ts IS NOT NULL")
+    return known.groupBy("query_id").agg(
         F.min("ts").alias("started"),
-        F.count_if(ended).alias("steps"),
+        F.count_if(ended).alias("step_count"),
         _millis(F.min("ts"), F.max("ts")).alias("total_duration_ms"),
         (F.count_if(ended & (F.col("status") == "error")) == 0).alias("success"),
     )

@@ -13,7 +13,10 @@ from storelens.functions.scalars import ratio_or_zero
 from storelens.plans.monitoring import UNKNOWN_AGENT
 
 STEP_SCHEMA = "query_id long, mark_id long, ts timestamp, agent string, status string, duration_ms long"
-OPEN_SCHEMA = "opened_us long, agent string"
+STATE_SCHEMA = (
+    "opened_us long, opened_agent string, at array<long>, mark_id array<long>, kind array<string>, agent array<string>, "
+    "status array<string>"
+)
 
 
 def hourly_summary(log: DataFrame, lateness: str = "10 minutes", window: str = "1 hour") -> DataFrame:
@@ -34,40 +37,55 @@ def hourly_summary(log: DataFrame, lateness: str = "10 minutes", window: str = "
     )
 
 
-def _close_steps(timeout_ms: int):
+def _ordered_steps():
+    """The state function: marks wait until the watermark has passed them, and are then
+    taken in order of time, whatever the order and the files in which they came."""
+
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        opened, agent = state.get if state.exists else (None, None)
-        # A micro-batch, and with it this group, is bounded by the trigger.
-        marks = pd.concat(list(batches)).sort_values(["ts", "mark_id"], kind="stable")
+        waiting, opened = [], None
+        if state.exists:
+            opened_us, agent, *columns = state.get
+            opened = (opened_us, agent) if opened_us is not None else None
+            waiting = list(zip(*columns))
+        if not state.hasTimedOut:
+            for batch in batches:
+                waiting += [
+                    (m.ts.value // 1000, m.mark_id, m.kind, m.agent, m.status) for m in batch.itertuples(index=False)
+                ]
+        until = state.getCurrentWatermarkMs() * 1000
+        ready = sorted((m for m in waiting if m[0] <= until), key=lambda m: m[:2])
+        waiting = [m for m in waiting if m[0] > until]
         rows = []
-        for mark in marks.itertuples(index=False):
-            at = mark.ts.value // 1000
-            if mark.kind == "start":
-                opened, agent = at, mark.agent
+        for at, mark_id, kind, agent, status in ready:
+            if kind == "start":
+                opened = (at, agent)
                 continue
-            known = opened is not None
-            duration = (at - opened) // 1000 if known else 0
-            rows.append((key[0], mark.mark_id, mark.ts, agent if known else UNKNOWN_AGENT, mark.status, duration))
-            opened, agent = None, None
-        if opened is None:
+            if kind == "end":
+                started, who = opened or (at, UNKNOWN_AGENT)
+                rows.append((key[0], mark_id, pd.Timestamp(at, unit="us"), who, status, (at - started) // 1000))
+            opened = None
+        if waiting or opened:
+            columns = [list(c) for c in zip(*waiting)] or [[], [], [], [], []]
+            state.update((*(opened or (None, None)), *columns))
+            if waiting:
+                state.setTimeoutTimestamp(max(min(columns[0]) // 1000, until // 1000) + 1)
+        elif state.exists:
             state.remove()
-        else:
-            state.update((opened, agent))
-            watermark = max(state.getCurrentWatermarkMs(), 0)
-            state.setTimeoutTimestamp(max(opened // 1000, watermark) + timeout_ms)
         yield pd.DataFrame(rows, columns=["query_id", "mark_id", "ts", "agent", "status", "duration_ms"])
 
     return run
 
 
-def streamed_steps(marks: DataFrame, lateness: str = "10 minutes", timeout_ms: int = 86_400_000) -> DataFrame:
-    """Step records from a stream of marks, in the meaning of the batch job
-    ``trace_steps``.  A start that is never ended is dropped once the watermark
-    has passed it by ``timeout_ms``."""
-    zoned = marks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+def streamed_steps(marks: DataFrame, lateness: str = "10 minutes") -> DataFrame:
+    """Step records from a stream of marks, equal to those of the batch job
+    ``trace_steps`` for marks that come at most ``lateness`` out of order.
+
+    A step comes out once the watermark has passed its end.  The state of a query holds
+    the marks of the last ``lateness`` and a start not ended yet.  Marks without a query
+    or a time are left out; ``monitoring.rejected_marks`` lists them.
+    """
+    known = marks.filter("query_id IS NOT NULL AND ts IS NOT NULL")
+    zoned = known.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
     return zoned.groupBy("query_id").applyInPandasWithState(
-        _close_steps(timeout_ms), STEP_SCHEMA, OPEN_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+        _ordered_steps(), STEP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
