@@ -89,7 +89,7 @@ class _Shards:
     def _open(self) -> None:
         self.name = f"part-{self.part:05d}-{len(self.done):05d}.warc.gz"
         self.temporary = f"{self.folder}/_temporary-{self.attempt}-{self.name}"
-        self.out = self.system.open_output_stream(self.temporary)
+        self.out = self.system.open_output_stream(self.temporary, compression=None)
         self.hash, self.bytes, self.ids = hashlib.sha256(), 0, []
         self.records = 0
         info = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(None, self.name)), ("WARC-Date", DATE),
@@ -228,7 +228,7 @@ def read_warc(manifest: DataFrame, payloads: bool = False) -> DataFrame:
             for shard in batch["shard"]:
                 system, at = _filesystem(shard)
                 held, size = [], 0
-                with system.open_input_stream(at) as stream:
+                with system.open_input_stream(at, compression=None) as stream:
                     for member in members(stream):
                         if (row := parse(member)) is None:
                             continue
