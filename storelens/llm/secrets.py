@@ -101,12 +101,12 @@ def score(run: str, table: np.ndarray) -> float:
 
 def markov_spans(text: str, base: list[Span], table: np.ndarray, min_length: int, min_ratio: float) -> list[Span]:
     """Runs of at least ``min_length`` alphabet characters that touch no base span and whose
-    ratio is ``min_ratio`` or more per character."""
+    ratio is ``min_ratio`` or more."""
     out = []
     for m in re.finditer(r"[A-Za-z0-9+/_.=-]{%d,}" % min_length, text):
         if any(a < m.end() and m.start() < b for a, _, b in base):
             continue
-        if score(m.group(), table) >= min_ratio * (m.end() - m.start()):
+        if score(m.group(), table) >= min_ratio:
             out.append((m.start(), "markov", m.end()))
     return out
 
@@ -115,11 +115,11 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, kind, b in spans)
 
 
-def scan(docs: DataFrame, table: np.ndarray, min_length: int = 16, min_ratio: float = 1.0) -> DataFrame:
+def scan(docs: DataFrame, table: np.ndarray, min_length: int = 16, min_ratio: float = 10.0) -> DataFrame:
     """(``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``n_markov``, ``base_sha256``,
     ``spans``) per row of ``docs``.
 
-    ``spans`` lists kind:start:end (code points, end exclusive) by start and kind;
+    A run counts as random from odds of e^``min_ratio`` to one on.  ``spans`` lists kind:start:end (code points, end exclusive) by start and kind;
     ``base_sha256`` is the digest of the same list without Markov spans.  A null text is
     empty and has no spans.  Repeated rows and null ids are scanned like any other; an
     empty table gives an empty table.  Other columns are not looked at.
