@@ -3,7 +3,7 @@
 Records are range-sorted by page id; each range becomes shards that are rolled by their
 compressed size.  A shard is written under a temporary name and renamed when it is whole;
 its content depends on its records alone, so a repeated task replaces it by the same
-bytes.  A shard counts only if the manifest lists it, which Spark commits at the end.
+bytes, and the same table gives the same shards.  A shard counts only if the manifest lists it, which Spark commits at the end.
 """
 
 from __future__ import annotations
