@@ -16,7 +16,7 @@ from storelens.sources import csvload, jsonio, warehouse
 from storelens.sources.retail_schemas import TableFile
 from storelens.sources.tables import TABLES, table
 from storelens.streaming import csv_ledger, monitor
-from storelens.streaming.sources import run_available, stream_table, with_closing_row
+from storelens.streaming.sources import closable, close, run_available, stream_table
 
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_acctbal decimal(12,2), c_mktsegment string"
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
@@ -181,12 +181,19 @@ def _stream_results(spark, sf_dir) -> DataFrame:
     )
 
 
+def _run_and_close(stream: DataFrame, folder: str, result: DataFrame, out: str, checkpoint: str) -> None:
+    for closing in (False, True):
+        if closing:
+            close(stream, folder)
+        run_available(result.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
+
+
 def _stream_monitor(spark, sf_dir) -> DataFrame:
     out = scratch_path(spark, "hourly")
-    closed = with_closing_row(_stream_results(spark, sf_dir), scratch_path(spark, "closing"))
-    hourly = monitor.hourly_summary(closed)
-    writer = hourly.writeStream.format("parquet").outputMode("append").option("path", out)
-    run_available(writer, scratch_path(spark, "hourly-checkpoint"))
+    folder = scratch_path(spark, "closing")
+    results = closable(_stream_results(spark, sf_dir), folder)
+    hourly = monitor.hourly_summary(results)
+    _run_and_close(results, folder, hourly, out, scratch_path(spark, "hourly-checkpoint"))
     return spark.read.schema(hourly.schema).parquet(out).select(
         F.col("window_start").cast("timestamp_ntz"), F.col("window_end").cast("timestamp_ntz"),
         "total", "success_rate", "avg_latency",
@@ -204,11 +211,11 @@ def _stream_steps(spark, sf_dir) -> DataFrame:
         F.when(F.col("value") > 45, "error").otherwise("success").alias("status"),
     )
     out = scratch_path(spark, "steps")
+    folder = scratch_path(spark, "closing")
+    marks = closable(marks, folder)
     # The closing row needs a query of its own, or it would be left out as a bad mark.
-    closed = with_closing_row(marks, scratch_path(spark, "closing"))
-    steps = monitor.streamed_steps(closed.withColumn("query_id", F.coalesce("query_id", F.lit(-1).cast("long"))))
-    writer = steps.writeStream.format("parquet").outputMode("append").option("path", out)
-    run_available(writer, scratch_path(spark, "steps-checkpoint"))
+    steps = monitor.streamed_steps(marks.withColumn("query_id", F.coalesce("query_id", F.lit(-1).cast("long"))))
+    _run_and_close(marks, folder, steps, out, scratch_path(spark, "steps-checkpoint"))
     return spark.read.schema(steps.schema).parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

@@ -71,7 +71,8 @@ def _ordered_steps():
                 state.setTimeoutTimestamp(max(min(columns[0]) // 1000, until // 1000) + 1)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(rows, columns=["query_id", "mark_id", "ts", "agent", "status", "duration_ms"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["query_id", "mark_id", "ts", "agent", "status", "duration_ms"])
 
     return run
 

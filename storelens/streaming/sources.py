@@ -20,21 +20,25 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, bytes_per_trigger:
     )
 
 
-def with_closing_row(stream: DataFrame, folder: str, time: str = "ts", at: str = "2200-01-01 00:00:00") -> DataFrame:
-    """``stream`` and one row of nulls with a late time, put into ``folder``.
+def closable(stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` and whatever :func:`close` puts into ``folder``.
 
     The last windows and steps of a stream stay open until something later comes.  For a
-    log that is complete the row lets the watermark pass them all; whatever comes after
-    it is late.  The row itself has a window and a key of its own, which stay open.
+    log that is complete, run what there is, then ``close`` the folder and run once more
+    from the same checkpoint: the closing row lets the watermark pass all that is open.
     """
     spark = stream.sparkSession
-    columns = [
-        F.lit(at if f.name == time else None).cast(f.dataType).alias(f.name) for f in stream.schema.fields
-    ]
-    spark.range(1).coalesce(1).select(*columns).write.mode("append").parquet(folder)
+    spark.createDataFrame([], stream.schema).write.mode("append").parquet(folder)
     return stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder))
 
 
+def close(stream: DataFrame, folder: str, time: str = "ts", at: str = "2200-01-01 00:00:00") -> None:
+    """Put a row of nulls with a late time into ``folder``.  What comes after it is late;
+    the row itself has a window and a key of its own, which stay open."""
+    row = [F.lit(at if f.name == time else None).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    stream.sparkSession.range(1).coalesce(1).select(*row).write.mode("append").parquet(folder)
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process everything that is there, then stop."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from storelens.plans import evaluation, monitoring, presentation
 from storelens.streaming import monitor
-from storelens.streaming.sources import run_available
+from storelens.streaming.sources import closable, close, run_available
 
 MARKS = "query_id long, mark_id long, ts timestamp_ntz, kind string, agent string, status string"
 
@@ -68,10 +68,52 @@ def test_streamed_steps_equal_batch(spark, tmp_path):
     for part in range(3):  # three files in time order, each its own micro-batch
         chunk = marks.filter(F.col("mark_id").between(part * 300, part * 300 + 299))
         chunk.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(marks.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    writer = monitor.streamed_steps(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
-    run_available(writer, str(tmp_path / "checkpoint"))
-    assert as_tuples(spark.read.parquet(str(tmp_path / "out"))) == reference_steps(rows)
+    assert streamed(spark, marks.schema, tmp_path) == reference_steps(rows)
+
+
+def streamed(spark, schema, tmp_path, lateness="10 minutes"):
+    """The steps of the files under ``in``, one file at a time, and then of a closing row."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    stream = closable(stream, str(tmp_path / "closing"))
+    steps = monitor.streamed_steps(stream.withColumn("query_id", F.coalesce("query_id", F.lit(-1).cast("long"))), lateness)
+    for closing in (False, True):
+        if closing:
+            close(stream, str(tmp_path / "closing"))
+        run_available(steps.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "checkpoint"))
+    return as_tuples(spark.read.parquet(str(tmp_path / "out")))
+
+
+def test_streamed_steps_of_files_out_of_order(spark, tmp_path):
+    at = datetime(2024, 1, 1, 10)
+    rows = [
+        (1, 1, at, "start", "a", "success"), (1, 2, at + timedelta(minutes=5), "end", "a", "success"),
+        (1, 3, at + timedelta(minutes=2), "start", "b", "success"), (2, 4, at, "end", "c", "error"),
+        (2, 5, at + timedelta(minutes=8), "start", "d", "success"), (1, 6, at + timedelta(minutes=30), "start", "e", "success"),
+        (2, 7, at + timedelta(minutes=31), "end", "d", "success"), (1, 8, at + timedelta(minutes=29), "end", "f", "success"),
+    ]
+    for part in range(0, 8, 2):
+        spark.createDataFrame(rows[part : part + 2], MARKS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    marks = spark.createDataFrame(rows, MARKS)
+    assert reference_steps(rows)[0] == (1, 2, "b", "success", 180_000)
+    assert as_tuples(monitoring.trace_steps(marks)) == reference_steps(rows)
+    assert streamed(spark, marks.schema, tmp_path) == reference_steps(rows)
+
+
+def test_whole_trace_records(spark):
+    at = datetime(2024, 1, 1)
+    rows = [(1, 1, at, "start", "a", "success"), (1, 2, at + timedelta(seconds=2), "end", "a", "success"),
+            (1, 3, at + timedelta(seconds=3), "end", "b", "error"), (2, 4, at, "start", "c", "success"),
+            (None, 5, at, "end", "lost", "success"), (3, 6, None, "end", "lost", "success")]
+    marks = spark.createDataFrame(rows, MARKS)
+    answers = spark.createDataFrame([(1, "q?", "SELECT 1", 7, "e")], "query_id long, question string, final_sql string, row_count long, error string")
+    got = {r.query_id: r for r in monitoring.trace_records(marks, answers).collect()}
+    assert set(got) == {1, 2}
+    one = got[1]
+    assert (one.question, one.final_sql, one.row_count, one.error, one.success) == ("q?", "SELECT 1", 7, "e", False)
+    assert [tuple(s) for s in one.steps] == [("a", "success", 2000), ("Unknown", "error", 0)]
+    assert (one.step_count, one.total_duration_ms, got[2].steps, got[2].question) == (2, 3000, [], None)
+    rejected = {(r.mark_id, r.reason) for r in monitoring.rejected_marks(marks).collect()}
+    assert rejected == {(5, "no query"), (6, "no time")}
 
 
 def test_streamed_totals_equal_batch(spark, sf_dir, tmp_path):
