@@ -21,6 +21,13 @@ def test_no_cross_join_and_no_row_at_a_time_python(spark, sf_dir, name):
         assert operator not in text
 
 
+def test_items_are_summed_before_they_meet_products(spark, sf_dir):
+    text = plan(sales.weight_freight_correlation(Star(spark, sf_dir)))
+    join = next(i for i, line in enumerate(text.splitlines()) if "Join" in line)
+    below = "\n".join(text.splitlines()[join:])
+    assert "partial_sum" in below and below.count("lineitem") == 1
+
+
 def test_year_filter_reaches_the_scan(spark, sf_dir):
     text = plan(orders.orders_placed_in_year(Star(spark, sf_dir), 1997))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
