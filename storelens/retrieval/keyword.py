@@ -99,16 +99,12 @@ def _patterns(words: DataFrame, signatures: DataFrame) -> DataFrame:
     return each.join(_terms(signatures), "keyword").select("signature", *PATTERN, "n").distinct()
 
 
-def _for_everything(signatures: DataFrame) -> DataFrame:
-    """The empty signature, if it is asked."""
-    return signatures.select("signature").filter("signature = ''").distinct()
-
-
 def _match_counts(patterns: DataFrame, signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Matching descriptions per signature and table.  The empty keyword matches all."""
     some = patterns.groupBy("signature", "table_name").agg(F.sum("n").alias("match_count"))
-    every = descriptions.groupBy("table_name").agg(F.count("*").alias("match_count")).withColumn("signature", F.lit(""))
-    return some.unionByName(every.join(_for_everything(signatures), "signature", "left_semi"))
+    asked = signatures.agg(F.coalesce(F.max(F.col("signature") == ""), F.lit(False))).scalar()
+    every = descriptions.groupBy("table_name").agg(F.count("*").alias("match_count")).filter(asked)
+    return some.unionByName(every.withColumn("signature", F.lit("")))
 
 
 def _matched_tables(counts: DataFrame, budget: int, excluded: Sequence[str]) -> DataFrame:

@@ -40,6 +40,7 @@ FILE_NAMES = {
     "ORDER_PAYMENTS": "shop_order_payments.csv", "ORDER_REVIEWS": "shop_order_reviews.csv", "PRODUCTS": "shop_products.csv",
     "SELLERS": "shop_sellers.csv", "GEOLOCATION": "shop_geolocation.csv",
     "PRODUCT_CATEGORY_TRANSLATION": "product_category_name_translation.csv",
+    "SUPERSTORE_SALES": "Sample - Superstore.csv",
 }
 
 
@@ -81,6 +82,7 @@ def made_tables(n=400):
         "CUSTOMERS": customers, "ORDERS": orders, "ORDER_ITEMS": items, "ORDER_PAYMENTS": payments, "ORDER_REVIEWS": reviews,
         "PRODUCTS": products, "SELLERS": sellers, "GEOLOCATION": [("1", "2.5", "-3.5", "c", "s")],
         "PRODUCT_CATEGORY_TRANSLATION": [("PROMO", "promo"), ("SMALL", "small"), ("NEVER", "never")],
+        "SUPERSTORE_SALES": [(1, "CA-1", "11/8/2016", "11/11/2016", *["x, \"y\""] * 13, "261.96", 2, "0.2", "-41.9136")],
     }
 
 
