@@ -48,7 +48,8 @@ def freight_of_orders_placed_in(star: Star, year: int) -> DataFrame:
 
 
 def freight_of_orders_delivered_in(star: Star, year: int) -> DataFrame:
-    return _freight_of(star, star.tracked_orders.filter(year_range(F.col("delivered_ts"), year)))
+    freight = star.freight_per_order(lambda delivered: year_range(delivered, year))
+    return freight.agg(total(F.col("v")).alias("total_freight"))
 
 
 def _per_customer(star: Star, value: Column) -> DataFrame:

@@ -8,10 +8,10 @@ arrive and a re-run after a lost executor gives the same digits.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.sources.tables import table
@@ -80,8 +80,12 @@ class Star:
 
     @property
     def items(self) -> DataFrame:
+        return self.items_with()
+
+    def items_with(self, *others: str) -> DataFrame:
         price = F.col("l_extendedprice").cast(MONEY)
         return self._t("lineitem").select(
+            *others,
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
@@ -90,6 +94,14 @@ class Star:
             (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight"),
         )
 
+    def freight_per_order(self, delivered: Callable[[Column], Column]) -> DataFrame:
+        """Freight of the orders whose delivery time is ``delivered``; shipments and
+        freight come from one pass over the line items."""
+        shipped = self.items_with("l_shipdate").groupBy("order_id").agg(
+            F.max("l_shipdate").alias("delivered_ts"), F.sum("freight").alias("v")
+        )
+        return shipped.filter(delivered(F.col("delivered_ts"))).join(self.orders, "order_id", "left_semi")
+
     @property
     def payments(self) -> DataFrame:
         return self._t("orders").select(
@@ -169,6 +181,11 @@ class WarehouseStar:
             seller_id="SELLER_ID", price="PRICE", freight="FREIGHT_VALUE",
         )
 
+    def freight_per_order(self, delivered: Callable[[Column], Column]) -> DataFrame:
+        per_order = self.items.groupBy("order_id").agg(F.sum("freight").alias("v"))
+        chosen = self.tracked_orders.filter(delivered(F.col("delivered_ts"))).select("order_id")
+        return per_order.join(chosen, "order_id", "left_semi")
+
     @property
     def payments(self) -> DataFrame:
         return self._pick(

@@ -28,6 +28,11 @@ def test_items_are_summed_before_they_meet_products(spark, sf_dir):
     assert "partial_sum" in below and below.count("lineitem") == 1
 
 
+def test_delivered_freight_reads_the_items_once(spark, sf_dir):
+    text = plan(sales.freight_of_orders_delivered_in(Star(spark, sf_dir), 1997))
+    assert text.count("/lineitem.parquet") == 1
+
+
 def test_year_filter_reaches_the_scan(spark, sf_dir):
     text = plan(orders.orders_placed_in_year(Star(spark, sf_dir), 1997))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
