@@ -37,7 +37,8 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 2):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # as many as shuffle partitions, so that a batch's counts lie like a run's
+        self.buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
         self.levels: list[list[tuple[str, str]]] = []
 
     def add(self, batch: DataFrame) -> None:
