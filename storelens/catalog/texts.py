@@ -187,6 +187,15 @@ def _column_descriptions(spark, sf_dir) -> DataFrame:
     return responses.column_descriptions(answers, catalog)
 
 
+REJECTED_TEXT = """CASE doc_id % 5 WHEN 0 THEN concat('sorry, ', lang) WHEN 1 THEN '{"columns": [1]}'
+    WHEN 2 THEN '[{"column_name": "a"}, 7, {"column_name": "b"}]' WHEN 3 THEN '[{"column_name": "cut' ELSE '[]' END"""
+
+
+def _description_rejects(spark, sf_dir) -> DataFrame:
+    answers = table(spark, sf_dir, "documents").select("doc_id", F.expr(REJECTED_TEXT).alias("text"))
+    return responses.description_rejects(answers)
+
+
 COLUMN_DESCRIPTIONS_SQL = """
 SELECT source AS table_name, concat('DOC_', d.doc_id) AS column_name, text AS description, lang AS synonyms,
        '' AS sample_values, CASE WHEN l.doc_id IS NULL THEN 'UNKNOWN' ELSE 'VARCHAR' END AS data_type
@@ -272,6 +281,13 @@ ENTRIES: dict[str, Entry] = {
     ),
     "question_records": Entry(_question_records, QUESTION_RECORDS_SQL),
     "column_descriptions": Entry(_column_descriptions, COLUMN_DESCRIPTIONS_SQL),
+    "description_rejects": Entry(
+        _description_rejects,
+        """SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 1 END AS pos,
+                  CASE doc_id % 5 WHEN 1 THEN 'one object instead of an array' WHEN 2 THEN 'not an object'
+                                  ELSE 'no array' END AS reason
+           FROM documents""",
+    ),
     "error_line": Entry(
         lambda s, d: responses.error_lines(_error_texts(s, d)).select("event_id", "error"),
         f"""SELECT event_id, {_error_line_sql('error_text')} AS error

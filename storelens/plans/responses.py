@@ -68,9 +68,9 @@ def question_records(responses: DataFrame, text: str, difficulty: Column) -> Dat
 
 def column_descriptions(responses: DataFrame, catalog: DataFrame) -> DataFrame:
     """Description rows from responses (table_name, text), typed from the
-    catalog (table_name, column_name, data_type); 'UNKNOWN' where it has none."""
-    listed = responses.filter(~jsontext.is_json_object(F.col("text")))
-    items = jsontext.parse_items(listed, F.col("text")).filter(F.col("fields").isNotNull())
+    catalog (table_name, column_name, data_type); 'UNKNOWN' where it has none.
+    What cannot be read is listed by ``description_rejects``."""
+    items = _described_items(responses).filter("reason IS NULL")
 
     def field(name: str) -> Column:
         return F.coalesce(jsontext.text_field(F.col("fields"), name), F.lit(""))
@@ -87,5 +87,24 @@ def column_descriptions(responses: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
+def _described_items(responses: DataFrame) -> DataFrame:
+    """The elements of the responses' arrays, with the reason where one cannot be read."""
+    marked = responses.withColumn("_object", F.coalesce(jsontext.is_json_object(F.col("text")), F.lit(False)))
+    items = jsontext.parse_items(marked, F.when(~F.col("_object"), F.col("text")))
+    reason = (
+        F.when(F.col("_object"), "one object instead of an array")
+        .when(F.col("pos").isNull(), "no array")
+        .when(F.col("fields").isNull(), "not an object")
+    )
+    return items.withColumn("reason", reason).drop("_object")
+
+
+def description_rejects(responses: DataFrame) -> DataFrame:
+    """What ``column_descriptions`` leaves out: the response's columns but its text, the
+    position of the element (null for a whole response) and the reason."""
+    kept = [c for c in responses.columns if c != "text"]
+    return _described_items(responses).filter("reason IS NOT NULL").select(*kept, "pos", "reason")
+
+
 def error_lines(errors: DataFrame, text: str = "error_text") -> DataFrame:
     return errors.withColumn("error", sqltext.error_line(F.col(text)))

@@ -123,6 +123,15 @@ def test_column_descriptions_take_types_from_the_catalog(spark):
     ]
 
 
+def test_descriptions_that_cannot_be_read_are_listed(spark):
+    given = spark.createDataFrame(
+        [("T", '[{"column_name": "id"}, 7]'), ("U", '{"list": [1]}'), ("V", "no"), ("W", None)], "table_name string, text string"
+    )
+    assert {(r.table_name, r.pos, r.reason) for r in responses.description_rejects(given).collect()} == {
+        ("T", 1, "not an object"), ("U", None, "one object instead of an array"), ("V", None, "no array"), ("W", None, "no array"),
+    }
+
+
 def test_flags(spark):
     df = spark.createDataFrame([("select 1 from warehouse.raw.t",), ("  ",), (None,)], "sql string")
     rows = responses.flags(df).collect()
