@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 from storelens.llm.text import whole
 
 SEED = 11
+BUCKET_ROWS = 256
 NULL_SOURCE = "0"
 
 
@@ -127,9 +128,9 @@ def mixed(
         shares = {k: named[k] for k in totals}
     plan = _plan(spark, totals, whole_weights(shares, period), block_chars)
 
-    # Prefix sums in two steps: over the documents of a bucket, some thousands each, and
+    # Prefix sums in two steps: over the documents of a bucket, at most some hundreds, and
     # over the buckets of a source.  Buckets are ranges of the hash.
-    depth = max(1, min(40, ceil(log2(sum(r["k"] for r in sizes) / 4096 + 1))))
+    depth = max(1, min(40, ceil(log2(sum(r["k"] for r in sizes) / BUCKET_ROWS + 1))))
     rows = rows.withColumn("_bucket", F.shiftrightunsigned(F.col("_order").bitwiseXOR(F.lit(-(2**63))), 64 - depth))
     bucket = ["_key", "_bucket"]
     sums = rows.groupBy(*bucket).agg(F.sum("_size").alias("_n"))
