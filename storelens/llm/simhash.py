@@ -225,6 +225,9 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8)
     )
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     stays = rooted.groupBy("root").agg(F.min(order).alias("least"), F.count("*").alias("k")).filter("k > 1")
+    # written, so that the join below meets it by a shuffle of its own and can split a
+    # group that very many documents are in
+    stays = stored(stays, new_folder(spark, "survivors"))
     goes_path = new_folder(spark, "copies")
     judged = rooted.join(stays, "root").select("doc_id", *raw, "node", "least")
     loses = ~(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))
