@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm.components import components
@@ -99,11 +99,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 SAMPLES = 10
 SAMPLED = 3
 PART = 12
+SAMPLE_TEXTS = 4000
+COMMON = 1 << 17
+BROADCAST_SHINGLES = 1 << 20
 _RANDOM = np.random.default_rng(SEED)
 MULTIPLIERS = _RANDOM.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SKETCH = "node binary, n int, fp long, samples array<long>"
 
 
+def words_hash(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()))
+
+
 def sketch(text: str, size: int) -> tuple[bytes, int, int, list[int]]:
     """What a text is compared by: a 128-bit hash of its words, its number of different
     shingles, its fingerprint, and the fingerprints of SAMPLES small samples.
@@ -112,7 +119,6 @@ def sketch(text: str, size: int) -> tuple[bytes, int, int, list[int]]:
     shingles, so texts of similarity s draw the same sample with a chance of about s^3,
     and at least one of ten equal samples with 0.999 at s = 0.8.
     """
-    words_hash = xxhash.xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()))
     hashes = shingle_hashes(text, size)
     own = np.unique(hashes)
     drawn = []
@@ -123,7 +129,7 @@ def sketch(text: str, size: int) -> tuple[bytes, int, int, list[int]]:
         first = own[np.argpartition(order, k - 1)[:k]]
         drawn.append(majority(first))
     signed = np.array([majority(hashes), *drawn], dtype=np.uint64).astype(np.int64).tolist()
-    return words_hash, len(own), signed[0], signed[1:]
+    return words_hash(text), len(own), signed[0], signed[1:]
 
 
 def _sketches(size: int):
@@ -144,9 +150,84 @@ def _shingle_set(size: int):
     return run
 
 
+def _common_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles met most often in a sample of the texts, sorted, and how often.
+
+    They only order the shingles of a set, so what the sample misses costs time alone.
+    """
+    share = min(1.0, SAMPLE_TEXTS / max(docs.count(), 1))
+    drawn = docs.select(whole("text").alias("_text")).distinct().filter(
+        F.pmod(F.xxhash64(F.lit(SEED), "_text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+    )
+    met = drawn.select(F.explode(_shingle_set(size)("_text")).alias("x")).groupBy("x").count().filter("count > 1")
+    most = met.orderBy(F.desc("count"), "x").limit(COMMON).collect()  # at most COMMON rows
+    found = np.array([r["x"] for r in most], dtype=np.int64).astype(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.array([r["count"] for r in most], dtype=np.int64)[order]
+
+
+def needed(n: int, m: int, similarity: float) -> int:
+    """Shared shingles without which sets of ``n`` and ``m`` cannot be similar enough; a
+    hair too low rather than too high."""
+    return max(1, int(np.ceil(similarity / (1 + similarity) * (n + m) - 1e-6)))
+
+
+def prefix(own: np.ndarray, common: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+    """The shingles of a set, rarest first, as far as a similar set must share one of them.
+
+    The first shared shingle has all shared ones behind it, and the smallest set that may
+    be similar has ``similarity`` times as many shingles.
+    """
+    at = np.searchsorted(common, own)
+    at[at == len(common)] = 0
+    weight = np.where(common[at] == own, often[at], 0) if len(common) else np.zeros(len(own), dtype=np.int64)
+    least = needed(len(own), int(np.ceil(similarity * len(own) - 1e-6)), similarity)
+    return own[np.argsort(weight, kind="stable")][: max(len(own) - least + 1, 0)]
+
+
+def _prefixes(size: int, common: np.ndarray, often: np.ndarray, similarity: float):
+    @F.pandas_udf("node binary, n int, p array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            own = [np.unique(shingle_hashes(t, size)) for t in texts]
+            yield pd.DataFrame({
+                "node": [words_hash(t) for t in texts], "n": [len(o) for o in own],
+                "p": [prefix(o, common, often, similarity).astype(np.int64) for o in own],
+            })
+
+    return run
+
+
+def _pairs_across(sets: DataFrame, similarity: float, path: str) -> DataFrame:
+    """Pairs (``a``, ``b``) of nodes in different groups that can be similar: exact.
+
+    ``sets`` has ``node``, ``n`` (its number of shingles), ``root`` (its group) and ``p``
+    (its prefix).  Of two similar sets the first shared shingle has at least the needed
+    number behind it in both.  Shingles that one group alone holds, as in a large group of
+    near copies, meet nothing; those of several groups are written to ``path`` first, so
+    that all others are not shuffled with their nodes.
+    """
+    group = F.xxhash64("root").alias("g")
+    held = sets.select(group, F.explode("p").alias("x")).groupBy("x").agg(F.min("g").alias("_1"), F.max("g").alias("_2"))
+    across = stored(held.filter("_1 <> _2").select("x"), path)
+    if across.count() <= BROADCAST_SHINGLES:
+        across = F.broadcast(across)
+    shared = sets.select("node", "n", "root", F.posexplode("p").alias("i", "x")).join(across, "x")
+    # the smaller set of a pair needs at least 2 s / (1 + s) of its own shingles
+    short = shared.filter(F.col("n") - F.col("i") >= 2 * similarity / (1 + similarity) * F.col("n") - 1e-6)
+    short = short.select("x", *(F.col(c).alias(f"_{c}") for c in ("node", "n", "root", "i")))
+    least = similarity / (1 + similarity) * (F.col("n") + F.col("_n")) - 1e-6
+    return shared.join(short, "x").filter(
+        (F.col("root") != F.col("_root")) & (F.struct("_n", "_node") < F.struct(F.col("n"), F.col("node")))
+        & (F.col("_n") >= similarity * F.col("n") - 1e-6)
+        & (F.col("n") - F.col("i") >= least) & (F.col("_n") - F.col("_i") >= least)
+    ).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+
 def _candidates(nodes: DataFrame) -> DataFrame:
     """Pairs (``a``, ``b``) of nodes: whole fingerprints within two bits, or an equal sample.
 
+    They gather large groups cheaply; what they miss is left to :func:`_pairs_across`.
     The nodes of a bucket meet its centre and the others in their part of it; a bucket is
     dealt by hash into parts of about PART nodes, so k copies make some PART / 2 * k pairs
     and not all.  Centres and parts differ from band to band.
@@ -170,6 +251,29 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     ).filter("a < b").distinct()
 
 
+def _similar(
+    docs: DataFrame, pairs: DataFrame, counts: DataFrame, raw: dict[str, Column], size: int, similarity: float, path: str
+) -> DataFrame:
+    """Those of the ``pairs`` whose sets are similar enough, written to ``path``."""
+    spark = docs.sparkSession
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(counts, "node")
+    texts = (
+        docs.select(whole("text").alias("_text")).withColumns(dict(zip(raw, content_key(F.col("_text")))))
+        .join(wanted.select("node", "raw.*"), list(raw)).dropDuplicates(["node"])
+    )
+    set_path = new_folder(spark, "shingle-sets")
+    sets = stored(texts.select("node", _shingle_set(size)("_text").alias("s")), set_path)
+    shared = F.size(F.array_intersect("s", "t"))
+    linked = stored(
+        pairs.join(sets.withColumnRenamed("node", "a"), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("s").alias("t")), "b")
+        .filter(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"),
+        path,
+    )
+    drop(spark, set_path)
+    return linked
+
+
 def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` (``doc_id``, ``text`` and any others) without near copies.
 
@@ -178,8 +282,9 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8)
     row with the smallest ``doc_id`` stays (a null id sorts last, then the words' hash
     decides; of repeated rows one stays).  Texts without words form one group.
 
-    Candidates come from :func:`hamming.links` and from equal samples, and each is checked
-    by its shingle sets.  An empty table gives an empty table.  Names that start with
+    Candidates come from :func:`hamming.links` and from equal samples; all pairs still in
+    different groups then meet by their rarest shingles, which misses none.  Each candidate
+    is checked by its shingle sets.  An empty table gives an empty table.  Names that start with
     ``_`` are reserved.
     """
     spark = docs.sparkSession
@@ -203,26 +308,32 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8)
         .filter(fit).select("a", "b"),
         pair_path,
     )
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(counts, "node")
-    texts = (
-        docs.select(whole("text").alias("_text")).withColumns(dict(zip(raw, content_key(F.col("_text")))))
-        .join(wanted.select("node", "raw.*"), list(raw)).dropDuplicates(["node"])
-    )
-    set_path = new_folder(spark, "shingle-sets")
-    sets = stored(texts.select("node", _shingle_set(size)("_text").alias("s")), set_path)
-    shared = F.size(F.array_intersect("s", "t"))
-    linked = stored(
-        pairs.join(sets.withColumnRenamed("node", "a"), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("s").alias("t")), "b")
-        .filter(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"),
-        link_path,
+    linked = _similar(docs, pairs, counts, raw, size, similarity, link_path)
+    drop(spark, pair_path)
+    groups = components(linked)
+
+    # exact, for all pairs that are not in one group yet
+    prefix_path, across_path = new_folder(spark, "prefixes"), new_folder(spark, "across-pairs")
+    rare_first = _prefixes(size, *_common_shingles(docs, size), similarity)
+    prefixes = docs.select(rare_first(whole("text")).alias("_p")).select("_p.*").filter("n > 0")
+    sets = stored(
+        prefixes.dropDuplicates(["node"]).join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")),
+        prefix_path,
     )
-    drop(spark, set_path, pair_path)
+    shared_path = new_folder(spark, "shared-shingles")
+    across = stored(_pairs_across(sets, similarity, shared_path), across_path)
+    drop(spark, prefix_path, shared_path)
+    more = _similar(docs, across, counts, raw, size, similarity, new_folder(spark, "more-links"))
+    named = groups.withColumnRenamed("root", "_root")
+    ends = more.join(named.withColumnRenamed("node", "a"), "a", "left").select(
+        F.coalesce("_root", "a").alias("a"), "b"
+    ).join(named.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("_root", "b").alias("b"))
+    merged = components(ends).select(F.col("node").alias("_group"), F.col("root").alias("_merged"))
+    drop(spark, across_path)
 
-    groups = components(linked)
     rooted = slim.select("doc_id", "node", *raw).join(groups, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
+        "_group", F.coalesce("root", "node")
+    ).join(merged, "_group", "left").withColumn("root", F.coalesce("_merged", "_group")).drop("_group", "_merged")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     stays = rooted.groupBy("root").agg(F.min(order).alias("least"), F.count("*").alias("k")).filter("k > 1")
     # written, so that the join below meets it by a shuffle of its own and can split a

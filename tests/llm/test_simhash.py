@@ -151,3 +151,33 @@ def test_copies_with_odd_rows(spark):
         [(2, "A b  c d e\nf"), (4, " "), (None, "own text"), (7, "x y z"), (8, "w " * 30000)], key=repr)
     assert got.columns[-1] == "node"
     assert simhash.keep_one_per_group(documents(spark, [])).collect() == []
+
+
+def test_pairs_under_a_common_template(spark):
+    """Most shingles are one template's, so pairs of copies meet in its crowded buckets only."""
+    r = random.Random(5)
+    template = [f"t{i}" for i in range(90)]
+    texts = {}
+    for i in range(0, 400, 2):
+        own = [f"w{r.randrange(10**6)}" for _ in range(30)]
+        copy = list(own)
+        copy[8], copy[20] = "new", f"n{i}"
+        texts[i], texts[i + 1] = " ".join(template + own), " ".join(template + copy)
+    assert set(similar_groups(texts, 5, 0.8).values()) == set(range(0, 400, 2))
+    got = {x.doc_id for x in simhash.keep_one_per_group(documents(spark, list(texts.items()))).collect()}
+    assert got == set(range(0, 400, 2))
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(1)
+    for n in [1, 2, 5, 9, 40, 200]:
+        for _ in range(30):
+            own = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            lost = rng.integers(0, n // 5 + 1)
+            other = np.unique(np.concatenate([own[lost:], rng.integers(0, 2**63, rng.integers(0, 3)).astype(np.uint64)]))
+            common = np.sort(rng.permutation(own)[: n // 2])
+            often = rng.integers(2, 9, len(common))
+            shared = len(np.intersect1d(own, other))
+            if shared >= 0.8 * (len(own) + len(other) - shared):
+                a, b = (simhash.prefix(s, common, often, 0.8) for s in (own, other))
+                assert len(np.intersect1d(a, b))
