@@ -4,8 +4,10 @@ Every source's documents are laid end to end and cut into blocks of ``block_char
 characters.  Time is a row of slots, one block each.  With weight w out of D, the j-th
 block of a source is released at slot floor((j - 1) D / w) and due at ceil(j D / w);
 earliest deadline first among released blocks then keeps every source, after any number
-of slots t, within one block of its share t w / D.  The schedule repeats every D slots,
-so only D slots are worked out, and numbering and placing the blocks is left to Spark.
+of slots t, within one block of its share t w / D.  D is the length of the whole mix, so
+that rounding the target weights to w / D costs less than one block from first to last;
+where a caller gives a shorter D, the schedule repeats every D slots.  Numbering and
+placing the blocks is left to Spark.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from storelens.llm.text import whole
 SEED = 11
 BUCKET_ROWS = 256
 NULL_SOURCE = "0"
+BROADCAST_SLOTS = 1 << 18
 
 
 def source_key(source: str = "source") -> Column:
@@ -31,23 +34,53 @@ def source_key(source: str = "source") -> Column:
     return F.coalesce(F.concat(F.lit("1"), F.col(source).cast("string")), F.lit(NULL_SOURCE))
 
 
-def whole_weights(shares: dict[str, float], period: int) -> dict[str, int]:
-    """Whole numbers of at least one that add up to ``period``, near ``shares`` (largest
-    remainders).  A period too short for all sources is made ten times their number."""
-    if not shares:
-        return {}
-    if any(not s > 0 for s in shares.values()):
-        raise ValueError("weights are positive")
-    period = max(period, 10 * len(shares))
-    total = sum(shares.values())
-    exact = {k: 1 + (period - len(shares)) * s / total for k, s in shares.items()}
-    out = {k: int(x) for k, x in exact.items()}
+def _shared_out(exact: dict[str, float], out: dict[str, int], period: int) -> dict[str, int]:
+    """``out`` with what is left of ``period`` given to the largest remainders."""
     most_left = sorted(exact, key=lambda k: (out[k] - exact[k], k))
     for k in most_left[: period - sum(out.values())]:
         out[k] += 1
     return out
 
 
+def _checked(shares: dict[str, float]) -> float:
+    if any(not s > 0 for s in shares.values()):
+        raise ValueError("weights are positive")
+    return sum(shares.values())
+
+
+def whole_weights(shares: dict[str, float], period: int) -> dict[str, int]:
+    """Whole numbers that add up to ``period``: ``shares`` of it by largest remainders, but
+    at least one each.  A period too short for all sources is made ten times their number."""
+    if not shares:
+        return {}
+    total, period = _checked(shares), max(period, 10 * len(shares))
+    single: set[str] = set()  # sources raised to one; the others share the rest
+    while True:
+        rest = (period - len(single)) / total
+        low = {k for k, s in shares.items() if k not in single and s * rest < 1}
+        if not low:
+            break
+        single |= low
+        total = sum(s for k, s in shares.items() if k not in single)
+    exact = {k: 1.0 if k in single else s * rest for k, s in shares.items()}
+    return _shared_out(exact, {k: int(x) for k, x in exact.items()}, period)
+
+
+def fitted_weights(shares: dict[str, float], blocks: dict[str, int]) -> dict[str, int]:
+    """Slots of each source in a period that holds the whole mix: enough for its ``blocks``
+    (one at least), and less than one off its share of the period."""
+    if not shares:
+        return {}
+    total = _checked(shares)
+    share = {k: s / total for k, s in shares.items()}
+    period = max(int((blocks[k] - 1) / share[k]) + 1 for k in share)
+    while True:
+        out = {k: max(int(s * period), blocks[k]) for k, s in share.items()}
+        if sum(out.values()) <= period:
+            return _shared_out({k: s * period for k, s in share.items()}, out, period)
+        period = max(sum(out.values()), period + period // 50)
+
+
 def pfair_slots(weights: dict[str, int]) -> dict[str, list[int]]:
     """The slots of one period, by source: earliest deadline first among released blocks."""
     period = sum(weights.values())
@@ -66,11 +99,12 @@ def pfair_slots(weights: dict[str, int]) -> dict[str, list[int]]:
     return slots
 
 
-def _plan(spark: SparkSession, totals: dict[str, int], weights: dict[str, int], block_chars: int) -> DataFrame:
+def _plan(
+    spark: SparkSession, blocks: dict[str, int], weights: dict[str, int]
+) -> tuple[DataFrame, DataFrame]:
     """One row per source: blocks, slots per period, and how often its blocks come round
-    until the last block of the slowest source has come."""
+    until the last block of the slowest source has come; and one row per slot of a period."""
     slots, period = pfair_slots(weights), sum(weights.values())
-    blocks = {k: max(1, ceil(totals[k] / block_chars)) for k in weights}
 
     def slot(k: str, i: int) -> int:
         return i // weights[k] * period + slots[k][i % weights[k]]
@@ -83,14 +117,16 @@ def _plan(spark: SparkSession, totals: dict[str, int], weights: dict[str, int],
     ]
     kind = "array<struct<key: string, blocks: long, granted: long, weight: long, slots: array<long>>>"
     one = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), kind)).alias("_s"))
-    return one.select(F.col("_s.key").alias("_key"), *(
-        F.col(f"_s.{c}").alias(f"_{c}") for c in ("blocks", "granted", "weight", "slots")
+    plan = one.select(F.col("_s.key").alias("_key"), *(
+        F.col(f"_s.{c}").alias(f"_{c}") for c in ("blocks", "granted", "weight")
     )).withColumn("_period", F.lit(period))
+    times = one.select(F.col("_s.key").alias("_key"), F.posexplode("_s.slots").alias("_at", "_slot"))
+    return plan, F.broadcast(times) if period <= BROADCAST_SLOTS else times
 
 
 def mixed(
     docs: DataFrame, weights: dict[str | None, float] | None = None, smoothing: float = 0.8,
-    period: int = 1000, block_chars: int = 1 << 16,
+    period: int | None = None, block_chars: int = 1 << 16,
 ) -> DataFrame:
     """``docs`` (``doc_id``, ``text``, ``source``, others) mixed to target weights.
 
@@ -107,7 +143,10 @@ def mixed(
     Documents of a source come in the order of a seeded hash of id and text; repeated
     rows stay together.  An empty table gives an empty table.  Input columns named like
     an added one are replaced; names that start with ``_`` are reserved.  One row per
-    source goes through the driver, as the weights do.
+    source goes through the driver, as the weights do, and a number per slot: without
+    ``period`` that is one for every ``block_chars`` characters of the mix, which is never
+    two blocks or more from the targets.  A given ``period`` is repeated, and its rounding
+    with it.
     """
     spark = docs.sparkSession
     added = ("epoch", "block", "slot", "place")
@@ -126,7 +165,9 @@ def mixed(
         if missing:
             raise ValueError(f"no weight for {[k[1:] if k != NULL_SOURCE else None for k in missing]}")
         shares = {k: named[k] for k in totals}
-    plan = _plan(spark, totals, whole_weights(shares, period), block_chars)
+    blocks = {k: max(1, ceil(n / block_chars)) for k, n in totals.items()}
+    fitted = fitted_weights(shares, blocks) if period is None else whole_weights(shares, period)
+    plan, times = _plan(spark, blocks, fitted)
 
     # Prefix sums in two steps: over the documents of a bucket, at most some hundreds, and
     # over the buckets of a source.  Buckets are ranges of the hash.
@@ -140,14 +181,15 @@ def mixed(
     placed = (
         rows.join(before, bucket)
         .withColumn("place", F.col("_before") + F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-        .join(F.broadcast(plan), "_key")  # a row per source and a number per slot of the period
+        .join(F.broadcast(plan), "_key")  # a row per source
     )
     block = F.least(F.floor(F.col("place") / block_chars), F.col("_blocks") - 1)
     turns = F.ceil((F.col("_granted") - F.col("_block")) / F.col("_blocks"))
     turn = F.col("_epoch") * F.col("_blocks") + F.col("_block")
     out = placed.withColumn("_block", block).withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), turns - 1)))
-    slot = F.floor(turn / F.col("_weight")) * F.col("_period") + F.get("_slots", (turn % F.col("_weight")).cast("int"))
-    return out.select(
+    out = out.withColumn("_turn", turn).withColumn("_at", (F.col("_turn") % F.col("_weight")).cast("int"))
+    slot = F.floor(F.col("_turn") / F.col("_weight")) * F.col("_period") + F.col("_slot")
+    return out.join(times, ["_key", "_at"]).select(
         *own, F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), slot.alias("slot"), "place"
     )
 

@@ -34,6 +34,34 @@ def test_whole_weights():
         mixing.whole_weights({"a": 0}, 10)
 
 
+def test_small_sources_get_their_share_alone():
+    assert mixing.whole_weights({"a": 0.999, "b": 0.001}, 1000) == {"a": 999, "b": 1}
+    many = mixing.whole_weights({"hot": 2500.0} | {f"s{i}": 1.0 for i in range(5000)}, 1000)
+    assert sum(many.values()) == 50_010 and many["hot"] == 16_670
+
+
+@pytest.mark.parametrize("shares, blocks", [
+    ({"a": 0.999, "b": 0.001}, {"a": 3000, "b": 2}), ({"a": 1.0, "b": 2.0**0.5, "c": 1e-7}, {"a": 70, "b": 900, "c": 1}),
+    ({"hot": 2500.0} | {f"s{i}": 1.0 for i in range(5000)}, {"hot": 4000} | {f"s{i}": 1 for i in range(5000)}),
+    ({"a": 5.0}, {"a": 3}),
+])
+def test_whole_mix_keeps_to_the_targets(shares, blocks):
+    weights, total = mixing.fitted_weights(shares, blocks), sum(shares.values())
+    period = sum(weights.values())
+    assert all(weights[k] >= blocks[k] and abs(weights[k] - shares[k] / total * period) < 1 for k in shares)
+    for k, own in mixing.pfair_slots(weights).items():
+        for j, t in enumerate(own):  # before and after each block of the source
+            assert abs(j - shares[k] / total * t) < 2 and abs(j + 1 - shares[k] / total * (t + 1)) < 2
+
+
+def test_mix_query_keeps_to_the_targets(spark):
+    rows = [(i, "x" * 100, "a") for i in range(1999)] + [(5000 + i, "x" * 100, "b") for i in range(2)]
+    got = mixing.mixed(documents(spark, rows), {"a": 0.999, "b": 0.001}, block_chars=100).collect()
+    assert {r.doc_id for r in got} == {i for i, *_ in rows}
+    for t in range(1 + max(r.slot for r in got)):
+        assert abs(sum(r.slot <= t and r.source == "b" for r in got if r.source == "b") - 0.001 * (t + 1)) < 2
+
+
 def texts(n=400, seed=1):
     r = random.Random(seed)
     rows = [(i, "x" * r.randrange(300), r.choice(["a", "a", "a", "b", None])) for i in range(n)]
