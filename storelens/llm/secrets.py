@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -99,15 +100,28 @@ def score(run: str, table: np.ndarray) -> float:
     return float(table[codes[:-1], codes[1:]].sum())
 
 
+def uncovered(start: int, end: int, base: Iterable[Span]) -> Iterator[tuple[int, int]]:
+    """What the base spans, by start, leave of a run."""
+    for a, _, b in base:
+        if a >= end:
+            break
+        if start < a:
+            yield start, a
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
 def markov_spans(text: str, base: list[Span], table: np.ndarray, min_length: int, min_ratio: float) -> list[Span]:
-    """Runs of at least ``min_length`` alphabet characters that touch no base span and whose
-    ratio is ``min_ratio`` or more."""
-    out = []
+    """Runs of at least ``min_length`` alphabet characters, or what the base spans leave of
+    them if it is as long, whose ratio is ``min_ratio`` or more."""
+    out, first = [], 0
     for m in re.finditer(r"[A-Za-z0-9+/_.=-]{%d,}" % min_length, text):
-        if any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        if score(m.group(), table) >= min_ratio:
-            out.append((m.start(), "markov", m.end()))
+        while first < len(base) and base[first][2] <= m.start():
+            first += 1
+        for a, b in uncovered(m.start(), m.end(), islice(base, first, None)):
+            if b - a >= min_length and score(text[a:b], table) >= min_ratio:
+                out.append((a, "markov", b))
     return out
 
 

@@ -70,6 +70,25 @@ def test_markov_spans_keep_off_base_spans():
     assert secrets.markov_spans(text, base, table, 16, 0.5) == [(25, "markov", 43)]
 
 
+def test_second_secret_in_a_run():
+    """What a base span leaves of a run is scored, before and behind it."""
+    table = secrets.ratio_table(*[c.reshape(secrets.STATES, -1) for c in (secrets.transitions("zQ9 " * 99), secrets.transitions("aa " * 99))])
+    random, digits = "zQ9" * 8, "0123456789abcdef" * 2
+    for text, want in [
+        (f"/services/{digits}/{random}", [(42, "markov", 67)]), (f"{random}_token=abcdefgh", [(0, "markov", 25)]),
+        (f"{digits}.{random}.{random}", [(32, "markov", 82)]),
+        (f"{random}/{digits}/{random}/{digits}", [(0, "markov", 25), (57, "markov", 83)]),
+        (f"zQ9zQ9.{digits} {random}", [(40, "markov", 64)]), (f"{digits}", []),
+        (f"token={digits} {random}", [(39, "markov", 63)]),
+    ]:
+        base = secrets.base_spans(text)
+        assert base and secrets.markov_spans(text, base, table, 16, 0.5) == want
+    docs = [f"{random} token=abcdefgh {digits}.{random} "] * 3
+    for text in docs:
+        spans = secrets.markov_spans(text, secrets.base_spans(text), table, 16, 0.5)
+        assert [text[a:b] for a, _, b in spans] == [random, f".{random}"]
+
+
 def test_query_on_table(spark, sf_dir):
     got = {r.doc_id: r for r in secrets.op10_secret_scan(spark, sf_dir).collect()}
     for i, text in table_rows(sf_dir, "documents", "doc_id, text"):
