@@ -39,9 +39,13 @@ def validity(entries: DataFrame) -> DataFrame:
     next one of its pattern, the last for ever (``valid_to`` null).  Of several entries of
     a pattern on a day the last in the order block, allow, lift counts.  Entries with a
     null, an unknown kind or an unknown action are left out; neighbouring entries of the
-    same action are one interval.
+    same action are one interval.  Patterns are written as captures are: kind and host in
+    lower case, no last dot of the host and no last slash.
     """
     key = ["kind", "pattern"]
+    name = F.rtrim(F.lower(F.regexp_extract("pattern", r"^([^/]*)", 1)), F.lit("."))
+    rest = F.rtrim(F.regexp_extract("pattern", r"^[^/]*(.*)$", 1), F.lit("/"))
+    entries = entries.withColumns({"kind": F.lower("kind"), "pattern": F.when(F.col("pattern").isNotNull(), F.concat(name, rest))})
     order = F.array_position(F.array(*map(F.lit, ACTIONS)), F.col("action"))
     fit = entries.filter(
         F.col("kind").isin("domain", "host", "prefix") & F.col("action").isin(*ACTIONS)

@@ -154,3 +154,13 @@ def test_query_agrees_with_sql(spark, sf_dir, name):
     from check import compare, connect
 
     assert compare(spark, connect(sf_dir), sf_dir, name) == ""
+
+
+def test_patterns_are_written_as_captures_are(spark):
+    listed = [("Domain", "Ads.Example.com"), ("domain", "last.org."), ("prefix", "Host.net./Path/"), ("host", None)]
+    entries = spark.createDataFrame([(k, p, "block", DAY) for k, p in listed], ENTRY)
+    urls = ["http://x.ADS.example.com/", "http://last.org/a", "http://host.net/Path/b", "http://host.net/path/b"]
+    rows = [(i, u, dt.datetime(2024, 2, 1), None) for i, u in enumerate(urls)]
+    got = urlfilter.judge_captures(spark.createDataFrame(rows, CAPTURE), entries).collect()
+    assert {r.page_id: (r.verdict, r.pattern) for r in got} == {
+        0: ("block", "ads.example.com"), 1: ("block", "last.org"), 2: ("block", "host.net/Path"), 3: ("pass", None)}
