@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import (
-    linededup, mixing, packing, preference, quality, secrets, simhash, topk, urlfilter, warc,
+    interaction, linededup, mixing, packing, preference, quality, secrets, simhash, topk, urlfilter, warc,
 )
 
 
@@ -29,4 +29,5 @@ ENTRIES: dict[str, Entry] = {
     "op8_chat_preferences": Entry(preference.op8_chat_preferences),
     "op9_warc": Entry(warc.op9_warc),
     "op10_secret_scan": Entry(secrets.op10_secret_scan),
+    "op13_filter_audit": Entry(interaction.op13_filter_audit, interaction.OP13_SQL),
 }
