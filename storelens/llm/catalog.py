@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import (
-    interaction, linededup, mixing, packing, preference, quality, secrets, simhash, topk, urlfilter, warc,
+    interaction, linededup, merkle, mixing, packing, preference, quality, secrets, simhash, topk, urlfilter,
+    vptree, warc,
 )
 
 
@@ -29,5 +30,7 @@ ENTRIES: dict[str, Entry] = {
     "op8_chat_preferences": Entry(preference.op8_chat_preferences),
     "op9_warc": Entry(warc.op9_warc),
     "op10_secret_scan": Entry(secrets.op10_secret_scan),
+    "op11_merkle_manifest": Entry(merkle.op11_merkle_manifest, merkle.OP11_SQL),
+    "op12_vp_nearest": Entry(vptree.op12_vp_nearest),
     "op13_filter_audit": Entry(interaction.op13_filter_audit, interaction.OP13_SQL),
 }
