@@ -1,14 +1,19 @@
 """Exact nearest descriptions by cosine similarity.
 
-Questions and descriptions are dealt into blocks of a bounded number of rows, and every
-block of questions meets every block of descriptions as a row of an equi-join.  A task
-multiplies the two and passes on the best rows per question only, so pairs of question
-and description never become rows, and no vector goes through the driver.
+Vectors are packed into blocks of a bounded number of rows, and blocks of questions meet
+blocks of descriptions in a grid of tiles.  The grid is sized from both tables: as few
+columns as memory allows, since a block of descriptions moves once per column, and as
+many rows as there is work for.  A task keeps the best rows per question of its tile, so
+pairs never become rows, and no vector goes through the driver or a broadcast.
+
+The rows of a block are gathered around centres.  By the triangle inequality no row of a
+group scores above the centre's own score plus the group's radius, so a group is passed
+over, without any loss, by the questions that have enough better rows already.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,100 +26,160 @@ from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 # Fixed value: description rows looked at per table asked for.
 MULTIPLIER = 10
 BLOCK_ROWS = 4096
+GROUP_ROWS = 64
+TILE_BYTES = 32 << 20
 DIGITS = 6
 STEP = 256
+FOUND = "question_id long, row_id long, table_name string, score double"
 
 
-def _cells(df: DataFrame, rows: int) -> Column:
-    """How many blocks of about ``rows`` rows, as a subquery."""
-    return df.agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1))).scalar()
+def _parts(df: DataFrame, total: Column, size: int) -> Column:
+    """How many parts of about ``size``, as a subquery."""
+    return df.agg(F.greatest(F.ceil(total / size), F.lit(1))).scalar()
 
 
-def _blocks(df: DataFrame, key: str, cell: str, rows: int) -> DataFrame:
-    """(cell, ids, tables, matrix): the vectors of a cell, scaled to length one."""
+def _blocks(df: DataFrame, key: str, rows: int, group_rows: int) -> DataFrame:
+    """(cell, ids, tables, matrix, centres, radii, starts): the vectors of a block, scaled
+    to length one, those around one centre side by side."""
+
+    def gathered(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The group of each row and the centres; some rounds of means from spread-out rows."""
+        many = -(-len(matrix) // group_rows)
+        centres = matrix[np.linspace(0, len(matrix) - 1, many).astype(int)]
+        for _ in range(4):
+            of = np.argmin((centres**2).sum(axis=1) - 2 * matrix @ centres.T, axis=1)
+            counts = np.bincount(of, minlength=len(centres))
+            sums = np.zeros_like(centres)
+            np.add.at(sums, of, matrix)
+            centres, of = sums[counts > 0] / counts[counts > 0, None], (np.cumsum(counts > 0) - 1)[of]
+        return of, centres
 
     def pack(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(key, kind="stable")
         matrix = np.stack([np.asarray(v, dtype="<f8") for v in block["vector"]])
         norms = np.linalg.norm(matrix, axis=1, keepdims=True)
         matrix = matrix / np.where(norms == 0, 1.0, norms)
-        ids = block[key].to_numpy(dtype="<i8")
+        of, centres = gathered(matrix)
+        order = np.argsort(of, kind="stable")
+        radii = np.zeros(len(centres))
+        np.maximum.at(radii, of, np.linalg.norm(matrix - centres[of], axis=1))
         return pd.DataFrame({
-            cell: [block[cell].iloc[0]], "ids": [ids.tobytes()], "tables": [block["table_name"].tolist()],
-            "matrix": [matrix.tobytes()],
+            "cell": [block["cell"].iloc[0]], "ids": [block[key].to_numpy(dtype="<i8")[order].tobytes()],
+            "tables": [block["table_name"].to_numpy()[order].tolist()], "matrix": [matrix[order].tobytes()],
+            "centres": [centres.tobytes()], "radii": [radii.tobytes()],
+            "starts": [np.r_[0, np.cumsum(np.bincount(of))].astype("<i8").tobytes()],
         })
 
-    dealt = df.withColumn(cell, F.pmod(F.xxhash64(key), _cells(df, rows)))
-    schema = f"{cell} long, ids binary, tables array<string>, matrix binary"
-    return dealt.groupBy(cell).applyInPandas(pack, schema)
+    schema = "cell long, ids binary, tables array<string>, matrix binary, centres binary, radii binary, starts binary"
+    cells = _parts(df, F.count("*"), rows)
+    return df.withColumn("cell", F.pmod(F.xxhash64(key), cells)).groupBy("cell").applyInPandas(pack, schema)
+
+
+def tiles(asked: DataFrame, rows: DataFrame, tile_bytes: int = TILE_BYTES) -> tuple[Column, Column]:
+    """Rows and columns of the grid for two tables with a ``vector``, as subqueries."""
+    size = 8 * F.sum(F.size("vector").cast("long"))
+    tasks = asked.sparkSession.sparkContext.defaultParallelism
+    columns = _parts(asked, F.coalesce(size, F.lit(0)), tile_bytes)
+    return F.greatest(_parts(rows, F.coalesce(size, F.lit(0)), tile_bytes), F.ceil(F.lit(tasks) / columns)), columns
+
+
+def dealt(blocks: DataFrame, own: str, n: Column, other: str, m: Column) -> DataFrame:
+    """Every block once for each tile of its row (or column) of the grid."""
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), m.cast("long") - 1))
+    return blocks.withColumn(own, F.pmod("cell", n.cast("long"))).withColumn(other, everywhere)
 
 
-def _nearest(k: int, digits: int):
-    """A ``mapInPandas`` function over pairs of blocks: the best ``k`` rows per question.
+def _nearest(k: int):
+    """The best ``k`` rows per question of a tile.
 
     As inner functions they are sent to the tasks by value, so workers need no copy of
     this package.
     """
-
-    def _best(score: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
-        at = np.arange(len(score))
-        if len(score) > k:
-            at = np.flatnonzero(score >= np.partition(score, -k)[-k])
-        return at[np.lexsort((rows[at], -score[at]))[:k]]
-
     step = STEP
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for pair in batch.itertuples(index=False):
-                asked, rows = np.frombuffer(pair.q_ids, dtype="<i8"), np.frombuffer(pair.ids, dtype="<i8")
-                tables = np.asarray(pair.tables, dtype=object)
-                vectors = np.frombuffer(pair.matrix, dtype="<f8").reshape(len(rows), -1).T
-                questions = np.frombuffer(pair.q_matrix, dtype="<f8").reshape(len(asked), -1)
-                for first in range(0, len(asked), step):
-                    scores = np.round(questions[first : first + step] @ vectors, digits)
-                    best = [_best(score, rows, k) for score in scores]
-                    at = np.concatenate(best)
-                    counts = [len(b) for b in best]
-                    yield pd.DataFrame({
-                        "question_id": np.repeat(asked[first : first + step], counts), "row_id": rows[at],
-                        "table_name": tables[at],
-                        "score": scores[np.repeat(np.arange(len(best)), counts), at],
-                    })
+    def meet(best: dict, asked: np.ndarray, at: np.ndarray, ids: np.ndarray, names: np.ndarray, rows: np.ndarray) -> None:
+        """Let the questions ``at`` see some rows; of equal scores the lower id stays."""
+        rough = asked[at] @ rows.T
+        slack = 1e-9  # rough products differ from exact ones in the last digits
+        least = best["score"][at, -1]
+        if len(ids) > k:
+            least = np.maximum(least, np.partition(rough, -k, axis=1)[:, -k])
+        q, r = np.nonzero(rough >= (least - slack)[:, None])
+        # summed from the first component to the last, so that equal vectors tie
+        score = np.cumsum(asked[at[q]] * rows[r], axis=1)[:, -1] if len(q) else np.zeros(0)
+        touched = np.unique(q)
+        new = {"score": score, "id": ids[r], "name": names[r]}
+        both = {c: np.concatenate([best[c][at[touched]].ravel(), new[c]]) for c in new}
+        of = np.concatenate([np.repeat(touched, k), q])
+        order = np.lexsort((both["id"], -both["score"], of))
+        of = of[order]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]][: len(of)])
+        place = np.arange(len(of)) - np.repeat(first, np.diff(np.r_[first, len(of)]))
+        stays = place < k
+        for c in new:
+            best[c][at[of[stays]], place[stays]] = both[c][order][stays]
+
+    def run(asked_blocks: pd.DataFrame, row_blocks: pd.DataFrame) -> pd.DataFrame:
+        shape = lambda cells, n: np.frombuffer(cells, dtype="<f8").reshape(n, -1)
+        out = {"question_id": [np.zeros(0, dtype="<i8")], "row_id": [np.zeros(0, dtype="<i8")],
+               "table_name": [np.zeros(0, dtype=object)], "score": [np.zeros(0)]}
+        blocks = []
+        for b in row_blocks.sort_values("cell").itertuples(index=False):
+            ids, radii = np.frombuffer(b.ids, dtype="<i8"), np.frombuffer(b.radii, dtype="<f8")
+            blocks.append((ids, np.asarray(b.tables, dtype=object), shape(b.matrix, len(ids)), shape(b.centres, len(radii)),
+                           radii, np.frombuffer(b.starts, dtype="<i8")))
+        for a in asked_blocks.itertuples(index=False):
+            all_ids = np.frombuffer(a.ids, dtype="<i8")
+            everyone = shape(a.matrix, len(all_ids))
+            for begin in range(0, len(all_ids), step):
+                asked, q_ids = everyone[begin : begin + step], all_ids[begin : begin + step]
+                n = len(asked)
+                best = {"score": np.full((n, k), -np.inf), "id": np.full((n, k), np.iinfo(np.int64).max),
+                        "name": np.full((n, k), None, dtype=object)}
+                for ids, names, rows, centres, radii, starts in blocks:
+                    most = asked @ centres.T + radii + 1e-9
+                    for g in np.argsort(-most.max(axis=0), kind="stable"):
+                        at = np.flatnonzero(most[:, g] >= best["score"][:, -1])
+                        if len(at):
+                            span = slice(starts[g], starts[g + 1])
+                            meet(best, asked, at, ids[span], names[span], rows[span])
+                q, place = np.nonzero(best["score"] > -np.inf)
+                out["question_id"].append(q_ids[q])
+                for column, kept in (("row_id", "id"), ("table_name", "name"), ("score", "score")):
+                    out[column].append(best[kept][q, place])
+        whole = {column: np.concatenate(parts) for column, parts in out.items()}
+        return pd.DataFrame(whole | {"table_name": pd.Series(whole["table_name"], dtype=object)})
 
     return run
 
 
 def semantic_rows(
     questions: DataFrame, descriptions: DataFrame, limit: int = DEFAULT_LIMIT, multiplier: int = MULTIPLIER,
-    digits: int = DIGITS, block_rows: int = BLOCK_ROWS,
+    digits: int = DIGITS, block_rows: int = BLOCK_ROWS, tile_bytes: int = TILE_BYTES,
 ) -> DataFrame:
     """The best ``limit * multiplier`` description rows per question.
 
     questions: question_id bigint, vector; descriptions: row_id bigint, table_name,
-    vector.  Scores are compared at ``digits`` digits, so that equal vectors tie
-    whatever the order in which their products are summed; ties go to the lower row_id.
+    vector; rows without a vector take no part.  Rows are ranked by the whole score, summed
+    in one order, so that equal vectors tie; ties go to the lower row_id.  The score shown
+    is rounded to ``digits`` digits.
     """
     k = checked_limit(limit) * multiplier
-    asked = questions.select(
+    asked = questions.filter("vector IS NOT NULL").select(
         F.col("question_id").cast("long"), F.lit(None).cast("string").alias("table_name"), "vector"
     )
-    rows = descriptions.select(F.col("row_id").cast("long"), F.col("table_name").cast("string"), "vector")
-    asked_blocks = (
-        _blocks(asked, "question_id", "q_cell", block_rows)
-        .select("q_cell", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
-        .withColumn("_cells", _cells(rows, block_rows))
-        .withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cells") - 1)))
-    )
-    row_blocks = (
-        _blocks(rows, "row_id", "cell", block_rows)
-        .withColumn("_cells", _cells(asked, block_rows))
-        .withColumn("q_cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cells") - 1)))
-    )
-    pairs = asked_blocks.drop("_cells").join(row_blocks.drop("_cells"), ["q_cell", "cell"])
-    found = pairs.select("q_ids", "q_matrix", "ids", "tables", "matrix").mapInPandas(
-        _nearest(k, digits), "question_id long, row_id long, table_name string, score double"
+    rows = descriptions.filter("vector IS NOT NULL").select(
+        F.col("row_id").cast("long"), F.col("table_name").cast("string"), "vector"
     )
-    return top_n_per_group(found, ["question_id"], [F.desc("score"), F.col("row_id")], k, "row_rank")
+    tall, wide = tiles(asked, rows, tile_bytes)
+    asked_blocks = _blocks(asked, "question_id", block_rows, block_rows).select("cell", "ids", "matrix")
+    row_blocks = _blocks(rows, "row_id", block_rows, GROUP_ROWS)
+    tile = ["row", "column"]
+    found = dealt(asked_blocks, "column", wide, "row", tall).groupBy(*tile).cogroup(
+        dealt(row_blocks, "row", tall, "column", wide).groupBy(*tile)
+    ).applyInPandas(_nearest(k), FOUND)
+    best = top_n_per_group(found, ["question_id"], [F.desc("score"), F.col("row_id")], k, "row_rank")
+    return best.withColumn("score", F.round("score", digits))
 
 
 def semantic_tables(

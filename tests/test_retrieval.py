@@ -125,21 +125,59 @@ def test_limit_below_one_is_the_default():
     assert checked_limit(2) == 2
 
 
-@pytest.mark.parametrize("block_rows", [4096, 7])
-def test_nearest_rows_equal_brute_force(spark, block_rows):
+def vectors_of(spark, cells, key, tables=None):
+    rows = [(i, tables and f"t{i % tables}", v and [float(x) for x in v]) for i, v in enumerate(cells)]
+    return spark.createDataFrame(rows, f"{key} long, table_name string, vector array<double>")
+
+
+@pytest.mark.parametrize("block_rows,tile_bytes", [(4096, 1 << 25), (7, 200)])
+def test_nearest_rows_equal_brute_force(spark, block_rows, tile_bytes):
     rng = np.random.default_rng(3)
     vectors = rng.normal(size=(300, 8))
     vectors[50:70] = vectors[10]  # ties
-    asked = rng.normal(size=(30, 8))
-    rows = spark.createDataFrame([(i, f"t{i % 7}", v.tolist()) for i, v in enumerate(vectors)], "row_id long, table_name string, vector array<double>")
-    questions = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "question_id long, vector array<double>")
+    vectors[80] = 0.0
+    vectors[90:95] = vectors[10] + rng.normal(size=(5, 8)) * 1e-8  # equal but for the seventh digit
+    asked = np.vstack([rng.normal(size=(30, 8)), vectors[10:11], np.zeros((1, 8))])
+    rows = vectors_of(spark, [*vectors.tolist(), None], "row_id", 7)
+    questions = vectors_of(spark, [*asked.tolist(), None], "question_id").drop("table_name")
     got = {}
-    for r in semantic.semantic_rows(questions, rows.repartition(5), limit=2, block_rows=block_rows).orderBy("question_id", "row_rank").collect():
+    found = semantic.semantic_rows(questions, rows.repartition(5), limit=3, block_rows=block_rows, tile_bytes=tile_bytes)
+    for r in found.orderBy("question_id", "row_rank").collect():
+        assert r.score == pytest.approx(round(r.score, 6)) and r.table_name == f"t{r.row_id % 7}"
         got.setdefault(r.question_id, []).append(r.row_id)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    for i, v in enumerate(asked):
-        score = np.round(unit @ (v / np.linalg.norm(v)), 6)
-        assert got[i] == sorted(range(300), key=lambda d: (-score[d], d))[:20]
+
+    def unit(v):
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        return v / np.where(n == 0, 1.0, n)
+
+    score = np.cumsum(unit(asked)[:, None, :] * unit(vectors)[None, :, :], axis=2)[:, :, -1]
+    for i in range(len(asked)):
+        assert got[i] == sorted(range(300), key=lambda d: (-score[i, d], d))[:30]
+    assert set(got) == set(range(len(asked)))
+
+
+def test_blocks_move_a_bounded_number_of_times(spark):
+    """A block of descriptions is copied once per column of the grid, whatever the number of
+    question blocks, and the grid has few columns while the questions fit in a tile."""
+    rows = spark.range(4000).select(F.col("id").alias("row_id"), F.lit("t").alias("table_name"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    asked = rows.limit(1000).withColumnRenamed("row_id", "question_id")
+    for tile_bytes, columns in ((1 << 20, 1), (8000, 2)):
+        tall, wide = semantic.tiles(asked, rows, tile_bytes)
+        grid = spark.range(1).select(tall.alias("tall"), wide.alias("wide")).first()
+        assert grid.wide == columns and grid.tall >= max(64000 // tile_bytes, 1)
+        blocks = semantic._blocks(rows, "row_id", 100, 10).select("cell")
+        assert semantic.dealt(blocks, "row", tall, "column", wide).count() == blocks.count() * columns <= 40 * columns
+
+
+def test_groups_are_passed_over(spark, monkeypatch):
+    """Rows far from a question are never multiplied with it."""
+    rng = np.random.default_rng(0)
+    centres = np.eye(12)
+    cells = centres[np.arange(2400) % 12] + rng.normal(size=(2400, 12)) * 0.02
+    blocks = semantic._blocks(vectors_of(spark, cells.tolist(), "row_id", 3), "row_id", 4096, 64).collect()
+    radii = np.frombuffer(blocks[0].radii)
+    near = np.frombuffer(blocks[0].centres).reshape(len(radii), 12) @ cells[0] / np.linalg.norm(cells[0])
+    assert len(blocks) == 1 and (near + radii < 0.5).mean() > 0.8  # the best 20 all score above 0.99
 
 
 def test_no_vector_is_broadcast_or_collected(spark):
