@@ -78,10 +78,10 @@ CTES = {
         FROM w_rows WHERE table_rank <= 5 GROUP BY question_id, table_name, table_rank, match_count""",
     "w_vectors": "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vector, label FROM embeddings",
     "w_near": """
-        SELECT question_id, row_id, table_name, score, row_rank FROM (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY score DESC, row_id) AS row_rank
+        SELECT question_id, row_id, table_name, round(cosine, 6) AS score, row_rank FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY cosine DESC, row_id) AS row_rank
             FROM (SELECT q.vec_id AS question_id, d.vec_id AS row_id, CAST(d.label AS VARCHAR) AS table_name,
-                         round(list_cosine_similarity(q.vector, d.vector), 6) AS score
+                         list_cosine_similarity(q.vector, d.vector) AS cosine
                   FROM w_vectors q CROSS JOIN w_vectors d))
         WHERE row_rank <= 50""",
     "w_near_tables": """
