@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm.components import components
@@ -98,22 +98,32 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SAMPLES = 10
 SAMPLED = 3
-PART = 12
+PARITY_WORDS = 16
 SAMPLE_TEXTS = 4000
 COMMON = 1 << 17
 BROADCAST_SHINGLES = 1 << 20
+BROADCAST_IDS = 1 << 20
 _RANDOM = np.random.default_rng(SEED)
 MULTIPLIERS = _RANDOM.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SKETCH = "node binary, n int, fp long, samples array<long>"
+SKETCH = "node binary, n int, fp long, samples array<long>, parity array<long>, shingles array<long>"
 
 
 def words_hash(text: str) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()))
 
 
-def sketch(text: str, size: int) -> tuple[bytes, int, int, list[int]]:
+def parity(own: np.ndarray) -> np.ndarray:
+    """A bit table in which every member of a set turns one bit over.  Two tables differ in
+    no more bits than their sets have members that are in one alone."""
+    at = (own >> np.uint64(54)).astype(np.int64) % (64 * PARITY_WORDS)
+    odd = (np.bincount(at, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8")
+
+
+def sketch(text: str, size: int) -> tuple[bytes, int, int, list[int], list[int], np.ndarray]:
     """What a text is compared by: a 128-bit hash of its words, its number of different
-    shingles, its fingerprint, and the fingerprints of SAMPLES small samples.
+    shingles, its fingerprint, the fingerprints of SAMPLES small samples, the parities of
+    its shingles, and the shingles themselves, sorted.
 
     A sample holds the SAMPLED shingles that come first in one pseudo-random order of all
     shingles, so texts of similarity s draw the same sample with a chance of about s^3,
@@ -129,37 +139,29 @@ def sketch(text: str, size: int) -> tuple[bytes, int, int, list[int]]:
         first = own[np.argpartition(order, k - 1)[:k]]
         drawn.append(majority(first))
     signed = np.array([majority(hashes), *drawn], dtype=np.uint64).astype(np.int64).tolist()
-    return words_hash(text), len(own), signed[0], signed[1:]
+    return words_hash(text), len(own), signed[0], signed[1:], parity(own).tolist(), own.astype(np.int64)
 
 
 def _sketches(size: int):
     @F.pandas_udf(SKETCH)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        columns = ["node", "n", "fp", "samples", "parity", "shingles"]
         for texts in batches:
-            yield pd.DataFrame([sketch(t, size) for t in texts], columns=["node", "n", "fp", "samples"])
+            yield pd.DataFrame([sketch(t, size) for t in texts], columns=columns)
 
     return run
 
 
-def _shingle_set(size: int):
-    @F.pandas_udf("array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([np.unique(shingle_hashes(t, size)).astype(np.int64) for t in texts])
-
-    return run
-
-
-def _common_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _common_shingles(slim: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The shingles met most often in a sample of the texts, sorted, and how often.
 
     They only order the shingles of a set, so what the sample misses costs time alone.
     """
-    share = min(1.0, SAMPLE_TEXTS / max(docs.count(), 1))
-    drawn = docs.select(whole("text").alias("_text")).distinct().filter(
-        F.pmod(F.xxhash64(F.lit(SEED), "_text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    )
-    met = drawn.select(F.explode(_shingle_set(size)("_text")).alias("x")).groupBy("x").count().filter("count > 1")
+    share = min(1.0, SAMPLE_TEXTS / max(slim.count(), 1))
+    drawn = slim.select("node", "shingles").filter(
+        F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+    ).dropDuplicates(["node"])
+    met = drawn.select(F.explode("shingles").alias("x")).groupBy("x").count().filter("count > 1")
     most = met.orderBy(F.desc("count"), "x").limit(COMMON).collect()  # at most COMMON rows
     found = np.array([r["x"] for r in most], dtype=np.int64).astype(np.uint64)
     order = np.argsort(found)
@@ -185,92 +187,99 @@ def prefix(own: np.ndarray, common: np.ndarray, often: np.ndarray, similarity: f
     return own[np.argsort(weight, kind="stable")][: max(len(own) - least + 1, 0)]
 
 
-def _prefixes(size: int, common: np.ndarray, often: np.ndarray, similarity: float):
-    @F.pandas_udf("node binary, n int, p array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            own = [np.unique(shingle_hashes(t, size)) for t in texts]
-            yield pd.DataFrame({
-                "node": [words_hash(t) for t in texts], "n": [len(o) for o in own],
-                "p": [prefix(o, common, often, similarity).astype(np.int64) for o in own],
-            })
+def _prefixes(common: np.ndarray, often: np.ndarray, similarity: float):
+    @F.pandas_udf("array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for sets in batches:
+            yield pd.Series([
+                prefix(np.asarray(own, dtype=np.int64).astype(np.uint64), common, often, similarity).astype(np.int64)
+                for own in sets
+            ])
 
     return run
 
 
 def _pairs_across(sets: DataFrame, similarity: float, path: str) -> DataFrame:
-    """Pairs (``a``, ``b``) of nodes in different groups that can be similar: exact.
+    """Pairs (``a``, ``b``) of ids in different groups that can be similar: exact.
 
-    ``sets`` has ``node``, ``n`` (its number of shingles), ``root`` (its group) and ``p``
-    (its prefix).  Of two similar sets the first shared shingle has at least the needed
-    number behind it in both.  Shingles that one group alone holds, as in a large group of
-    near copies, meet nothing; those of several groups are written to ``path`` first, so
-    that all others are not shuffled with their nodes.
+    ``sets`` has ``id``, ``n`` (its number of shingles), ``root`` (its group) and ``p`` (its
+    prefix).  Of two similar sets the first shared shingle has at least the needed number
+    behind it in both.  Shingles that one group alone holds, as in a large group of near
+    copies, meet nothing; those of several groups are written to ``path`` first, so that
+    all others are not shuffled with their ids.
     """
-    group = F.xxhash64("root").alias("g")
-    held = sets.select(group, F.explode("p").alias("x")).groupBy("x").agg(F.min("g").alias("_1"), F.max("g").alias("_2"))
+    held = sets.select("root", F.explode("p").alias("x")).groupBy("x").agg(F.min("root").alias("_1"), F.max("root").alias("_2"))
     across = stored(held.filter("_1 <> _2").select("x"), path)
     if across.count() <= BROADCAST_SHINGLES:
         across = F.broadcast(across)
-    shared = sets.select("node", "n", "root", F.posexplode("p").alias("i", "x")).join(across, "x")
+    shared = sets.select("id", "n", "root", F.posexplode("p").alias("i", "x")).join(across, "x")
     # the smaller set of a pair needs at least 2 s / (1 + s) of its own shingles
     short = shared.filter(F.col("n") - F.col("i") >= 2 * similarity / (1 + similarity) * F.col("n") - 1e-6)
-    short = short.select("x", *(F.col(c).alias(f"_{c}") for c in ("node", "n", "root", "i")))
+    short = short.select("x", *(F.col(c).alias(f"_{c}") for c in ("id", "n", "root", "i")))
     least = similarity / (1 + similarity) * (F.col("n") + F.col("_n")) - 1e-6
     return shared.join(short, "x").filter(
-        (F.col("root") != F.col("_root")) & (F.struct("_n", "_node") < F.struct(F.col("n"), F.col("node")))
+        (F.col("root") != F.col("_root")) & (F.struct("_n", "_id") < F.struct(F.col("n"), F.col("id")))
         & (F.col("_n") >= similarity * F.col("n") - 1e-6)
         & (F.col("n") - F.col("i") >= least) & (F.col("_n") - F.col("_i") >= least)
-    ).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+    ).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
 
 
 def _candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``) of nodes: whole fingerprints within two bits, or an equal sample.
+    """Pairs (``a``, ``b``) of ids: whole fingerprints within two bits, or an equal sample.
 
     They gather large groups cheaply; what they miss is left to :func:`_pairs_across`.
-    The nodes of a bucket meet its centre and the others in their part of it; a bucket is
-    dealt by hash into parts of about PART nodes, so k copies make some PART / 2 * k pairs
-    and not all.  Centres and parts differ from band to band.
+    The members of a bucket meet its first one alone, the same in all bands where it can
+    be, so k copies make some k pairs.
     """
-    classes = nodes.groupBy("fp").agg(F.min("node").alias("a"))
+    classes = nodes.groupBy("fp").agg(F.min("id").alias("a"))
     near = links(classes, 2).join(classes.select(F.col("fp").alias("a"), F.col("a").alias("na")), "a").join(
         classes.select(F.col("fp").alias("b"), F.col("a").alias("nb")), "b"
     ).select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    same = nodes.join(classes, "fp").select("a", F.col("node").alias("b"))
-    drawn = nodes.select("node", F.posexplode("samples").alias("band", "sample"))
-    rank = F.xxhash64("band", "node")  # another order in each band, so other centres
-    key, part = ["band", "sample"], ["band", "sample", "part"]
-    centres = drawn.groupBy(*key).agg(F.min_by("node", rank).alias("a"), F.count("*").alias("k")).filter("k > 1")
-    inside = drawn.join(centres, key).withColumn("part", F.pmod(rank, F.ceil(F.col("k") / PART)))
-    sampled = inside.select("a", F.col("node").alias("b")).union(
-        inside.select(*part, F.col("node").alias("c")).join(inside.select(*part, "node"), part)
-        .filter("c < node").select(F.col("c").alias("a"), F.col("node").alias("b"))
-    )
+    same = nodes.select("fp", "id").join(classes, "fp").select("a", F.col("id").alias("b"))
+    drawn = nodes.select("id", F.posexplode("samples").alias("band", "sample"))
+    key = ["band", "sample"]
+    centres = drawn.groupBy(*key).agg(F.min("id").alias("a"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    sampled = drawn.join(centres, key).select("a", F.col("id").alias("b"))
     return near.union(same).union(sampled).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).filter("a < b").distinct()
 
 
-def _similar(
-    docs: DataFrame, pairs: DataFrame, counts: DataFrame, raw: dict[str, Column], size: int, similarity: float, path: str
-) -> DataFrame:
-    """Those of the ``pairs`` whose sets are similar enough, written to ``path``."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(counts, "node")
-    texts = (
-        docs.select(whole("text").alias("_text")).withColumns(dict(zip(raw, content_key(F.col("_text")))))
-        .join(wanted.select("node", "raw.*"), list(raw)).dropDuplicates(["node"])
+def _can_be(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Those of the ``pairs`` that numbers and parities of shingles allow; loses no similar
+    pair.  Two hundred bytes stand for a whole set, so few sets have to meet."""
+    facts = nodes.select("id", "n", "parity")
+    m, other = F.col("m"), F.col("other")
+    apart = sum(
+        (F.bit_count(F.col("parity")[j].bitwiseXOR(other[j])) for j in range(1, PARITY_WORDS)),
+        F.bit_count(F.col("parity")[0].bitwiseXOR(other[0])),
+    )
+    return (
+        pairs.join(facts.withColumnRenamed("id", "a"), "a")
+        .join(facts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("other")), "b")
+        .filter(F.least("n", m) >= similarity * F.greatest("n", m) - 1e-6)
+        .filter((1 + similarity) * apart <= (1 - similarity) * (F.col("n") + m) + 1e-6)
+        .select("a", "b")
     )
-    set_path = new_folder(spark, "shingle-sets")
-    sets = stored(texts.select("node", _shingle_set(size)("_text").alias("s")), set_path)
+
+
+def _similar(slim: DataFrame, pairs: DataFrame, similarity: float, path: str) -> DataFrame:
+    """Those of the ``pairs`` (a table) whose sets are similar enough, written to ``path``."""
+    spark = slim.sparkSession
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted_path, set_path = new_folder(spark, "wanted"), new_folder(spark, "shingle-sets")
+    wanted = stored(wanted, wanted_path)
+    few = wanted.count() <= BROADCAST_IDS  # then the sets of all others are not shuffled
+    sets = stored(slim.select("id", "shingles").join(F.broadcast(wanted) if few else wanted, "id"), set_path)
     shared = F.size(F.array_intersect("s", "t"))
     linked = stored(
-        pairs.join(sets.withColumnRenamed("node", "a"), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("s").alias("t")), "b")
+        # the ends that come up once meet first; then the groups' centres
+        pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
+        .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a")
         .filter(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"),
         path,
     )
-    drop(spark, set_path)
+    drop(spark, set_path, wanted_path)
     return linked
 
 
@@ -283,62 +292,50 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8)
     decides; of repeated rows one stays).  Texts without words form one group.
 
     Candidates come from :func:`hamming.links` and from equal samples; all pairs still in
-    different groups then meet by their rarest shingles, which misses none.  Each candidate
-    is checked by its shingle sets.  An empty table gives an empty table.  Names that start with
+    different groups then meet by their rarest shingles, which misses none.  Parities rule
+    most candidates out, and the rest are checked by their shingle sets.  An empty table gives an empty table.  Names that start with
     ``_`` are reserved.
     """
     spark = docs.sparkSession
     raw = dict(zip(["_c1", "_c2"], content_key(whole("text"))))
-    sketch_path, link_path = new_folder(spark, "sketches"), new_folder(spark, "copy-links")
-    slim = docs.withColumns(raw).withColumn("_s", _sketches(size)(whole("text")))
-    slim = stored(slim.select("doc_id", *raw, "_s.*"), sketch_path)
+    paths: list[str] = []
 
-    nodes = slim.groupBy("node").agg(
-        F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("samples").alias("samples"),
-        F.min(F.struct(*raw)).alias("raw"),
-    )
-    counts = nodes.select("node", "n", "raw")
-    pair_path = new_folder(spark, "copy-pairs")
-    # sets of very different sizes cannot be similar enough
-    fit = F.least("n", "m") >= similarity * F.greatest("n", "m")
-    pairs = stored(
-        _candidates(nodes)
-        .join(counts.select(F.col("node").alias("a"), "n"), "a")
-        .join(counts.select(F.col("node").alias("b"), F.col("n").alias("m")), "b")
-        .filter(fit).select("a", "b"),
-        pair_path,
-    )
-    linked = _similar(docs, pairs, counts, raw, size, similarity, link_path)
-    drop(spark, pair_path)
-    groups = components(linked)
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        paths.append(new_folder(spark, name))
+        return stored(df, paths[-1])
+
+    # Each text is split and hashed here alone; all that follows reads this table.
+    slim = docs.withColumns(raw).withColumns({"id": F.monotonically_increasing_id(), "_s": _sketches(size)(whole("text"))})
+    slim = kept(slim.select("doc_id", *raw, "id", "_s.*"), "sketches")
+    nodes = kept(slim.groupBy("node").agg(
+        F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "fp", "samples", "parity"))
+    ), "nodes")
+
+    pairs = kept(_can_be(_candidates(nodes), nodes, similarity), "copy-pairs")
+    groups = components(_similar(slim, pairs, similarity, new_folder(spark, "copy-links")))
+    groups = kept(groups.withColumnRenamed("node", "id"), "groups")
 
     # exact, for all pairs that are not in one group yet
-    prefix_path, across_path = new_folder(spark, "prefixes"), new_folder(spark, "across-pairs")
-    rare_first = _prefixes(size, *_common_shingles(docs, size), similarity)
-    prefixes = docs.select(rare_first(whole("text")).alias("_p")).select("_p.*").filter("n > 0")
-    sets = stored(
-        prefixes.dropDuplicates(["node"]).join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")),
-        prefix_path,
-    )
-    shared_path = new_folder(spark, "shared-shingles")
-    across = stored(_pairs_across(sets, similarity, shared_path), across_path)
-    drop(spark, prefix_path, shared_path)
-    more = _similar(docs, across, counts, raw, size, similarity, new_folder(spark, "more-links"))
+    rooted = nodes.select("id", "n").filter("n > 0").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rare_first = _prefixes(*_common_shingles(slim), similarity)
+    sets = kept(slim.select("id", rare_first("shingles").alias("p")).join(rooted, "id"), "prefixes")
+    met = kept(_pairs_across(sets, similarity, new_folder(spark, "shared-shingles")), "met-pairs")
+    across = kept(_can_be(met, nodes, similarity), "across-pairs")
+    more = _similar(slim, across, similarity, new_folder(spark, "more-links"))
     named = groups.withColumnRenamed("root", "_root")
-    ends = more.join(named.withColumnRenamed("node", "a"), "a", "left").select(
+    ends = more.join(named.withColumnRenamed("id", "a"), "a", "left").select(
         F.coalesce("_root", "a").alias("a"), "b"
-    ).join(named.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("_root", "b").alias("b"))
+    ).join(named.withColumnRenamed("id", "b"), "b", "left").select("a", F.coalesce("_root", "b").alias("b"))
     merged = components(ends).select(F.col("node").alias("_group"), F.col("root").alias("_merged"))
-    drop(spark, across_path)
+    roots = nodes.select("node", "id").join(groups, "id", "left").select("node", F.coalesce("root", "id").alias("_group"))
+    roots = kept(roots.join(merged, "_group", "left").select("node", F.coalesce("_merged", "_group").alias("root")), "roots")
 
-    rooted = slim.select("doc_id", "node", *raw).join(groups, "node", "left").withColumn(
-        "_group", F.coalesce("root", "node")
-    ).join(merged, "_group", "left").withColumn("root", F.coalesce("_merged", "_group")).drop("_group", "_merged")
+    rooted = slim.select("doc_id", "node", *raw).join(roots, "node")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     stays = rooted.groupBy("root").agg(F.min(order).alias("least"), F.count("*").alias("k")).filter("k > 1")
     # written, so that the join below meets it by a shuffle of its own and can split a
     # group that very many documents are in
-    stays = stored(stays, new_folder(spark, "survivors"))
+    stays = kept(stays, "survivors")
     goes_path = new_folder(spark, "copies")
     judged = rooted.join(stays, "root").select("doc_id", *raw, "node", "least")
     loses = ~(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))
@@ -350,10 +347,12 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8)
 
     out = docs.join(goes, raw_is(goes, "doc_id"), "left_anti")
     if repeats.isEmpty():
+        drop(spark, *paths)
         return out
     # rows repeated as a whole, which the anti-join cannot tell apart
     known = slim.join(repeats, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node")))
     known = stored(known.select("_id", "_node", *raw).distinct(), new_folder(spark, "repeated"))
+    drop(spark, *paths)
     once = out.join(known, raw_is(known, "_id"), "left_anti")
     twice = out.join(known, raw_is(known, "_id")).dropDuplicates(["_id", "_node"])
     return once.unionByName(twice.select(*docs.columns))
