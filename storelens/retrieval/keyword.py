@@ -1,10 +1,11 @@
 """Keyword match of many questions with many column descriptions.
 
 Questions with the same keywords share a signature and are matched once.  Keywords
-are looked up in the distinct tokens of the descriptions by equi-joins, which gives
-every description its set of keywords.  Descriptions of a table with the same set
-then count as one pattern, so questions meet patterns and not descriptions; rows are
-listed last, for the tables chosen, and never more than can be shown.
+are looked up in the distinct tokens of the descriptions by equi-joins, which gives an
+inverted index: for each keyword and table, a bitmap of the descriptions that have it.
+The descriptions that match a signature are the union of its keywords' bitmaps, so a
+question meets 32,768 descriptions at a time and no pair of the two is ever a row.  Rows
+are listed last, for the tables chosen, and never more than can be shown.
 
 Descriptions have: table_name, column_name (together a key), data_type,
 description, synonyms.
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from storelens.functions.keywords import MAX_KEYWORDS, with_keywords
+from storelens.operators.ranking import number_rows_per_group, top_n_per_group
 from storelens.retrieval import DEFAULT_LIMIT, checked_limit
 from storelens.session import durable
 
@@ -26,7 +28,7 @@ GRAM = 4
 # Rows listed per table asked for, and the score of a keyword match.
 ROWS_PER_TABLE = 15
 SCORE = 0.5
-PATTERN = ["table_name", "words"]
+NAME = ["table_name", "column_name"]
 
 
 def with_signatures(questions: DataFrame, text: str = "text", max_keywords: int = MAX_KEYWORDS) -> DataFrame:
@@ -56,7 +58,10 @@ def _grams(token: Column, size: int) -> Column:
 
 def _token_keywords(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     """(token, keyword) for every keyword that occurs inside a token: an
-    equi-join on the first four letters of the keyword, then an exact check."""
+    equi-join on the first four letters of the keyword, then an exact check.
+
+    Shorter keywords are the exception, and only pieces of the lengths asked for are made.
+    """
     length = F.length("keyword")
     long_words = words.filter(length >= GRAM).withColumn("gram", F.substring("keyword", 1, GRAM))
     found = (
@@ -66,7 +71,11 @@ def _token_keywords(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
         .select("token", "keyword")
     )
     short_words = words.filter((length > 0) & (length < GRAM))
-    pieces = F.concat(*[_grams(F.col("token"), size) for size in range(1, GRAM)])
+    none = F.array().cast("array<string>")
+    pieces = F.concat(*[
+        F.when(short_words.agg(F.coalesce(F.max(length == size), F.lit(False))).scalar(), _grams(F.col("token"), size))
+        .otherwise(none) for size in range(1, GRAM)
+    ])
     found_short = vocabulary.select("token", F.explode(pieces).alias("keyword")).join(short_words, "keyword")
     return found.unionByName(found_short.select("token", "keyword"))
 
@@ -78,30 +87,44 @@ def _terms(signatures: DataFrame) -> DataFrame:
 
 
 def described_words(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """(table_name, column_name, words): the asked keywords that occur in a description,
-    in order; descriptions with none are left out.  A keyword holds no white space, so
-    wherever it occurs it occurs inside one token."""
-    keywords = _terms(signatures).select("keyword").distinct()
+    """(table_name, column_name, keyword): the asked keywords that occur in a description,
+    once each.  A keyword holds no white space, so wherever it occurs it occurs inside
+    one token.
+
+    The keywords, and the tokens that hold one, are written first: with their sizes known
+    the texts are not shuffled to meet them unless there are very many.
+    """
+    keywords = durable(_terms(signatures).select("keyword").distinct())
     tokens = descriptions.select(
-        "table_name", "column_name", F.explode(F.array_distinct(F.split(_searched(), r"(?U)\s+"))).alias("token")
+        *NAME, F.explode(F.array_distinct(F.split(_searched(), r"(?U)\s+"))).alias("token")
     )
-    found = _token_keywords(tokens.select("token").distinct(), keywords).distinct()
-    return tokens.join(found, "token").groupBy("table_name", "column_name").agg(
-        F.array_sort(F.collect_set("keyword")).alias("words")
+    found = durable(_token_keywords(tokens.select("token").distinct(), keywords).distinct())
+    return tokens.join(found, "token").select(*NAME, "keyword").distinct()
+
+
+def postings(words: DataFrame) -> DataFrame:
+    """(keyword, table_name, bucket, bits): the index.  The described columns of a table are
+    numbered, and each bucket of numbers has one bitmap per keyword."""
+    numbered = number_rows_per_group(words.select(*NAME).distinct(), "table_name", ["column_name"], "_number")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in NAME]
+    placed = words.join(numbered.select(*(F.col(c).alias(f"_{c}") for c in NAME), "_number"), same)
+    return placed.groupBy("keyword", "table_name", F.bitmap_bucket_number("_number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("bits")
     )
 
 
-def _patterns(words: DataFrame, signatures: DataFrame) -> DataFrame:
-    """(signature, table_name, words, n): the sets of words that match a signature, with
-    the number of descriptions that have them."""
-    patterns = words.groupBy(*PATTERN).agg(F.count("*").alias("n"))
-    each = patterns.withColumn("keyword", F.explode("words"))
-    return each.join(_terms(signatures), "keyword").select("signature", *PATTERN, "n").distinct()
+def unions(index: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(signature, table_name, bucket, bits): the descriptions with any of its keywords."""
+    return index.join(_terms(signatures), "keyword").groupBy("signature", "table_name", "bucket").agg(
+        F.bitmap_or_agg("bits").alias("bits")
+    )
 
 
-def _match_counts(patterns: DataFrame, signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
+def match_counts(words: DataFrame, signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Matching descriptions per signature and table.  The empty keyword matches all."""
-    some = patterns.groupBy("signature", "table_name").agg(F.sum("n").alias("match_count"))
+    some = unions(postings(words), signatures).groupBy("signature", "table_name").agg(
+        F.sum(F.bitmap_count("bits")).alias("match_count")
+    )
     asked = signatures.agg(F.coalesce(F.max(F.col("signature") == ""), F.lit(False))).scalar()
     every = descriptions.groupBy("table_name").agg(F.count("*").alias("match_count")).filter(asked)
     return some.unionByName(every.withColumn("signature", F.lit("")))
@@ -133,7 +156,7 @@ def keyword_tables(
     limit = checked_limit(limit)
     budget = limit * rows_per_table
     asked = with_signatures(questions, max_keywords=max_keywords)
-    counts = _match_counts(_patterns(described_words(asked, descriptions), asked), asked, descriptions)
+    counts = match_counts(durable(described_words(asked, descriptions)), asked, descriptions)
     best = (
         _matched_tables(counts, budget, excluded)
         .filter(F.col("table_rank") <= limit)
@@ -159,14 +182,12 @@ def keyword_rows(
     limit = checked_limit(limit)
     budget = limit * rows_per_table
     asked = with_signatures(questions, max_keywords=max_keywords)
-    # Read three times below: once written, the texts are searched only once.
+    # Read several times below: once written, the texts are searched only once.
     words = durable(described_words(asked, descriptions))
-    patterns = _patterns(words, asked)
-    best = _matched_tables(_match_counts(patterns, asked, descriptions), budget, excluded).drop("rows_before")
-    # Whoever lists rows of a pattern lists its first ones by name, within the budget.
-    first = Window.partitionBy(*PATTERN).orderBy("column_name")
-    named = words.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= budget).drop("_n")
-    some = patterns.drop("n").join(best, ["signature", "table_name"]).join(named, PATTERN).drop("words")
+    best = _matched_tables(match_counts(words, asked, descriptions), budget, excluded).drop("rows_before")
+    # The first rows of a union are among the first ones of each of its keywords.
+    first = top_n_per_group(words, ["keyword", "table_name"], [F.col("column_name")], budget, "_n").drop("_n")
+    some = _terms(asked).join(best, "signature").join(first, ["keyword", "table_name"]).drop("keyword").distinct()
     in_table = Window.partitionBy("table_name").orderBy("column_name")
     every = (
         descriptions.select("table_name", "column_name")

@@ -65,7 +65,7 @@ def test_keywords(questions):
 def test_counts_are_those_of_brute_force(questions, descriptions):
     asked = keyword.with_signatures(questions)
     words = keyword.described_words(asked, descriptions)
-    counts = keyword._match_counts(keyword._patterns(words, asked), asked, descriptions).join(asked, "signature")
+    counts = keyword.match_counts(words, asked, descriptions).join(asked, "signature")
     got = {(r.question_id, r.table_name): r.match_count for r in counts.collect()}
     want = {}
     for q, name, _ in reference_matches(QUESTIONS, DESCRIPTIONS):
@@ -81,14 +81,18 @@ def test_rows_are_those_of_brute_force(questions, descriptions):
 
 
 def test_a_word_that_all_descriptions_share_is_counted_before_it_is_listed(spark):
-    """Questions meet the patterns of a table, not its descriptions."""
+    """Questions meet a table's bitmaps, not its descriptions, however different these are."""
     many = spark.range(3000).selectExpr(
         "concat('T', id % 3) AS table_name", "lpad(id, 6, '0') AS column_name", "'INT' AS data_type",
-        "concat('shared', if(id % 2 = 0, ' other', '')) AS description", "'' AS synonyms",
+        "concat('shared own', id) AS description", "'' AS synonyms",
     )
-    asked = spark.createDataFrame([(i, f"shared word{i}") for i in range(50)], "question_id long, text string")
+    asked = spark.createDataFrame([(i, f"shared own{i}") for i in range(50)], "question_id long, text string")
     signatures = keyword.with_signatures(asked)
-    assert keyword._patterns(keyword.described_words(signatures, many), signatures).count() == 3 * 50
+    words = keyword.described_words(signatures, many)
+    assert words.count() >= 3000 + 50
+    met = keyword.unions(keyword.postings(words), signatures)
+    assert met.count() == 3 * 50  # a row per question, table and 32,768 descriptions
+    assert {r.n for r in met.selectExpr("bitmap_count(bits) AS n").collect()} == {1000}
     rows = keyword.keyword_rows(asked, many, limit=2, rows_per_table=5).collect()
     assert len(rows) == 50 * 10 and {r.table_name for r in rows} == {"T0"}
     assert {r.column_name for r in rows} == {f"{i:06}" for i in range(0, 30, 3)}
