@@ -16,8 +16,15 @@ NL = "chr(10)"
 
 # -- responses from orders -------------------------------------------------
 
-# Seven shapes a response may have, as (Spark SQL and DuckDB share this text).
-RESPONSE_TEXT = """CASE o_orderkey % 7
+# The shapes a response may have (Spark SQL and DuckDB share this text).
+RESPONSE_TEXT = """CASE WHEN o_orderkey % 35 = 4 THEN concat('SELECT ORDER_ID,', chr(10), chr(10), 'CASE WHEN TOTAL > ', o_custkey,
+                       ' THEN "Large" END AS SIZE', chr(10), chr(10), 'FROM ORDERS', chr(10), chr(10), 'It says what is large.')
+    WHEN o_orderkey % 35 = 11 THEN concat('With c as (select count(*) from ORDERS where NOTE = ', chr(39), 'It', chr(39), chr(39), 's',
+                       chr(10), chr(10), 'Fine', chr(39), ' -- the customer', chr(39), 's (own', chr(10), ')', chr(10), chr(10),
+                       'Select * from c', chr(10), chr(10), 'Done ', o_custkey)
+    WHEN o_orderkey % 35 = 18 THEN concat('Here is it: SELECT STATUS,', chr(10), chr(10), 'ORDER_ID FROM ORDERS WHERE ID IN (', o_custkey,
+                       ',', chr(10), chr(10), 'NULL)', chr(10), chr(10), 'Note: one row.')
+    ELSE CASE o_orderkey % 7
     WHEN 0 THEN concat('SELECT  COUNT(*) FROM ORDERS WHERE CUSTOMER_ID = ', o_custkey, ';')
     WHEN 1 THEN concat('Sure.', chr(10), '```sql', chr(10), 'SELECT STATUS FROM RAW.ORDERS', chr(10), chr(10),
                        'WHERE ID = ', o_orderkey, ';', chr(10), '```', chr(10), 'Done.')
@@ -28,7 +35,7 @@ RESPONSE_TEXT = """CASE o_orderkey % 7
     WHEN 4 THEN ''
     WHEN 5 THEN concat('I have no table for priority ', o_orderpriority, ';')
     ELSE concat('WITH c AS (SELECT * FROM WAREHOUSE.RAW.ORDERS)', chr(10), chr(10), 'SELECT * FROM c JOIN SELLERS',
-                ' ON c.ID = ', o_custkey, ';;') END"""
+                ' ON c.ID = ', o_custkey, ';;') END END"""
 
 RESPONSES = {
     "w_responses": f"SELECT o_orderkey AS resp_id, {RESPONSE_TEXT} AS text FROM orders",
@@ -63,11 +70,26 @@ def _before(x: str, pattern: str) -> str:
 FENCED, STATEMENT, QUERY = (x.replace("(?sUi)", "(?si)") for x in (sqltext.FENCED, sqltext.STATEMENT, sqltext.QUERY))
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _open(x: str) -> str:
+    code = f"regexp_replace({x}, {_literal(sqltext.SHORT_FORM)}, '\\1', 'g')"
+    code = f"regexp_replace({code}, {_literal(sqltext.QUOTED_OR_COMMENT)}, '\\1', 'g')"
+    code = f"regexp_replace({code}, {_literal(sqltext.QUOTED)}, '0', 'g')"
+    deep = f"len(string_split({code}, '(')) > len(string_split({code}, ')'))"
+    return f"""(regexp_matches({code}, '[''"]') OR {deep} OR regexp_matches({code}, {_literal(sqltext.DANGLING)}))"""
+
+
 def _before_prose(x: str) -> str:
-    """This engine has no look-ahead: paragraphs that go on are tied to the one before."""
-    words = "|".join(sqltext.STATEMENT_WORDS)
-    tied = rf"regexp_replace({x}, '\n\n({words})\b', chr(1) || '\1', 'g')"
-    return rf"replace(string_split_regex({tied}, '\n\n[A-Z]')[1], chr(1), chr(10) || chr(10))"
+    """The same fold; a mark at the end of the text says that the statement has ended."""
+    paragraphs = rf"string_split(regexp_replace({x}, '\n\n([A-Z])', chr(1) || '\1', 'g'), chr(1))"
+    waits = f"""regexp_matches(kept, {_literal(sqltext.CTE)}) AND NOT regexp_matches(kept, {_literal(sqltext.CTE_QUERY)})
+        AND regexp_matches(p, {_literal(sqltext.VERB)})"""
+    goes_on = f"{_open('kept')} OR regexp_matches(p, {_literal(sqltext.IN_CAPITALS)}) OR ({waits})"
+    return f"""replace(list_reduce({paragraphs}, lambda kept, p: CASE WHEN suffix(kept, chr(2)) THEN kept
+        WHEN {goes_on} THEN kept || chr(10) || chr(10) || p ELSE kept || chr(2) END), chr(2), '')"""
 
 
 def _extract(x: str) -> str:

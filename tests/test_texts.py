@@ -26,6 +26,14 @@ EXTRACT = [
     ("WITH c AS (SELECT 1)\n\nSELECT * FROM c", "WITH c AS (SELECT 1)\nSELECT * FROM c"),
     ("SELECT a\n\nWHERE x\n\nFrom here on it is prose", "SELECT a\nWHERE x"),
     ("SELECT 1;\n", "SELECT 1"),
+    ("SELECT A,\n\nCASE WHEN B > 1 THEN 2 END FROM T", "SELECT A,\nCASE WHEN B > 1 THEN 2 END FROM T"),
+    ("SELECT A,\n\nORDER_ID FROM T\n\nThis reads T.", "SELECT A,\nORDER_ID FROM T"),
+    ("select (a +\n\nB)\n\nAs c\n\nfrom t", "select (a +\nB)"),
+    ("SELECT 'One\n\nTwo' FROM t\n\nThe end", "SELECT 'One\nTwo' FROM t"),
+    ("With a as (select 1)\n\nSelect * from a\n\nSelect rows you like", "With a as (select 1)\nSelect * from a"),
+    ("SELECT 1 -- what's (here\n\nIt is one.", "SELECT 1 -- what's (here"),
+    ("SELECT a FROM t WHERE x AND\n\nY = 1\n\nNOTE: x", "SELECT a FROM t WHERE x AND\nY = 1"),
+    ("With this you'll see: SELECT 1\n\nThat's all.", "With this you'll see: SELECT 1"),
     ("unselected SELECT 1 ", "SELECT 1"),
 ]
 
