@@ -27,10 +27,20 @@ def drop(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(conf).delete(where, True)
 
 
+#: Shuffle files go as soon as the execution they belong to has ended, not when the driver
+#: happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and go on from there, so that a lost executor never has
-    to work it out again."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    to work it out again.  What was shuffled for it is removed from the executors' disks."""
     spark = df.sparkSession
+    writer = df.write.mode("overwrite")
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

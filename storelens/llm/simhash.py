@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm.components import components
@@ -98,7 +98,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SAMPLES = 10
 SAMPLED = 3
-PARITY_WORDS = 16
+PARITY_WORDS = 16  # of the narrowest table
 SAMPLE_TEXTS = 4000
 COMMON = 1 << 17
 BROADCAST_SHINGLES = 1 << 20
@@ -113,10 +113,12 @@ def words_hash(text: str) -> bytes:
 
 
 def parity(own: np.ndarray) -> np.ndarray:
-    """A bit table in which every member of a set turns one bit over.  Two tables differ in
-    no more bits than their sets have members that are in one alone."""
-    at = (own >> np.uint64(54)).astype(np.int64) % (64 * PARITY_WORDS)
-    odd = (np.bincount(at, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    """A bit table, at least as wide as the set is large, in which every member turns one bit
+    over.  Two tables differ in no more bits than their sets have members that are in one
+    alone.  A table twice as wide becomes the narrower one by laying its halves together."""
+    width = 1 << max(len(own) - 1, 64 * PARITY_WORDS - 1).bit_length()
+    at = (own & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=width) & 1).astype(np.uint8)
     return np.packbits(odd).view("<i8")
 
 
@@ -247,18 +249,25 @@ def _candidates(nodes: DataFrame) -> DataFrame:
 
 def _can_be(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """Those of the ``pairs`` that numbers and parities of shingles allow; loses no similar
-    pair.  Two hundred bytes stand for a whole set, so few sets have to meet."""
+    pair.  A table has a bit or two per member, so few sets have to meet."""
     facts = nodes.select("id", "n", "parity")
-    m, other = F.col("m"), F.col("other")
-    apart = sum(
-        (F.bit_count(F.col("parity")[j].bitwiseXOR(other[j])) for j in range(1, PARITY_WORDS)),
-        F.bit_count(F.col("parity")[0].bitwiseXOR(other[0])),
-    )
+    m, one, other = F.col("m"), F.col("parity"), F.col("other")
+
+    def halved(table: Column) -> Column:
+        half = F.floor(F.size(table) / 2).cast("int")
+        return F.zip_with(F.slice(table, F.lit(1), half), F.slice(table, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    def apart(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+    # sets near enough in size have tables of one width, or one of them twice the other's
+    narrow, wide = F.size(one) < F.size(other), F.size(one) > F.size(other)
+    bits = F.when(narrow, apart(one, halved(other))).when(wide, apart(halved(one), other)).otherwise(apart(one, other))
     return (
         pairs.join(facts.withColumnRenamed("id", "a"), "a")
         .join(facts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("other")), "b")
         .filter(F.least("n", m) >= similarity * F.greatest("n", m) - 1e-6)
-        .filter((1 + similarity) * apart <= (1 - similarity) * (F.col("n") + m) + 1e-6)
+        .filter((1 + similarity) * bits <= (1 - similarity) * (F.col("n") + m) + 1e-6)
         .select("a", "b")
     )
 

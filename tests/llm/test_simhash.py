@@ -181,3 +181,19 @@ def test_prefixes_of_similar_sets_meet():
             if shared >= 0.8 * (len(own) + len(other) - shared):
                 a, b = (simhash.prefix(s, common, often, 0.8) for s in (own, other))
                 assert len(np.intersect1d(a, b))
+
+
+@pytest.mark.parametrize("n", [3, 200, 1000, 1500, 5000])
+def test_parities_allow_every_similar_pair(spark, n):
+    """Tables of one width and of two: never more bits apart than members, and strangers go."""
+    rng = np.random.default_rng(n)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64))]
+    for lost, new in ((0, 0), (n // 10, n // 10), (0, n // 5), (n // 6, 0), (n // 2, n // 2), (n, n)):
+        sets.append(np.unique(np.concatenate([sets[0][lost:], rng.integers(0, 2**63, new).astype(np.uint64)])))
+    rows = [(i, len(s), simhash.parity(s).tolist()) for i, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "id long, n int, parity array<long>")
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))]
+    got = {tuple(r) for r in simhash._can_be(spark.createDataFrame(pairs, "a long, b long"), nodes, 0.8).collect()}
+    shared = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in pairs}
+    similar = {(a, b) for (a, b), k in shared.items() if k >= 0.8 * (len(sets[a]) + len(sets[b]) - k)}
+    assert similar <= got and (0, 6) not in got and (n < 200 or (0, 5) not in got)
