@@ -133,6 +133,20 @@ def _overwrite_twice(spark, sf_dir) -> DataFrame:
     )
 
 
+def _versioned_twice(spark, sf_dir) -> DataFrame:
+    """A catalog table pointed at a first and a second version; what it shows then."""
+    path = scratch_path(spark, "orders-versions")
+    name = f"orders_{path[-32:]}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    try:
+        warehouse.replace_versioned(orders.filter("o_orderkey % 2 = 0"), name, path)
+        warehouse.replace_versioned(orders, name, path)
+        where = warehouse.table_location(spark, name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the versions go with the scratch folder
+    return spark.read.schema(orders.schema).parquet(where).groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+
+
 def _json_round_trip(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "events-json")
     jsonio.write_lines(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props"), path)
@@ -263,6 +277,9 @@ ENTRIES: dict[str, Entry] = {
         """SELECT o_orderstatus, 2 * COUNT(*) AS rows, COUNT(DISTINCT o_orderkey) AS orders
            FROM orders GROUP BY o_orderstatus""",
     ),
+    "versioned_twice": Entry(
+        _versioned_twice, "SELECT o_orderstatus, COUNT(*) AS rows FROM orders GROUP BY o_orderstatus"
+    ),
     "json_round_trip": Entry(
         _json_round_trip, "SELECT event_id, user_id, event_type, value, props FROM events"
     ),

@@ -178,7 +178,8 @@ EVALUATION: dict[str, Entry] = {
     "model_summary": Entry(
         lambda s, d: evaluation.model_summary(_results(s, d)),
         _sql(
-            """SELECT model, coalesce(difficulty, 'all') AS difficulty, COUNT(*) AS total,
+            """SELECT model, CASE WHEN grouping(difficulty) = 1 THEN 'overall' ELSE 'difficulty' END AS level,
+                      CASE WHEN grouping(difficulty) = 1 THEN 'all' ELSE difficulty END AS difficulty, COUNT(*) AS total,
                       COUNT(*) FILTER (success) AS passed, COUNT(*) FILTER (uses_qualified_names) AS qualified,
                       ROUND(CAST(SUM(CAST(latency AS DECIMAL(12,3))) AS DOUBLE) / COUNT(*), 1) AS avg_latency
                FROM w_results GROUP BY GROUPING SETS ((model), (model, difficulty))"""

@@ -91,7 +91,8 @@ def retried(results: DataFrame, first: str = "first_sql", final: str = "sql") ->
 
 
 def model_summary(results: DataFrame) -> DataFrame:
-    """Per model, overall ('all') and per difficulty: passed, qualified, latency."""
+    """Per model: passed, qualified, latency; ``level`` 'overall' (labelled 'all'), and
+    'difficulty' for every label that occurs, also 'all', an unknown or a missing one."""
     sums = results.groupBy("model", "difficulty").agg(
         F.count("*").alias("total"),
         F.count_if(F.col("success")).alias("passed"),
@@ -108,6 +109,7 @@ def model_summary(results: DataFrame) -> DataFrame:
         .filter(F.col("level") < 3)
         .select(
             "model",
+            F.when(F.col("level") == 1, "overall").otherwise("difficulty").alias("level"),
             F.when(F.col("level") == 1, "all").otherwise(F.col("difficulty")).alias("difficulty"),
             "total",
             "passed",

@@ -11,6 +11,7 @@ from storelens.operators.ranking import number_rows
 
 UNKNOWN_AGENT = "Unknown"
 BUCKET_SECONDS = 600
+CHUNK_ROWS = 100_000
 PAGE_ROWS = 1000
 
 
@@ -24,39 +25,39 @@ def _bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / seconds)
 
 
-def trace_steps(marks: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def trace_steps(marks: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Step records from marks (query_id, mark_id, ts, kind, agent, status).
 
     Each 'end' closes the 'start' right before it; a start replaces an open
     start, and an end without one gives 0 ms and an unknown agent.  So a mark
-    needs only the mark before it.  That is looked up inside a time slice of
-    the query; for the first mark of a slice it is the last mark of the slice
-    before.  Marks without a query or a time are left out (``rejected_marks``).  A query with very many marks is thereby spread over many tasks.
+    needs only the mark before it.
+
+    The marks are sorted over all tasks and numbered, and ``chunk_rows`` consecutive ones
+    make a chunk, whatever queries they belong to.  Inside a chunk the mark before is
+    looked up in order; the first mark of a chunk is handed the last one of the chunk
+    before.  A query with very many marks, at one moment even, is thereby spread over many
+    tasks.  Marks without a query or a time are left out (``rejected_marks``).
     """
-    # Placed by slice once: both uses below need the same rows and columns, so
-    # Spark shuffles the marks a single time.
-    sliced = (
-        marks.withColumn("bucket", _bucket(F.col("ts"), bucket_seconds))
-        .filter(F.col("query_id").isNotNull() & F.col("bucket").isNotNull())
-        .repartition("query_id", "bucket")
-    )
-    mark = F.struct("ts", "mark_id", "kind", "agent", "status")
-    lasts = sliced.groupBy("query_id", "bucket").agg(F.max(mark).alias("last"))
-    # One row per query and time slice: bounded by the time covered, not by the marks.
-    carried = lasts.select(
-        "query_id", "bucket", F.lag("last").over(Window.partitionBy("query_id").orderBy("bucket")).alias("carry")
+    timed = marks.filter(F.col("query_id").isNotNull() & F.col("ts").isNotNull())
+    chunk = F.floor((F.col("_number") - 1) / chunk_rows)
+    placed = number_rows(timed, ["query_id", "ts", "mark_id"], "_number").withColumn("_chunk", chunk)
+    mark = F.struct("query_id", "ts", "kind", "agent")
+    # One row per chunk: its last mark, for the chunk that follows.
+    lasts = placed.filter(F.col("_number") % chunk_rows == 0).select(
+        (F.col("_chunk") + 1).alias("_next"), mark.alias("_carry")
     )
-    in_slice = Window.partitionBy("query_id", "bucket").orderBy("ts", "mark_id")
-    before = F.coalesce(F.lag(mark).over(in_slice), F.col("carry"))
-    paired = sliced.join(carried, ["query_id", "bucket"]).withColumn("before", before)
-    opened = F.col("before.kind").eqNullSafe(F.lit("start"))
+    in_chunk = F.lag(mark).over(Window.partitionBy("_chunk").orderBy("_number"))
+    paired = placed.withColumn("_in_chunk", in_chunk).join(lasts, F.col("_chunk") == F.col("_next"), "left")
+    before = F.coalesce("_in_chunk", "_carry")
+    opened = (before["query_id"] == F.col("query_id")) & (before["kind"] == "start")
+    opened = F.coalesce(opened, F.lit(False))
     return paired.filter(F.col("kind") == "end").select(
         "query_id",
         "mark_id",
         "ts",
-        F.when(opened, F.col("before.agent")).otherwise(F.lit(UNKNOWN_AGENT)).alias("agent"),
+        F.when(opened, before["agent"]).otherwise(F.lit(UNKNOWN_AGENT)).alias("agent"),
         "status",
-        F.when(opened, _millis(F.col("before.ts"), F.col("ts"))).otherwise(F.lit(0)).cast("long").alias("duration_ms"),
+        F.when(opened, _millis(before["ts"], F.col("ts"))).otherwise(F.lit(0)).cast("long").alias("duration_ms"),
     )
 
 

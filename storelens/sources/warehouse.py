@@ -18,30 +18,90 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
 
     What is stored stays as it is until everything is written, so a write that fails
     changes nothing and may read what it replaces.  The swap is two renames: between
-    them a reader finds no table.
+    them a reader finds no table.  If the second one fails the first is taken back.  For
+    readers at any time, and for object stores, where a rename copies, use
+    :func:`replace_versioned`.
     """
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     as_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     name = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     staged, old, place = as_path(f"{name}-new"), as_path(f"{name}-old"), as_path(path)
     store = place.getFileSystem(conf)
+    moved = False
     try:
         write(f"{name}-new")
-        if store.exists(place) and not store.rename(place, old):
-            raise OSError(f"cannot move {path}")
-        if not store.rename(staged, place):
+        if store.exists(place):
+            moved = _renamed(store, place, old)
+            if not moved:
+                raise OSError(f"cannot move {path}")
+        if not _renamed(store, staged, place):
             raise OSError(f"cannot move {name}-new to {path}")
+    except BaseException:
+        if moved:
+            _renamed(store, old, place)
+        raise
     finally:
         store.delete(staged, True)
     store.delete(old, True)
 
 
+def _renamed(store, source, target) -> bool:
+    return store.rename(source, target)
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` in place of what is stored."""
     replace_folder(df.sparkSession, path, lambda folder: df.write.parquet(folder))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Where the rows of a catalog table are; none if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return facts.data_type
+
+
+def replace_versioned(df: DataFrame, name: str, folder: str, keep: int = 1) -> DataFrame:
+    """Make ``df`` the rows of the catalog table ``name``, whose versions are below ``folder``.
+
+    Every version is a folder of its own.  It is written whole, and then one change of the
+    catalog points the table at it: a reader sees the old rows or the new ones, nothing is
+    renamed, and whatever fails before that change leaves the table as it was.  The last
+    ``keep`` versions before the new one stay for readers that have begun with them; older
+    ones are deleted.  A version has the columns of the table.
+    """
+    spark = df.sparkSession
+    versions = folder.rstrip("/")
+    now = spark.sql("SELECT date_format(current_timestamp(), 'yyyyMMddHHmmssSSSSSS') AS t").first().t
+    path = f"{versions}/v{now}-{uuid.uuid4().hex[:8]}"
+    as_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    where = as_path(versions)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(path)
+        _point(spark, name, path, df)
+    except BaseException:
+        store.delete(as_path(path), True)
+        raise
+    known = sorted((f.getPath().getName() for f in store.listStatus(where)), reverse=True)
+    for stale in known[keep + 1 :]:
+        store.delete(as_path(f"{versions}/{stale}"), True)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _point(spark: SparkSession, name: str, path: str, df: DataFrame) -> None:
+    """The one step that readers notice."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    elif spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        raise ValueError(f"{name} has other columns: {spark.table(name).schema.simpleString()}")
+
+
 def append_rows(df: DataFrame, path: str) -> DataFrame:
     """Add all rows of ``df`` in one write."""
     df.write.mode("append").parquet(path)

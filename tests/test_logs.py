@@ -39,19 +39,28 @@ def as_tuples(df):
     return sorted((r.query_id, r.mark_id, r.agent, r.status, r.duration_ms) for r in df.collect())
 
 
-@pytest.mark.parametrize("bucket_seconds", [1, 600, 10**9])
-def test_steps_equal_a_state_machine(spark, bucket_seconds):
+@pytest.mark.parametrize("chunk_rows", [1, 7, 10**6])
+def test_steps_equal_a_state_machine(spark, chunk_rows):
     rows = made_marks()
-    marks = spark.createDataFrame(rows, MARKS).repartition(5)
-    assert as_tuples(monitoring.trace_steps(marks, bucket_seconds)) == reference_steps(rows)
+    odd = [(None, 5000, rows[0][2], "end", "a", "success"), (3, 5001, None, "end", "a", "success")]
+    marks = spark.createDataFrame(rows + odd, MARKS).repartition(5)
+    assert as_tuples(monitoring.trace_steps(marks, chunk_rows)) == reference_steps(rows)
+    assert {r.mark_id for r in monitoring.rejected_marks(marks).collect()} == {5000, 5001}
 
 
-def test_marks_are_shuffled_once(spark, sf_dir):
-    from storelens.catalog.logs import _marks
-
-    df = monitoring.trace_steps(_marks(spark, sf_dir))
-    df.collect()
-    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+def test_marks_of_one_moment_are_spread(spark):
+    """All marks belong to one query and one minute; no task takes more than some chunks."""
+    at = datetime(2024, 1, 1)
+    rows = [(1, i, at + timedelta(microseconds=i % 997), "end" if i % 3 else "start", f"a{i % 5}", "success") for i in range(4000)]
+    steps = monitoring.trace_steps(spark.createDataFrame(rows, MARKS).repartition(4), chunk_rows=50)
+    assert as_tuples(steps) == reference_steps(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in monitoring.trace_steps(spark.createDataFrame(rows, MARKS), chunk_rows=50)
+                 .groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 0.3 * sum(sizes)
 
 
 def test_pages_hold_every_step_once(spark):
@@ -235,6 +244,14 @@ def test_metrics_keep_odd_labels(spark):
     assert got == {("overall", "all"): 3, ("difficulty", "all"): 1, ("difficulty", None): 1, ("difficulty", "odd"): 1}
 
 
+def test_model_summary_keeps_odd_labels(spark):
+    rows = [(1, "q", "all", "m", True, 2.0, "s", None), (2, "q", None, "m", False, 1.0, "s", "e"), (3, "q", "odd", "m", True, 0.0, "s", None)]
+    results = spark.createDataFrame(rows, RESULTS).withColumn("uses_qualified_names", F.col("success"))
+    got = {(r.model, r.level, r.difficulty): (r.total, r.passed) for r in evaluation.model_summary(results).collect()}
+    assert got == {("m", "overall", "all"): (3, 2), ("m", "difficulty", "all"): (1, 1), ("m", "difficulty", None): (1, 0),
+                   ("m", "difficulty", "odd"): (1, 1)}
+
+
 def test_display_cap(spark):
     rows = presentation.display_frame(spark.range(30), ["id"], rows=10).collect()
     assert [r.id for r in rows] == list(range(10)) and {r.total_rows for r in rows} == {30}

@@ -95,6 +95,43 @@ def test_a_failed_write_changes_nothing(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+def test_a_failed_swap_is_taken_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    warehouse.replace_table(spark.range(5), path)
+    real = warehouse._renamed
+    monkeypatch.setattr(
+        warehouse, "_renamed", lambda store, a, b: False if a.getName().endswith("-new") else real(store, a, b))
+    with pytest.raises(OSError):
+        warehouse.replace_table(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_versions_change_in_one_step(spark, tmp_path, monkeypatch):
+    folder, name = str(tmp_path / "versions"), "versions_of_a_table"
+    try:
+        warehouse.replace_versioned(spark.range(5), name, folder)
+        warehouse.replace_versioned(spark.range(7), name, folder)
+        begun = spark.table(name)
+        warehouse.replace_versioned(begun.union(spark.range(2)), name, folder)  # reads what it replaces
+        assert spark.table(name).count() == 9 and len(list(tmp_path.glob("versions/v*"))) == 2
+
+        def broken(*_):
+            raise OSError("no catalog")
+
+        with monkeypatch.context() as at_commit:
+            at_commit.setattr(warehouse, "_point", broken)
+            with pytest.raises(OSError):
+                warehouse.replace_versioned(spark.range(1), name, folder)
+        with pytest.raises(Exception):
+            warehouse.replace_versioned(spark.range(9).select(F.raise_error(F.lit("no")).cast("long").alias("id")), name, folder)
+        with pytest.raises(ValueError):
+            warehouse.replace_versioned(spark.range(1).selectExpr("id AS other"), name, folder)
+        assert spark.table(name).count() == 9 and len(list(tmp_path.glob("versions/v*"))) == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_ledger_loads_each_file_once(spark, folder, tmp_path):
     source, target, checkpoint = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "checkpoint")
     source.mkdir()
