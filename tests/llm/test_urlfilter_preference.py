@@ -141,15 +141,51 @@ def test_preference_pairs(spark):
     assert preference.format_preferences(turns.limit(0)).collect() == []
 
 
-def test_preference_query_on_table(spark, sf_dir):
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    data = [tuple(r) for r in preference.derived_pairs(turns).select("pair_id", "side", "turn", "role", "text").collect()]
-    assert formatted(preference.op8_chat_preferences(spark, sf_dir)) == brute_pairs(data)
-    own = Counter(i for (i,) in table_rows(sf_dir, "conversations", "conv_id"))
-    assert Counter(d[0] for d in data if d[1] == "chosen") == own
+def pair_rows(df):
+    return [(r.pair_id, side, *t) for r in df.collect() for side in ("chosen", "rejected") for t in r[side]]
+
+
+def brute_derived(turns):
+    """The pairs of the query, by the definition."""
+    known = [t for t in turns if t[0] is not None]
+    many = Counter(t[0] for t in known)
+    said = defaultdict(list)
+    for conv, turn, role, text in known:
+        if role == "assistant" and turn is not None and text is not None:
+            said[conv, turn].append(text)
+    out = []
+    for conv, turn, role, text in known:
+        swap = role == "assistant" and turn is not None and turn >= conv * 7 % many[conv]
+        out += [(conv, "chosen", turn, role, text), (conv, "rejected", turn, role, min(said[conv + 1, turn], default="") if swap else text)]
+    return out
 
 
-@pytest.mark.parametrize("name", ["op6_url_filter", "op1_line_dedup", "op4_top_k"])
+def test_derived_pairs(spark):
+    a, u = "assistant", "user"
+    turns = [(1, 0, u, "q"), (1, 1, a, "one"), (1, 1, a, "one"), (1, None, a, "odd"), (1, 2, None, None), (1, 3, a, None),
+             (2, 1, a, "b"), (2, 1, a, "a"), (2, 1, a, None), (2, 0, u, "x"), (None, 0, a, "lost"), (7, 0, a, ""), (-8, 0, a, "n"),
+             (-7, 0, a, "m"), (2**63 - 1, 0, a, "last"), (-(2**63), 0, a, "first")]
+    made = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("chosen", F.lit("x"))
+    got = pair_rows(preference.derived_pairs(made))
+    assert Counter(got) == Counter(brute_derived(turns))
+    assert preference.derived_pairs(made.limit(0)).collect() == []
+
+
+def test_preference_query_on_table(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    pairs = preference.derived_pairs(turns)
+    assert Counter(pair_rows(pairs)) == Counter(brute_derived([tuple(r) for r in turns.collect()]))
+    data = pair_rows(pairs)
+    got = preference.format_pairs(pairs)
+    assert formatted(got) == brute_pairs(data)
+    shown = {r.pair_id: r for r in preference.op8_chat_preferences(spark, sf_dir).collect()}
+    for r in got.collect():
+        assert shown[r.pair_id].chosen_spans == ",".join(f"{s.start}:{s.end}" for s in r.chosen_spans)
+    plan = preference.op8_chat_preferences(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("name", ["op6_url_filter", "op1_line_dedup", "op4_top_k", "op8_chat_preferences"])
 def test_query_agrees_with_sql(spark, sf_dir, name):
     from check import compare, connect
 
