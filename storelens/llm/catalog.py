@@ -28,7 +28,7 @@ ENTRIES: dict[str, Entry] = {
     "op6_url_filter": Entry(urlfilter.op6_url_filter, urlfilter.OP6_SQL),
     "op7_quality_rules": Entry(quality.op7_quality_rules),
     "op8_chat_preferences": Entry(preference.op8_chat_preferences, preference.OP8_SQL),
-    "op9_warc": Entry(warc.op9_warc),
+    "op9_warc": Entry(warc.op9_warc, warc.OP9_SQL),
     "op10_secret_scan": Entry(secrets.op10_secret_scan),
     "op11_merkle_manifest": Entry(merkle.op11_merkle_manifest, merkle.OP11_SQL),
     "op12_vp_nearest": Entry(vptree.op12_vp_nearest),

@@ -1,9 +1,11 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-Records are range-sorted by page id; each range becomes shards that are rolled by their
-compressed size.  A shard is written under a temporary name and renamed when it is whole;
-its content depends on its records alone, so a repeated task replaces it by the same
-bytes, and the same table gives the same shards.  A shard counts only if the manifest lists it, which Spark commits at the end.
+Records are range-sorted by page id.  The borders of the ranges come from exact running
+sums of the payloads' sizes, not from a sample, and each range becomes shards that are
+rolled by their compressed size.  A shard is written under a temporary name and renamed
+when it is whole.  Names and contents depend on the records alone: a repeated task replaces
+a shard by the same bytes, and the same table gives the same shards however it is cut into
+partitions.  A shard counts only if the manifest lists it, which Spark commits at the end.
 """
 
 from __future__ import annotations
@@ -14,13 +16,15 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from storelens.llm.scratch import new_folder, stored
+from storelens.llm.scratch import drop, new_folder, stored
 
 DATE = "2020-01-01T00:00:00Z"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the namespace of URLs
@@ -28,6 +32,7 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  #
 MANIFEST = "shard string, records long, bytes long, sha256 string, first_id long, last_id long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 READ = 1 << 20
+MOST_RANGES = 100_000
 
 
 def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -76,18 +81,18 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
 
 
 class _Shards:
-    """Shards of one range of records, written one after the other."""
+    """Shards of ranges of records, written one after the other."""
 
     def __init__(self, folder: str, roll_bytes: int):
         self.system, self.folder = _filesystem(folder)
         self.uri, self.roll_bytes = folder, roll_bytes
-        context = TaskContext.get()
-        self.part, self.attempt = context.partitionId(), context.taskAttemptId()
+        self.attempt = TaskContext.get().taskAttemptId()
+        self.part, self.number = -1, 0
         self.done: list[dict] = []
         self.out = None
 
     def _open(self) -> None:
-        self.name = f"part-{self.part:05d}-{len(self.done):05d}.warc.gz"
+        self.name = f"part-{self.part:06d}-{self.number:05d}.warc.gz"
         self.temporary = f"{self.folder}/_temporary-{self.attempt}-{self.name}"
         self.out = self.system.open_output_stream(self.temporary, compression=None)
         self.hash, self.bytes, self.ids = hashlib.sha256(), 0, []
@@ -101,6 +106,11 @@ class _Shards:
         self.hash.update(member)
         self.bytes += len(member)
 
+    def begin(self, part: int) -> None:
+        """From now on shards of another range."""
+        self.close()
+        self.part, self.number = part, 0
+
     def add(self, page_id: int | None, member: bytes) -> None:
         if self.out is not None and self.records and self.bytes + len(member) > self.roll_bytes:
             self.close()
@@ -119,7 +129,40 @@ class _Shards:
             "shard": f"{self.uri}/{self.name}", "records": self.records, "bytes": self.bytes,
             "sha256": self.hash.hexdigest(), "first_id": self.ids[0], "last_id": self.ids[1],
         })
-        self.out = None
+        self.out, self.number = None, self.number + 1
+
+
+def range_cuts(sizes: DataFrame, part_bytes: int) -> list[int]:
+    """The first ``page_id`` of every range but the first: ranges begin where the running sum
+    of ``bytes`` in order of id passes another ``part_bytes``.
+
+    The sum runs over sorted partitions; their own sums, a row each, are added up.  No more
+    than :data:`MOST_RANGES` numbers come back, as the caller sees to.
+    """
+    spark = sizes.sparkSession
+    path = new_folder(spark, "warc-sizes")
+    per_id = sizes.groupBy("page_id").agg(F.sum("bytes").alias("bytes"))
+    placed = stored(per_id.orderBy("page_id").withColumn("_place", F.monotonically_increasing_id()), path)
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    totals = placed.groupBy("_part").agg(F.sum("bytes").alias("_total"))
+    starts = totals.select("_part", (F.sum("_total").over(Window.orderBy("_part")) - F.col("_total")).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_start") + F.coalesce(F.sum("bytes").over(inside), F.lit(0))
+    ranges = placed.join(F.broadcast(starts), "_part").select("page_id", F.floor(before / part_bytes).alias("_range"))
+    firsts = ranges.groupBy("_range").agg(F.min("page_id").alias("first")).orderBy("first").collect()
+    drop(spark, path)
+    return [r["first"] for r in firsts[1:]]
+
+
+def _range_of(cuts: list[int]):
+    """The number of the range of an id."""
+    @F.pandas_udf("int")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        firsts = np.array(cuts, dtype=np.int64)
+        for ids in batches:
+            yield pd.Series(np.searchsorted(firsts, ids.to_numpy(dtype=np.int64), side="right").astype(np.int32))
+
+    return run
 
 
 def write_warc(
@@ -132,7 +175,8 @@ def write_warc(
     least ``min_bytes`` bytes, that with the largest id is a response and the others
     revisit it; rows that share the largest id are responses, and so are all rows of a
     payload without any id.  Shards hold at most ``roll_bytes`` compressed bytes, or one
-    record.  Null ids come first; a null or empty url has no header; control characters
+    record.  Ranges of ids hold some ``part_bytes`` of payload, the rows of one id always
+    together.  Null ids come first; a null or empty url has no header; control characters
     and white space in urls are percent-encoded.  Repeated rows are records each.  An
     empty table makes no shard.  Other columns are not looked at.
     """
@@ -151,17 +195,23 @@ def write_warc(
         F.col("keeper").alias("refers_to"), F.lit(0).alias("kind"),
     ).distinct()
     records = rows.select("page_id", "url", "payload", "digest", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
-    parts = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // part_bytes))
-    ordered = records.unionByName(revisits).repartitionByRange(parts, "page_id").sortWithinPartitions(
-        F.col("page_id").asc_nulls_first(), "kind", "digest", "url"
-    ).select(F.col("page_id").cast("string").alias("page_id"), "url", "payload", "digest",
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    part_bytes = max(part_bytes, -(-total // MOST_RANGES))
+    cuts = range_cuts(rows.filter("page_id IS NOT NULL").select("page_id", F.col("size").alias("bytes")), part_bytes)
+    # rows without an id come first, as the least number does
+    part = _range_of(cuts)(F.coalesce("page_id", F.lit(-(2**63))))
+    ordered = records.unionByName(revisits).withColumn("part", part).repartition(len(cuts) + 1, "part").sortWithinPartitions(
+        "part", F.col("page_id").asc_nulls_first(), "kind", "digest", "url"
+    ).select("part", F.col("page_id").cast("string").alias("page_id"), "url", "payload", "digest",
              F.col("refers_to").cast("string").alias("refers_to"), "kind")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shards = _Shards(folder, roll_bytes)
         page, known, number = object(), {}, {}
         for batch in batches:
-            for raw_id, url, content, digest, target, kind in batch.itertuples(index=False, name=None):
+            for part, raw_id, url, content, digest, target, kind in batch.itertuples(index=False, name=None):
+                if part != shards.part:
+                    shards.begin(part)
                 page_id = None if pd.isna(raw_id) else int(raw_id)
                 if page_id != page:
                     page, known, number = page_id, {}, {}
@@ -251,3 +301,18 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     manifest = write_warc(pages, new_folder(spark, "warc"), min_bytes=0)
     return read_warc(manifest).drop("url")
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: the digits
+OP9_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS digest,
+        max(page_id) OVER (PARTITION BY sha1(h)) AS keeper FROM p),
+f AS (SELECT *, [CAST('0x' || digest[5 * i + 1 : 5 * i + 5] AS BIGINT) FOR i IN range(8)] AS fives,
+        coalesce(page_id < keeper, keeper IS NOT NULL) AS again FROM d)
+SELECT page_id, payload_bytes,
+    array_to_string([array_to_string([('{_BASE32}')[((x >> s) & 31) + 1] FOR s IN [15, 10, 5, 0]], '') FOR x IN fives], '')
+        AS payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN keeper END AS refers_to
+FROM f
+"""

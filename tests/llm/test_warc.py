@@ -52,25 +52,51 @@ def test_round_trip_of_odd_pages(spark, min_bytes):
     assert all(bytes(r.payload).decode() in want[r.page_id] for r in got)
 
 
-def test_shards_are_the_same_each_time(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+def test_shards_are_the_same_each_time(spark):
+    """Many shards, and other partitions of the input and of its shuffles each time."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     found = []
-    for _ in range(2):
+    for partitions in (1, 3, 7):
         folder = new_folder(spark, "warc")
-        manifest = warc.write_warc(pages, folder, roll_bytes=20_000, part_bytes=100_000).collect()
-        found.append(sorted((os.path.basename(m.shard), m.records, m.bytes, m.sha256, m.first_id) for m in manifest))
+        spark.conf.set("spark.sql.shuffle.partitions", str(4 + partitions))
+        try:
+            made = warc.write_warc(pages.repartition(partitions, "url"), folder, roll_bytes=100_000, part_bytes=300_000)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        manifest = made.collect()
+        found.append(sorted((os.path.basename(m.shard), m.records, m.bytes, m.sha256, m.first_id, m.last_id) for m in manifest))
         for m in manifest:
             path = m.shard.removeprefix("file:")
             data = open(path, "rb").read()
-            assert hashlib.sha256(data).hexdigest() == m.sha256 and len(data) == m.bytes <= 20_000 or m.records == 1
+            assert hashlib.sha256(data).hexdigest() == m.sha256 and len(data) == m.bytes <= 100_000 or m.records == 1
             assert gzip.decompress(data).count(b"WARC/1.1\r\nWARC-Type: ") == m.records + 1
         left = set(os.listdir(folder.removeprefix("file:")))
         assert left == {os.path.basename(m.shard) for m in manifest} | {"_manifest"}
-    assert found[0] == found[1] and len(found[0]) > 3
+    assert found[0] == found[1] == found[2] and len(found[0]) >= 40
     firsts = [f[4] for f in found[0]]
     assert firsts == sorted(firsts)
 
 
+def test_ranges_begin_where_the_running_sum_says(spark):
+    rows = [(i * 3, (i * 7919) % 50) for i in range(500)] + [(30, 1000), (30, 5)]
+    got = warc.range_cuts(spark.createDataFrame(rows, "page_id long, bytes long").repartition(6), 700)
+    sums = {}
+    for i, n in rows:
+        sums[i] = sums.get(i, 0) + n
+    want, before, last = [], 0, 0
+    for i in sorted(sums):
+        if before // 700 > last:
+            want.append(i)
+        last, before = before // 700, before + sums[i]
+    assert got == want and len(want) > 10
+
+
+def test_query_agrees_with_sql(spark, sf_dir):
+    from check import compare, connect
+
+    assert compare(spark, connect(sf_dir), sf_dir, "op9_warc") == ""
+
+
 def test_damage_is_found(spark, tmp_path):
     member = gzip.decompress(warc.page_record(1, "u", b"payload", None, 0))
     assert warc.parse(member)["payload"] == b"payload"
