@@ -5,8 +5,8 @@ the partition column ``rejected``, and the load replaces what was there, so
 loading twice equals loading once.
 
 Files are split between tasks at line ends.  A table whose fields hold line breaks
-needs ``multi_line``; each of its files is then read by one task, so large ones should
-come as many files.
+needs ``multi_line``: its records are found by :mod:`storelens.sources.csvsplit`, which
+reads a file by many tasks as well.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.sources import csvsplit
 from storelens.sources.retail_schemas import TableFile
 from storelens.sources.warehouse import replace_folder
 
@@ -63,6 +64,14 @@ def load_csv(
     """Load the files under ``path`` (those matching ``pattern``; with ``recursive``, also in
     folders below it) into ``target``."""
     fields = T.StructType.fromDDL(schema)
+    if multi_line:
+        options = parse_options(header, multi_line)
+        found = csvsplit.parsed(
+            csvsplit.records(spark, path, pattern, recursive), with_bad_column(fields).toDDL(), options, header
+        )
+        marked = found.withColumnRenamed("file", FILE).withColumn("rejected", F.col(BAD).isNotNull())
+        replace_folder(spark, target, lambda folder: marked.write.partitionBy("rejected").parquet(folder))
+        return read_loaded(spark, target, schema)
     reader = spark.read.schema(with_bad_column(fields)).options(**parse_options(header, multi_line))
     reader = reader.option("recursiveFileLookup", str(recursive).lower())
     if pattern:

@@ -14,7 +14,7 @@ class TableFile:
     pattern: str
     table: str
     schema: str
-    multi_line: bool = False  # free text with line breaks: such a file is read by one task
+    multi_line: bool = False  # free text with line breaks
 
 
 RETAIL_FILES = (

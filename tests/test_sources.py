@@ -1,8 +1,11 @@
 import os
+import random
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens.plans import evaluation
 from storelens.plans.responses import WAREHOUSE_TABLES
@@ -76,6 +79,34 @@ def test_line_breaks_inside_fields(spark, tmp_path):
     assert [r.line for r in loaded.quarantine.collect()] == ["bad"]
 
 
+ODD_CSV = [
+    'a,b', '"two\nlines",x', '', '"","q"', 'un"quoted,5" pipe', '"a ""quoted"" word",y', '"open\n\n, still ""open""\nend","z\n"',
+    'only one', 'one,two,three', '"x"tail,y', ',', '"last\r\none",w', '"é\n""",ü', 'p,"', '",q"',
+]
+
+
+@pytest.mark.parametrize("range_bytes", [16, 60, 1 << 20])
+def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, range_bytes):
+    """Whatever the borders of the ranges, the rows are those of the one-task reader."""
+    rng = random.Random(3)
+    (tmp_path / "in").mkdir()
+    for name, records in (("a", ODD_CSV), ("b", [rng.choice(ODD_CSV[:-2]) for _ in range(300)]), ("c", ["h,i"])):
+        write(tmp_path / "in" / f"{name}.csv", "name,english\n" + "\n".join(records) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        loaded = csvload.load_csv(spark, str(tmp_path / "in"), TRANSLATION, str(tmp_path / "out"), multi_line=True)
+        ranges = spark.read.text(str(tmp_path / "in" / "b.csv")).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ranges > 8 or range_bytes > 100
+    fields = csvload.with_bad_column(T.StructType.fromDDL(TRANSLATION))
+    alone = spark.read.schema(fields).options(**csvload.parse_options(True, True)).csv(str(tmp_path / "in")).collect()
+    assert Counter((r.name, r.english) for r in loaded.rows.collect()) == Counter((r.name, r.english) for r in alone if r[csvload.BAD] is None)
+    assert Counter(r.line for r in loaded.quarantine.collect()) == Counter(r[csvload.BAD] for r in alone if r[csvload.BAD] is not None)
+
+
 def test_files_of_one_name_are_reported_apart(spark, tmp_path):
     for folder in ("x", "y"):
         (tmp_path / "in" / folder).mkdir(parents=True)
