@@ -92,7 +92,7 @@ def _json_array(spark, sf_dir) -> DataFrame:
     )
     arrays = rows.groupBy("page").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value"))
     arrays.repartition("page").write.partitionBy("page").text(path)
-    return jsonio.read_records(spark, path, "id bigint, question string, verified boolean", "question").drop("page")
+    return jsonio.read_records(spark, path, "id bigint, question string, verified boolean", "question")
 
 
 def _by_segment(rows: DataFrame) -> DataFrame:

