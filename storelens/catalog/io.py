@@ -214,6 +214,24 @@ def _stream_monitor(spark, sf_dir) -> DataFrame:
     )
 
 
+def _stream_late(spark, sf_dir) -> DataFrame:
+    """The log in two runs, the second one of users whose rows are behind by then: rows
+    counted and rows rejected per hour."""
+    path, folder, checkpoint = (scratch_path(spark, f"late-{name}") for name in ("in", "out", "checkpoint"))
+    log = table(spark, sf_dir, "events").select(
+        "ts", (F.col("event_type") != "error").alias("success"), F.col("value").alias("latency"), "user_id"
+    )
+    for user in (0, 1):
+        log.filter(F.col("user_id") % 2 == user).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(log.schema).parquet(path)
+        run_available(stream.writeStream.foreachBatch(lambda batch, n: monitor.add_totals(batch, n, folder)), checkpoint)
+    counted = monitor.totals(spark, folder).select(F.col("window_start").cast("timestamp_ntz"), "total", F.lit(0).alias("late"))
+    behind = monitor.rejects(spark, folder, log.schema.toDDL()).groupBy(
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start")
+    ).agg(F.lit(0).alias("total"), F.count("*").alias("late"))
+    return counted.unionByName(behind).groupBy("window_start").agg(F.sum("total").alias("total"), F.sum("late").alias("late"))
+
+
 def _stream_steps(spark, sf_dir) -> DataFrame:
     # A micro-batch bounds what one query can bring into one task.
     marks = stream_table(spark, sf_dir, "events", bytes_per_trigger=256 << 20).filter(F.col("event_type").isin("view", "purchase")).select(
@@ -307,6 +325,13 @@ ENTRIES: dict[str, Entry] = {
         ),
     ),
     "stream_csv": Entry(_stream_customers, BY_SEGMENT_SQL),
+    "stream_late_rows": Entry(
+        _stream_late,
+        """SELECT date_trunc('hour', ts) AS window_start, COUNT(*) FILTER (NOT late) AS total, COUNT(*) FILTER (late) AS late
+           FROM (SELECT ts, user_id % 2 = 1 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (
+                     SELECT max(ts) - INTERVAL 10 MINUTE FROM events WHERE user_id % 2 = 0) AS late FROM events)
+           GROUP BY 1""",
+    ),
     "stream_monitor": Entry(
         _stream_monitor,
         """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, total,

@@ -411,7 +411,8 @@ PRESENTATION: dict[str, Entry] = {
     "chart_line": Entry(
         lambda s, d: presentation.chart_frame(orders.monthly_order_growth(Star(s, d))),
         with_ctes(
-            """SELECT DATE_TRUNC('month', purchase_ts) AS x, CAST(COUNT(*) AS DOUBLE) AS y, 1::BIGINT AS points, 'line' AS kind,
+            """SELECT DATE_TRUNC('month', purchase_ts) AS x, CAST(COUNT(*) AS DOUBLE) AS y, COUNT(*) AS low, COUNT(*) AS high,
+                      COUNT(*) AS first, COUNT(*) AS last, 1::BIGINT AS points, 'line' AS kind,
                       'total_orders over month' AS title, false AS horizontal
                FROM w_orders GROUP BY 1""",
             ROLES,

@@ -144,18 +144,21 @@ def _semantic_tables(spark, sf_dir) -> DataFrame:
 
 
 def _tiers(spark, sf_dir) -> DataFrame:
-    """Questions that have a vector are found by vector, the others by keyword,
-    the rest by the table list."""
-    questions = _questions(spark, sf_dir)
-    with_vector = (
-        table(spark, sf_dir, "embeddings")
-        .select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("vector"))
-        .join(questions.select("question_id"), "question_id", "left_semi")
-    )
-    near = semantic.semantic_tables(with_vector, _vectors(spark, sf_dir, "row_id"), LIMIT, ("9",))
-    by_word = keyword.keyword_tables(questions, _descriptions(spark, sf_dir), LIMIT, EXCLUDED)
-    rest = linking.first_tables(questions, _catalog(spark, sf_dir), LIMIT)
-    return linking.by_tier(questions, [near, by_word, rest])
+    """Questions that have a vector are found by vector, those left by keyword, and the
+    rest by the table list."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("vector"))
+
+    def by_vector(left: DataFrame) -> DataFrame:
+        asked = vectors.join(left.select("question_id"), "question_id", "left_semi")
+        return semantic.semantic_tables(asked, _vectors(spark, sf_dir, "row_id"), LIMIT, ("9",))
+
+    def by_word(left: DataFrame) -> DataFrame:
+        return keyword.keyword_tables(left, _descriptions(spark, sf_dir), LIMIT, EXCLUDED)
+
+    def by_name(left: DataFrame) -> DataFrame:
+        return linking.first_tables(left, _catalog(spark, sf_dir), LIMIT)
+
+    return linking.by_tier(_questions(spark, sf_dir), [by_vector, by_word, by_name])
 
 
 def _supplement(spark, sf_dir) -> DataFrame:
@@ -188,7 +191,7 @@ _PROMPT_SQL = """concat('Write one SQL query that answers the question.', chr(10
 
 ENTRIES: dict[str, Entry] = {
     "keyword_extract": Entry(
-        lambda s, d: with_keywords(_questions(s, d).filter(F.regexp_like("text", F.lit(r"\S"))), "text", "found")
+        lambda s, d: with_keywords(_questions(s, d).filter(F.regexp_like("text", F.lit(r"(?U)\S"))), "text", "found")
         .select("question_id", F.array_join("found", "|").alias("keywords")),
         _sql("SELECT question_id, array_to_string(keywords, '|') AS keywords FROM w_keywords"),
     ),

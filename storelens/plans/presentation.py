@@ -66,7 +66,8 @@ def chart_frame(df: DataFrame, rows: int = CHART_ROWS) -> DataFrame | None:
     behind them, kind and orientation.  None when no chart fits.
 
     Bars: the tallest.  Lines: the range of x in equal steps, with the first x and the
-    mean y of each.  Scatters: a grid over both ranges, with the least x and y of each
+    mean y of each, and its ``low``, ``high``, ``first`` and ``last`` y, so that no peak is
+    lost.  Scatters: a grid over both ranges, with the least x and y of each
     cell that has points.  So lines and scatters show the whole range.
     """
     chart = choose_chart(df.schema)
@@ -98,7 +99,9 @@ def _steps(pair: DataFrame, rows: int) -> DataFrame:
     when = F.unix_micros(F.col("x").cast("timestamp")).cast("double")
     known = pair.filter("x IS NOT NULL")
     return known.groupBy(_place(known, when, rows).alias("step")).agg(
-        F.min("x").alias("x"), F.avg("y").alias("y"), F.count("*").alias("points")
+        F.min("x").alias("x"), F.avg("y").alias("y"), F.min("y").alias("low"), F.max("y").alias("high"),
+        F.min(F.struct("x", "y"))["y"].alias("first"), F.max(F.struct("x", "y"))["y"].alias("last"),
+        F.count("*").alias("points"),
     ).drop("step")
 
 

@@ -5,7 +5,7 @@ Linked tables are rows (question_id, table_name, relevance_score).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from storelens.retrieval import DEFAULT_LIMIT, checked_limit
+from storelens.session import durable
 
 DESCRIBED_SCORE = 0.4
 CATALOG_SCORE = 0.3
@@ -29,18 +30,21 @@ def first_tables(questions: DataFrame, catalog: DataFrame, limit: int = DEFAULT_
     )
 
 
-def by_tier(questions: DataFrame, tiers: Sequence[DataFrame]) -> DataFrame:
+def by_tier(questions: DataFrame, tiers: Sequence[DataFrame | Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """The tables of the first tier that has any for the question.  A blank
-    question gets none."""
-    asked = questions.filter(F.regexp_like("text", F.lit(r"\S"))).select("question_id")
-    columns = ["question_id", "table_name", "relevance_score"]
-    every = reduce(
-        DataFrame.unionByName,
-        [tier.select(*columns).withColumn("tier", F.lit(n)) for n, tier in enumerate(tiers, 1)],
-    ).join(asked, "question_id", "left_semi")
-    # A question has at most ``limit`` tables per tier.
-    best = F.min("tier").over(Window.partitionBy("question_id"))
-    return every.withColumn("_best", best).filter(F.col("tier") == F.col("_best")).drop("_best")
+    question gets none.
+
+    A tier is a table of what it found, or a function that is given the questions for which
+    no earlier tier found anything; what it finds is written before the next one is asked.
+    """
+    left = questions.filter(F.regexp_like("text", F.lit(r"(?U)\S")))
+    found = []
+    for n, tier in enumerate(tiers, 1):
+        rows = tier(left) if callable(tier) else tier
+        rows = rows.select("question_id", "table_name", "relevance_score").withColumn("tier", F.lit(n))
+        found.append(durable(rows.join(left.select("question_id"), "question_id", "left_semi")))
+        left = left.join(found[-1].select("question_id"), "question_id", "left_anti")
+    return reduce(DataFrame.unionByName, found)
 
 
 def supplement(linked: DataFrame, edges: DataFrame, descriptions: DataFrame, catalog: DataFrame) -> DataFrame:

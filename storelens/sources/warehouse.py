@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,30 +139,28 @@ def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
     """Measured facts per plain column: type, non-null and distinct counts, range, and
     the ``k`` most frequent values, equally frequent ones in order of the value.
 
-    Values are counted by a 256-bit digest; each task passes on one text per digest.
+    Counts and ranges come from one pass of plain aggregates.  Values are counted by a
+    256-bit digest; each task passes on one text per digest.
     """
     plain = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    cells = [
-        F.struct(
-            F.lit(position).alias("ordinal"),
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.col(field.name).cast("string").alias("value"),
-            (F.col(field.name) if isinstance(field.dataType, T.NumericType) else F.lit(None)).cast("double").alias("number"),
+    named = {position: field for position, field in enumerate(plain, 1)}
+
+    def facts_of(position: int, field: T.StructField) -> Column:
+        """Aggregates of one column: no cell is copied for them."""
+        column, text, number = F.col(field.name), F.col(field.name).cast("string"), isinstance(field.dataType, T.NumericType)
+        own, other = (column.cast("double"), F.lit(None).cast("string")) if number else (F.lit(None).cast("double"), text)
+        return F.struct(
+            F.lit(position).alias("ordinal"), F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"), F.count("*").alias("row_count"),
+            F.count(text).alias("non_null"), F.min(own).alias("min_number"), F.max(own).alias("max_number"),
+            F.min(other).alias("min_text"), F.max(other).alias("max_text"),
         )
-        for position, field in enumerate(plain, 1)
-    ]
-    values = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
-    text = F.when(F.col("number").isNull(), F.col("value"))
-    facts = values.groupBy("ordinal", "column_name", "data_type").agg(
-        F.count("*").alias("row_count"),
-        F.count("value").alias("non_null"),
-        F.min("number").alias("min_number"),
-        F.max("number").alias("max_number"),
-        F.min(text).alias("min_text"),
-        F.max(text).alias("max_text"),
-    )
-    keyed = values.filter(F.col("value").isNotNull()).select("column_name", "value", F.sha2("value", 256).alias("key"))
+
+    every = df.agg(F.array(*(facts_of(i, f) for i, f in named.items())).alias("facts"))
+    facts = every.select(F.explode("facts").alias("f")).select("f.*").filter("row_count > 0")
+    cells = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("value")) for f in plain]
+    values = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").filter("value IS NOT NULL")
+    keyed = values.select("column_name", "value", F.sha2("value", 256).alias("key"))
     # The value comes along as the aggregate's minimum: one text per digest and task.
     counts = keyed.groupBy("column_name", "key").agg(F.count("*").alias("n"), F.min("value").alias("value"))
     distinct = counts.groupBy("column_name").agg(F.count("*").alias("distinct_values"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -90,3 +91,58 @@ def streamed_steps(marks: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     return zoned.groupBy("query_id").applyInPandasWithState(
         _ordered_steps(), STEP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
+
+
+PARTIAL = "window_start timestamp, window_end timestamp, total long, successful long, latency_sum decimal(38,3), newest timestamp"
+
+
+def add_totals(batch: DataFrame, number: int, folder: str, lateness: str = "10 minutes", window: str = "1 hour") -> None:
+    """Add a micro-batch of rows (ts, success, latency, others) to the totals in ``folder``.
+
+    A window is closed once rows ``lateness`` after its end came in an earlier batch.  Rows
+    of closed windows, and rows without a time, go to ``rejects`` with the reason; all others
+    are summed per window into ``partials``.  So totals and rejects add up to the input.
+    A batch writes folders of its own, so a batch that runs again replaces what it wrote.
+    """
+    spark = batch.sparkSession
+    known = batch.withColumn("_ts", F.col("ts").cast("timestamp")).withColumn("_window", F.window("_ts", window))
+    passed = watermark(spark, folder, lateness, number)
+    closed = F.lit(False) if passed is None else F.col("_window.end") <= F.lit(passed)
+    judged = known.withColumn("reason", F.when(F.col("_ts").isNull(), "no time").when(closed, "late"))
+    judged.filter("reason IS NOT NULL").drop("_ts", "_window").write.mode("overwrite").parquet(f"{folder}/rejects/batch={number}")
+    sums = judged.filter("reason IS NULL").groupBy(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end")).agg(
+        F.count("*").alias("total"), F.count_if(F.col("success")).alias("successful"),
+        F.sum(F.col("latency").cast("decimal(12,3)")).cast("decimal(38,3)").alias("latency_sum"), F.max("_ts").alias("newest"),
+    )
+    sums.write.mode("overwrite").parquet(f"{folder}/partials/batch={number}")
+
+
+def _partials(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(f"{PARTIAL}, batch int").parquet(f"{folder}/partials")
+
+
+def watermark(spark: SparkSession, folder: str, lateness: str, before: int | None = None) -> datetime | None:
+    """The time up to which windows are closed by the batches (those ``before`` a number)."""
+    if before == 0:
+        return None
+    batches = _partials(spark, folder)
+    if before is not None:
+        batches = batches.filter(F.col("batch") < before)
+    return batches.agg((F.max("newest") - F.expr(f"INTERVAL {lateness}")).alias("t")).first().t
+
+
+def totals(spark: SparkSession, folder: str) -> DataFrame:
+    """What :func:`add_totals` has counted so far per window, open windows included."""
+    sums = _partials(spark, folder).groupBy("window_start", "window_end").agg(
+        *(F.sum(c).alias(c) for c in ("total", "successful", "latency_sum"))
+    )
+    return sums.select(
+        "window_start", "window_end", "total",
+        (ratio_or_zero(F.col("successful"), F.col("total")) * 100).alias("success_rate"),
+        ratio_or_zero(F.col("latency_sum"), F.col("total")).alias("avg_latency"),
+    )
+
+
+def rejects(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows that came too late or have no time, with the ``reason``."""
+    return spark.read.schema(f"{schema}, reason string, batch int").parquet(f"{folder}/rejects").drop("batch")

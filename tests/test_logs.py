@@ -139,6 +139,26 @@ def test_streamed_totals_equal_batch(spark, sf_dir, tmp_path):
     assert all(batch[w] == n for w, n in streamed.items())
 
 
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    """Totals and rejects add up to the input, also when a batch runs twice."""
+    at = datetime(2024, 1, 1, 10)
+    early = [(at + timedelta(minutes=m), True, 1.0) for m in (0, 5, 70, 200)] + [(None, True, 1.0)]
+    later = [(at + timedelta(minutes=m), False, 2.0) for m in (10, 59, 61, 185, 199, 300)]
+    schema = "ts timestamp, success boolean, latency double"
+    for rows in (early, later):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    folder = str(tmp_path / "out")
+    writer = stream.writeStream.foreachBatch(lambda batch, n: [monitor.add_totals(batch, n, folder) for _ in range(2)] and None)
+    run_available(writer, str(tmp_path / "checkpoint"))
+    counted = {r.window_start: (r.total, r.success_rate, r.avg_latency) for r in monitor.totals(spark, folder).collect()}
+    assert counted == {at: (2, 100.0, 1.0), at + timedelta(hours=1): (1, 100.0, 1.0), at + timedelta(hours=3): (3, pytest.approx(100 / 3), pytest.approx(5 / 3)),
+                       at + timedelta(hours=5): (1, 0.0, 2.0)}
+    apart = sorted((r.reason, r.ts) for r in monitor.rejects(spark, folder, schema).collect() if r.ts)
+    assert apart == [("late", at + timedelta(minutes=m)) for m in (10, 59, 61)]
+    assert sum(n for n, *_ in counted.values()) + monitor.rejects(spark, folder, schema).count() == len(early) + len(later)
+
+
 def test_log_views(spark):
     log = spark.sql(
         """SELECT * FROM VALUES
@@ -232,6 +252,10 @@ def test_lines_and_scatters_show_the_whole_range(spark):
     line = spark.range(5000).selectExpr("timestamp_seconds(id * 60) AS at", "id AS value")
     rows = presentation.chart_frame(line).orderBy("x").collect()
     assert len(rows) == 500 and sum(r.points for r in rows) == 5000 and rows[-1].y > 4900
+    peak = line.withColumn("value", F.when(F.col("value") == 2503, 10**6).when(F.col("value") == 77, -5).otherwise(F.col("value")))
+    rows = presentation.chart_frame(peak).orderBy("x").collect()
+    assert max(r.high for r in rows) == 10**6 and min(r.low for r in rows) == -5
+    assert rows[0]["first"] == 0 and rows[-1]["last"] == 4999 and all(r.low <= r.y <= r.high for r in rows)
     scatter = spark.range(5000).selectExpr("id AS x", "id * id AS y")
     rows = presentation.chart_frame(scatter).collect()
     assert len(rows) <= 500 and sum(r.points for r in rows) == 5000 and max(r.x for r in rows) > 4700

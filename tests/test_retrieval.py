@@ -213,6 +213,21 @@ def test_lowest_tier_wins(spark):
     assert got == {(1, "N", 1), (2, "K", 2), (4, "A", 3), (4, "B", 3)}
 
 
+def test_a_tier_is_asked_only_for_what_is_left(spark):
+    asked = spark.createDataFrame([(1, "a"), (2, "b"), (3, "\u00a0\u2003"), (4, "c")], "question_id long, text string")
+    given = []
+
+    def tier(known):
+        def find(left):
+            given.append(sorted(r.question_id for r in left.collect()))
+            return left.filter(F.col("question_id").isin(*known)).select(
+                "question_id", F.lit("T").alias("table_name"), F.lit(0.5).alias("relevance_score"))
+        return find
+
+    got = {(r.question_id, r.tier) for r in linking.by_tier(asked, [tier([1]), tier([1, 4]), tier([2, 3])]).collect()}
+    assert got == {(1, 1), (4, 2), (2, 3)} and given == [[1, 2, 4], [2, 4], [2]]
+
+
 def test_partners_one_hop_only(spark):
     linked = spark.createDataFrame(
         [(1, "ORDER_ITEMS", 0.9, 3), (2, "ORDERS", 0.8, 2), (2, "CUSTOMERS", 0.7, 1), (3, "LONER", 0.5, 1), (4, "LONER", 0.5, 1),
