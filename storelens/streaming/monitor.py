@@ -105,11 +105,14 @@ def add_totals(batch: DataFrame, number: int, folder: str, lateness: str = "10 m
     A batch writes folders of its own, so a batch that runs again replaces what it wrote.
     """
     spark = batch.sparkSession
-    known = batch.withColumn("_ts", F.col("ts").cast("timestamp")).withColumn("_window", F.window("_ts", window))
+    zoned = batch.withColumn("_ts", F.col("ts").cast("timestamp"))
     passed = watermark(spark, folder, lateness, number)
     closed = F.lit(False) if passed is None else F.col("_window.end") <= F.lit(passed)
-    judged = known.withColumn("reason", F.when(F.col("_ts").isNull(), "no time").when(closed, "late"))
-    judged.filter("reason IS NOT NULL").drop("_ts", "_window").write.mode("overwrite").parquet(f"{folder}/rejects/batch={number}")
+    # window() leaves rows without a time out, so they are taken apart before
+    judged = zoned.filter("_ts IS NOT NULL").withColumn("_window", F.window("_ts", window)).withColumn("reason", F.when(closed, "late"))
+    timeless = zoned.filter("_ts IS NULL").drop("_ts").withColumn("reason", F.lit("no time"))
+    late = judged.filter("reason IS NOT NULL").drop("_ts", "_window")
+    late.unionByName(timeless).write.mode("overwrite").parquet(f"{folder}/rejects/batch={number}")
     sums = judged.filter("reason IS NULL").groupBy(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end")).agg(
         F.count("*").alias("total"), F.count_if(F.col("success")).alias("successful"),
         F.sum(F.col("latency").cast("decimal(12,3)")).cast("decimal(38,3)").alias("latency_sum"), F.max("_ts").alias("newest"),
