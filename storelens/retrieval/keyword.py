@@ -87,29 +87,28 @@ def _terms(signatures: DataFrame) -> DataFrame:
 
 
 def described_words(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """(table_name, column_name, keyword): the asked keywords that occur in a description,
-    once each.  A keyword holds no white space, so wherever it occurs it occurs inside
-    one token.
+    """(table_name, column_name, number, keyword): the asked keywords that occur in a
+    description, once each, and the number of the description in its table.  A keyword
+    holds no white space, so wherever it occurs it occurs inside one token.
 
-    The keywords, and the tokens that hold one, are written first: with their sizes known
-    the texts are not shuffled to meet them unless there are very many.
+    Numbering sorts the descriptions over all tasks and writes them, so that texts are
+    searched evenly.  The keywords, and the tokens that hold one, are written too: with
+    their sizes known the texts are not shuffled again unless there are very many.
     """
     keywords = durable(_terms(signatures).select("keyword").distinct())
-    tokens = descriptions.select(
-        *NAME, F.explode(F.array_distinct(F.split(_searched(), r"(?U)\s+"))).alias("token")
+    numbered = number_rows_per_group(
+        descriptions.select(*NAME, _searched().alias("searched")), "table_name", ["column_name"], "number"
     )
+    tokens = numbered.select(*NAME, "number", F.explode(F.array_distinct(F.split("searched", r"(?U)\s+"))).alias("token"))
     found = durable(_token_keywords(tokens.select("token").distinct(), keywords).distinct())
-    return tokens.join(found, "token").select(*NAME, "keyword").distinct()
+    return tokens.join(found, "token").select(*NAME, "number", "keyword").distinct()
 
 
 def postings(words: DataFrame) -> DataFrame:
-    """(keyword, table_name, bucket, bits): the index.  The described columns of a table are
-    numbered, and each bucket of numbers has one bitmap per keyword."""
-    numbered = number_rows_per_group(words.select(*NAME).distinct(), "table_name", ["column_name"], "_number")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in NAME]
-    placed = words.join(numbered.select(*(F.col(c).alias(f"_{c}") for c in NAME), "_number"), same)
-    return placed.groupBy("keyword", "table_name", F.bitmap_bucket_number("_number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("bits")
+    """(keyword, table_name, bucket, bits): the index, with one bitmap per keyword for each
+    bucket of the numbers of a table's descriptions."""
+    return words.groupBy("keyword", "table_name", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
     )
 
 
@@ -186,7 +185,7 @@ def keyword_rows(
     words = durable(described_words(asked, descriptions))
     best = _matched_tables(match_counts(words, asked, descriptions), budget, excluded).drop("rows_before")
     # The first rows of a union are among the first ones of each of its keywords.
-    first = top_n_per_group(words, ["keyword", "table_name"], [F.col("column_name")], budget, "_n").drop("_n")
+    first = top_n_per_group(words, ["keyword", "table_name"], [F.col("column_name")], budget, "_n").drop("_n", "number")
     some = _terms(asked).join(best, "signature").join(first, ["keyword", "table_name"]).drop("keyword").distinct()
     in_table = Window.partitionBy("table_name").orderBy("column_name")
     every = (
