@@ -88,8 +88,8 @@ def _terms(signatures: DataFrame) -> DataFrame:
 
 def described_words(signatures: DataFrame, descriptions: DataFrame) -> DataFrame:
     """(table_name, column_name, number, keyword): the asked keywords that occur in a
-    description, once each, and the number of the description in its table.  A keyword
-    holds no white space, so wherever it occurs it occurs inside one token.
+    description, once per token that holds them, and the number of the description in its
+    table.  A keyword holds no white space, so wherever it occurs it occurs inside one token.
 
     Numbering sorts the descriptions over all tasks and writes them, so that texts are
     searched evenly.  The keywords, and the tokens that hold one, are written too: with
@@ -101,7 +101,7 @@ def described_words(signatures: DataFrame, descriptions: DataFrame) -> DataFrame
     )
     tokens = numbered.select(*NAME, "number", F.explode(F.array_distinct(F.split("searched", r"(?U)\s+"))).alias("token"))
     found = durable(_token_keywords(tokens.select("token").distinct(), keywords).distinct())
-    return tokens.join(found, "token").select(*NAME, "number", "keyword").distinct()
+    return tokens.join(found, "token").select(*NAME, "number", "keyword")
 
 
 def postings(words: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def keyword_tables(
     limit = checked_limit(limit)
     budget = limit * rows_per_table
     asked = with_signatures(questions, max_keywords=max_keywords)
-    counts = match_counts(durable(described_words(asked, descriptions)), asked, descriptions)
+    counts = match_counts(described_words(asked, descriptions), asked, descriptions)
     best = (
         _matched_tables(counts, budget, excluded)
         .filter(F.col("table_rank") <= limit)
@@ -182,7 +182,7 @@ def keyword_rows(
     budget = limit * rows_per_table
     asked = with_signatures(questions, max_keywords=max_keywords)
     # Read several times below: once written, the texts are searched only once.
-    words = durable(described_words(asked, descriptions))
+    words = durable(described_words(asked, descriptions).distinct())
     best = _matched_tables(match_counts(words, asked, descriptions), budget, excluded).drop("rows_before")
     # The first rows of a union are among the first ones of each of its keywords.
     first = top_n_per_group(words, ["keyword", "table_name"], [F.col("column_name")], budget, "_n").drop("_n", "number")
