@@ -184,6 +184,21 @@ def test_groups_are_passed_over(spark, monkeypatch):
     assert len(blocks) == 1 and (near + radii < 0.5).mean() > 0.8  # the best 20 all score above 0.99
 
 
+def test_lists_are_sorted_a_few_times_a_tile(spark, monkeypatch):
+    """Blocks are multiplied whole: the lists of the best are sorted as often as a list fills
+    up with better rows, not once per group of rows."""
+    cells = np.random.default_rng(5).normal(size=(6000, 16)).tolist()
+    blocks = semantic._blocks(vectors_of(spark, cells, "row_id", 3), "row_id", 512, 64).toPandas()
+    asked = semantic._blocks(vectors_of(spark, cells[:200], "question_id", 3), "question_id", 512, 64).toPandas()
+    sorts, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorts.append(1) or lexsort(keys))
+    found = semantic._nearest(10)(asked, blocks)
+    assert len(blocks) > 8 and len(found) == 200 * 10 and len(sorts) <= len(blocks)
+    unit = np.array(cells) / np.linalg.norm(cells, axis=1, keepdims=True)
+    of_first = found[found.question_id == 0].sort_values(["score", "row_id"], ascending=[False, True])
+    assert of_first.row_id.tolist() == np.argsort(-(unit @ unit[0]), kind="stable")[:10].tolist()
+
+
 def test_no_vector_is_broadcast_or_collected(spark):
     vectors = spark.createDataFrame([(1, "t", [1.0])], "row_id long, table_name string, vector array<double>")
     questions = vectors.select(F.col("row_id").alias("question_id"), "vector")
