@@ -135,12 +135,25 @@ def columns_per_table(catalog: DataFrame) -> DataFrame:
     )
 
 
+def value_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """(column_name, value, n): how often each value occurs, as text, without nulls.
+
+    A task reads a part of one column, so it holds the values of that part only, and no
+    cell is copied next to those of other columns.  ``df`` is read once per column: give a
+    stored table.
+    """
+    columns = [df.select(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")) for name in names]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n long")
+    cells = reduce(DataFrame.unionByName, columns).filter("value IS NOT NULL")
+    return cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+
+
 def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
     """Measured facts per plain column: type, non-null and distinct counts, range, and
     the ``k`` most frequent values, equally frequent ones in order of the value.
 
-    Counts and ranges come from one pass of plain aggregates.  Values are counted by a
-    256-bit digest; each task passes on one text per digest.
+    Counts and ranges come from one pass of plain aggregates, values from :func:`value_counts`.
     """
     plain = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     named = {position: field for position, field in enumerate(plain, 1)}
@@ -158,11 +171,7 @@ def column_profile(df: DataFrame, k: int = 3) -> DataFrame:
 
     every = df.agg(F.array(*(facts_of(i, f) for i, f in named.items())).alias("facts"))
     facts = every.select(F.explode("facts").alias("f")).select("f.*").filter("row_count > 0")
-    cells = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("value")) for f in plain]
-    values = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").filter("value IS NOT NULL")
-    keyed = values.select("column_name", "value", F.sha2("value", 256).alias("key"))
-    # The value comes along as the aggregate's minimum: one text per digest and task.
-    counts = keyed.groupBy("column_name", "key").agg(F.count("*").alias("n"), F.min("value").alias("value"))
+    counts = value_counts(df, [f.name for f in plain])
     distinct = counts.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
     shown = top_n_per_group(counts, ["column_name"], [F.desc("n"), F.col("value")], k, "place")
     ordered = F.sort_array(F.collect_list(F.struct("place", "value")))

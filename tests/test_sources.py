@@ -274,3 +274,15 @@ def test_scratch_tables_can_be_removed(spark, tmp_path):
     assert kept.count() == 3 and os.path.isdir(other.removeprefix("file:"))
     remove(spark, other)
     assert not os.path.exists(other.removeprefix("file:"))
+
+
+def test_profile_holds_one_column_a_task(spark, tmp_path):
+    """Cells are neither copied next to each other nor sorted to be counted."""
+    spark.range(100).selectExpr("id AS a", "concat('v', id % 7) AS b", "if(id % 2 = 0, 'x', null) AS c").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    profile = warehouse.column_profile(df)
+    plan = profile._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate explode") == 1 and "sha2" not in plan  # the facts, a row per column
+    assert [(r.column_name, r.distinct_values, r.sample_values) for r in profile.orderBy("ordinal").collect()] == [
+        ("a", 100, "0, 1, 10"), ("b", 7, "v0, v1, v2"), ("c", 1, "x"),
+    ]
