@@ -75,7 +75,8 @@ def _csv_multiline(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "documents-csv")
     texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(DOCUMENT_LINES).alias("text"), "lang")
     plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    texts.repartition(4).write.options(**plain).csv(path)
+    # a file for each task that reads the table, so none of them grows with it
+    texts.write.options(**plain).csv(path)
     loaded = csvload.load_csv(
         spark, path, "doc_id bigint, text string, lang string", scratch_path(spark, "documents"), "*.csv", multi_line=True
     )

@@ -286,3 +286,24 @@ def test_profile_holds_one_column_a_task(spark, tmp_path):
     assert [(r.column_name, r.distinct_values, r.sample_values) for r in profile.orderBy("ordinal").collect()] == [
         ("a", 100, "0, 1, 10"), ("b", 7, "v0, v1, v2"), ("c", 1, "x"),
     ]
+
+
+def test_files_with_line_breaks_are_written_by_the_tasks_that_read(spark, tmp_path, sf_dir, monkeypatch):
+    """The number of files follows the table, so no task is handed a fixed share of it."""
+    from storelens.catalog import io
+
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents.repartition(7).write.parquet(str(tmp_path / "documents.parquet"))
+    files, load = [], csvload.load_csv
+
+    def counted(spark, path, *rest, **more):
+        files.append(len([f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".csv")]))
+        return load(spark, path, *rest, **more)
+
+    monkeypatch.setattr(csvload, "load_csv", counted)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = io._csv_multiline(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert files[0] >= 7 and rows.count() == documents.count()
