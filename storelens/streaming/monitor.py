@@ -15,9 +15,11 @@ from storelens.plans.monitoring import UNKNOWN_AGENT
 
 STEP_SCHEMA = "query_id long, mark_id long, ts timestamp, agent string, status string, duration_ms long"
 STATE_SCHEMA = (
-    "opened_us long, opened_agent string, at array<long>, mark_id array<long>, kind array<string>, agent array<string>, "
-    "status array<string>"
+    "opened array<long>, opened_us array<long>, opened_agent array<string>, query_id array<long>, at array<long>, "
+    "mark_id array<long>, kind array<string>, agent array<string>, status array<string>"
 )
+# Queries share a state, as each state costs a call per micro-batch.
+STATES = 4096
 
 
 def hourly_summary(log: DataFrame, lateness: str = "10 minutes", window: str = "1 hour") -> DataFrame:
@@ -39,37 +41,39 @@ def hourly_summary(log: DataFrame, lateness: str = "10 minutes", window: str = "
 
 
 def _ordered_steps():
-    """The state function: marks wait until the watermark has passed them, and are then
-    taken in order of time, whatever the order and the files in which they came."""
+    """The state function for the queries that share a state: marks wait until the watermark
+    has passed them, and are then taken query by query in order of time, whatever the order
+    and the files in which they came."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, opened = [], None
+        waiting, opened = [], {}
         if state.exists:
-            opened_us, agent, *columns = state.get
-            opened = (opened_us, agent) if opened_us is not None else None
+            queries, since, agents, *columns = state.get
+            opened = {query: (at, agent) for query, at, agent in zip(queries, since, agents)}
             waiting = list(zip(*columns))
         if not state.hasTimedOut:
             for batch in batches:
-                waiting += [
-                    (m.ts.value // 1000, m.mark_id, m.kind, m.agent, m.status) for m in batch.itertuples(index=False)
-                ]
+                at = batch["ts"].to_numpy("datetime64[us]").astype("int64").tolist()
+                names = ("mark_id", "kind", "agent", "status")
+                waiting += zip(batch["query_id"].tolist(), at, *(batch[name].tolist() for name in names))
         until = state.getCurrentWatermarkMs() * 1000
-        ready = sorted((m for m in waiting if m[0] <= until), key=lambda m: m[:2])
-        waiting = [m for m in waiting if m[0] > until]
+        ready = sorted((m for m in waiting if m[1] <= until), key=lambda m: m[:3])
+        waiting = [m for m in waiting if m[1] > until]
         rows = []
-        for at, mark_id, kind, agent, status in ready:
+        for query, at, mark_id, kind, agent, status in ready:
             if kind == "start":
-                opened = (at, agent)
+                opened[query] = (at, agent)
                 continue
+            before = opened.pop(query, None)
             if kind == "end":
-                started, who = opened or (at, UNKNOWN_AGENT)
-                rows.append((key[0], mark_id, pd.Timestamp(at, unit="us"), who, status, (at - started) // 1000))
-            opened = None
+                started, who = before or (at, UNKNOWN_AGENT)
+                rows.append((query, mark_id, pd.Timestamp(at, unit="us"), who, status, (at - started) // 1000))
         if waiting or opened:
-            columns = [list(c) for c in zip(*waiting)] or [[], [], [], [], []]
-            state.update((*(opened or (None, None)), *columns))
+            columns = [list(c) for c in zip(*waiting)] or [[], [], [], [], [], []]
+            since, agents = [at for at, _ in opened.values()], [agent for _, agent in opened.values()]
+            state.update((list(opened), since, agents, *columns))
             if waiting:
-                state.setTimeoutTimestamp(max(min(columns[0]) // 1000, until // 1000) + 1)
+                state.setTimeoutTimestamp(max(min(columns[1]) // 1000, until // 1000) + 1)
         elif state.exists:
             state.remove()
         if rows:
@@ -82,13 +86,15 @@ def streamed_steps(marks: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     """Step records from a stream of marks, equal to those of the batch job
     ``trace_steps`` for marks that come at most ``lateness`` out of order.
 
-    A step comes out once the watermark has passed its end.  The state of a query holds
-    the marks of the last ``lateness`` and a start not ended yet.  Marks without a query
+    A step comes out once the watermark has passed its end.  Queries are dealt to ``STATES``
+    states by a hash; for each query a state holds the marks of the last ``lateness`` and a
+    start not ended yet.  Marks without a query
     or a time are left out; ``monitoring.rejected_marks`` lists them.
     """
     known = marks.filter("query_id IS NOT NULL AND ts IS NOT NULL")
     zoned = known.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    return zoned.groupBy("query_id").applyInPandasWithState(
+    shared = zoned.withColumn("_state", F.pmod(F.xxhash64("query_id"), F.lit(STATES)))
+    return shared.groupBy("_state").applyInPandasWithState(
         _ordered_steps(), STEP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
 

@@ -108,6 +108,43 @@ def test_streamed_steps_of_files_out_of_order(spark, tmp_path):
     assert streamed(spark, marks.schema, tmp_path) == reference_steps(rows)
 
 
+def test_queries_share_a_state():
+    """Their marks mix in one batch, and a start waits for its end in the next one."""
+    import pandas as pd
+
+    class State:
+        exists, hasTimedOut, get, now = False, False, None, 0
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def remove(self):
+            self.exists = False
+
+        def getCurrentWatermarkMs(self):
+            return self.now
+
+        def setTimeoutTimestamp(self, at):
+            self.at = at
+
+    at = [pd.Timestamp(2024, 1, 1, 0, 0, s) for s in range(6)]
+    columns = ["query_id", "mark_id", "ts", "kind", "agent", "status"]
+    first = pd.DataFrame([
+        (8, 4, at[3], "end", "x", "error"), (7, 1, at[0], "start", "a", "success"), (8, 2, at[1], "start", "b", "success"),
+        (9, 3, at[2], "end", "c", "success"), (7, 6, at[5], "end", "d", "success"),
+    ], columns=columns)
+    state, run = State(), monitor._ordered_steps()
+    state.now = int(at[4].timestamp() * 1000)
+    out = pd.concat(run((0,), iter([first]), state))
+    assert [tuple(r) for r in out.drop(columns="ts").itertuples(index=False)] == [
+        (8, 4, "b", "error", 2000), (9, 3, monitor.UNKNOWN_AGENT, "success", 0),
+    ]
+    state.now, state.hasTimedOut = int(at[5].timestamp() * 1000), True
+    out = pd.concat(run((0,), iter([]), state))
+    assert [tuple(r) for r in out.drop(columns="ts").itertuples(index=False)] == [(7, 6, "a", "success", 5000)]
+    assert not state.exists
+
+
 def test_whole_trace_records(spark):
     at = datetime(2024, 1, 1)
     rows = [(1, 1, at, "start", "a", "success"), (1, 2, at + timedelta(seconds=2), "end", "a", "success"),
